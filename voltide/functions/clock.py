@@ -1,23 +1,28 @@
-"""Time arithmetic that reads the wall clock of a column and not the session zone."""
+"""Time arithmetic on the wall clock of a column, independent of the session zone.
+
+Everything stays on the internal microsecond value: differences of zone-free timestamps are day-time
+intervals, and ``window`` floors to fixed widths.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS = 1_000_000
+
+def _wall(c: Column) -> Column:
+    return c.cast("timestamp_ntz")
 
 
 def epoch_seconds(c: Column) -> Column:
     """Whole seconds since 1970-01-01 of the wall-clock value."""
-    days = F.unix_date(F.to_date(c)).cast("long")
-    return days * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60 + F.second(c)
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (_wall(c) - origin).cast("interval second").cast("bigint")
 
 
-def epoch_micros(c: Column) -> Column:
-    seconds_of_minute = F.extract(F.lit("SECOND"), c).cast("decimal(18,6)")
-    minutes = (epoch_seconds(c) - F.second(c)) * MICROS
-    return minutes + (seconds_of_minute * MICROS).cast("long")
+def seconds_between(later: Column, earlier: Column) -> Column:
+    """Difference in seconds with microsecond resolution."""
+    return (_wall(later) - _wall(earlier)).cast("interval second").cast("decimal(18,6)").cast("double")
 
 
 def time_chunk(c: Column, seconds: int) -> Column:
@@ -26,14 +31,24 @@ def time_chunk(c: Column, seconds: int) -> Column:
 
 
 def floor_time(c: Column, seconds: int) -> Column:
-    """Start of the fixed-width window that holds ``c``, in the type of ``c``."""
-    past = F.pmod(epoch_micros(c), F.lit(seconds * MICROS))
-    return c - F.make_dt_interval(secs=(past.cast("decimal(24,6)") / MICROS).cast("decimal(18,6)"))
+    """Start of the fixed-width window that holds ``c``, in the type of ``c``.
+
+    Rows without a time fall out, as they belong to no window. Use at most once per projection.
+    """
+    return F.window(c, f"{seconds} seconds")["start"]
 
 
 def plus_seconds(c: Column, seconds: Column) -> Column:
     return c + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def seconds_between(later: Column, earlier: Column) -> Column:
-    return (epoch_micros(later) - epoch_micros(earlier)) / F.lit(float(MICROS))
+def utc_instant(c: Column) -> Column:
+    """The wall-clock value read as UTC, as the zoned type that watermarks need."""
+    fraction = F.pmod((F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint"), F.lit(1_000_000))
+    return F.timestamp_micros(epoch_seconds(c) * 1_000_000 + fraction)
+
+
+def utc_wall(c: Column) -> Column:
+    """The UTC wall clock of an instant, without a zone; inverse of ``utc_instant``."""
+    seconds = (F.unix_micros(c).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from voltide.plans import feature_queries, ingest_queries, model_queries, monitor_queries
+from voltide.plans import feature_queries, ingest_queries, model_queries, monitor_queries, stream_queries
 
-MODULES = [ingest_queries, feature_queries, model_queries, monitor_queries]
+MODULES = [ingest_queries, feature_queries, model_queries, monitor_queries, stream_queries]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

@@ -52,8 +52,13 @@ def bars_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predictions_of(events(spark, sf_dir))
+
+
+def predictions_of(rows: DataFrame) -> DataFrame:
+    """One prediction per event; also for a stream of events."""
     ratio = (F.col("event_id") % 100) / F.lit(100.0)
-    return events(spark, sf_dir).select(
+    return rows.select(
         F.col("event_id").alias("id"),
         F.col("ts").alias("timestamp"),
         (F.col("value") / 10000).alias("prediction"),

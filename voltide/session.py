@@ -27,6 +27,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**SESSION_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
