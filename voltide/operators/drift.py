@@ -59,17 +59,21 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
 
 
 def compare(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """KS statistic, Wasserstein distance and sample sizes per feature of two long samples.
+    """KS statistic, Wasserstein distance and sample sizes per feature of two long samples."""
+    return compare_sides(
+        reference.select("feature", "value", F.lit(True).alias("is_ref")).unionByName(
+            current.select("feature", "value", F.lit(False).alias("is_ref"))
+        )
+    )
+
+
+def compare_sides(sides: DataFrame) -> DataFrame:
+    """``compare`` for one long frame with a flag ``is_ref``.
 
     Both distances come from one pass over the merged distinct values.
     """
-    sides = (
-        reference.select("feature", "value", F.lit(1).alias("_ref"), F.lit(0).alias("_cur"))
-        .unionByName(current.select("feature", "value", F.lit(0).alias("_ref"), F.lit(1).alias("_cur")))
-    )
-    ranked = ranked_values(
-        sides, ["feature"], "value", {"ref": F.sum("_ref"), "cur": F.sum("_cur")}
-    )
+    counts = {"ref": F.count_if("is_ref"), "cur": F.count_if(~F.col("is_ref"))}
+    ranked = ranked_values(sides, ["feature"], "value", counts)
     gap = F.abs(
         F.try_divide(F.col("cum_ref"), F.col("total_ref")) - F.try_divide(F.col("cum_cur"), F.col("total_cur"))
     )
@@ -129,9 +133,9 @@ def drift_metrics(reference: DataFrame, current: DataFrame, alpha: float = S.KS_
 
 def train_test_drift(split: DataFrame, features: Sequence[str], alpha: float = S.KS_ALPHA) -> DataFrame:
     """Drift of all features between the train and test rows; untested features stay in the denominator."""
-    train = long_form(split.where(F.col("split") == "train"), features)
-    test = long_form(split.where(F.col("split") == "test"), features)
-    tested = ks_tested(compare(train, test), alpha)
+    long = long_form(split, features, ids=["split"])
+    sides = long.select("feature", "value", (F.col("split") == "train").alias("is_ref"))
+    tested = ks_tested(compare_sides(sides), alpha)
     drifted = F.count_if("is_drift")
     return tested.agg(
         (drifted / F.lit(len(features))).alias("drift_ratio"),

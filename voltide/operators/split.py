@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltide import schema as S
 from voltide.operators.distribution import exact_quantiles, long_form
 from voltide.operators.series import DEFAULT_CHUNK, row_index
 
+INDEX, SIZE = "_index", "_series_rows"
+
 # Columns that are never features; the plain trainer leaves out ``volatility`` too.
 NOT_FEATURES = ["symbol", *S.BAR_COLUMNS, S.TARGET]
 
@@ -28,46 +30,57 @@ def drop_incomplete(df: DataFrame, features: Sequence[str], target: str = S.TARG
     return df.na.drop("any", subset=[*features, target])
 
 
-def time_split(
-    df: DataFrame,
-    ratio: float = S.TRAIN_RATIO,
-    keys: Sequence[str] = ("symbol",),
-    chunk_seconds: int = DEFAULT_CHUNK,
-) -> DataFrame:
-    """Adds ``split``: the first ``int(n * ratio)`` rows of each series are ``train``, the rest ``test``."""
-    indexed = row_index(df, keys, chunk_seconds=chunk_seconds)
-    first_test = F.floor(F.col("_series_rows") * F.lit(ratio))
-    split = F.when(F.col("_index") < first_test, F.lit("train")).otherwise(F.lit("test"))
-    return indexed.withColumn("split", split).drop("_index", "_series_rows")
+# ---- positions turned into splits; use on rows with ``row_index`` columns -------------------------
 
 
-def block_folds(
-    df: DataFrame, folds: int = 5, keys: Sequence[str] = ("symbol",), chunk_seconds: int = DEFAULT_CHUNK
-) -> DataFrame:
-    """Adds ``fold``: contiguous blocks, the first ``n mod folds`` of them one row longer."""
-    indexed = row_index(df, keys, chunk_seconds=chunk_seconds)
-    size, i = F.col("_series_rows"), F.col("_index")
+def split_label(ratio: float = S.TRAIN_RATIO) -> Column:
+    """``train`` for the first ``int(n * ratio)`` rows of a series, ``test`` for the rest."""
+    first_test = F.floor(F.col(SIZE) * F.lit(ratio))
+    return F.when(F.col(INDEX) < first_test, F.lit("train")).otherwise(F.lit("test"))
+
+
+def block_fold(folds: int = 5) -> Column:
+    """Contiguous blocks from 0; the first ``n mod folds`` of them are one row longer."""
+    size, i = F.col(SIZE), F.col(INDEX)
     short = F.floor(size / folds)
     longer = size - short * folds
     in_longer = F.try_divide(i, short + 1)
     in_short = longer + F.try_divide(i - longer * (short + 1), short)
-    fold = F.when(i < longer * (short + 1), F.floor(in_longer)).otherwise(F.floor(in_short))
-    return indexed.withColumn("fold", fold.cast("int")).drop("_index", "_series_rows")
+    return F.when(i < longer * (short + 1), F.floor(in_longer)).otherwise(F.floor(in_short)).cast("int")
 
 
-def expanding_folds(
-    df: DataFrame, folds: int = 5, keys: Sequence[str] = ("symbol",), chunk_seconds: int = DEFAULT_CHUNK
-) -> DataFrame:
-    """Adds ``test_fold``: the fold (0-based) that tests the row, -1 for rows that are only trained on.
+def expanding_fold(folds: int = 5) -> Column:
+    """The fold (from 0) that tests the row, -1 for rows that are only trained on.
 
     Fold f trains on every row of the series before its first test row: ``test_fold < f``.
     """
-    indexed = row_index(df, keys, chunk_seconds=chunk_seconds)
-    size, i = F.col("_series_rows"), F.col("_index")
+    size, i = F.col(SIZE), F.col(INDEX)
     test_rows = F.floor(size / (folds + 1))
     first = size - test_rows * folds
-    fold = F.when(i < first, F.lit(-1)).otherwise(F.floor(F.try_divide(i - first, test_rows)))
-    return indexed.withColumn("test_fold", fold.cast("int")).drop("_index", "_series_rows")
+    return F.when(i < first, F.lit(-1)).otherwise(F.floor(F.try_divide(i - first, test_rows))).cast("int")
+
+
+def with_splits(
+    df: DataFrame,
+    splits: Mapping[str, Column],
+    keys: Sequence[str] = ("symbol",),
+    chunk_seconds: int = DEFAULT_CHUNK,
+) -> DataFrame:
+    """Adds split columns from one shared row index."""
+    indexed = row_index(df, keys, chunk_seconds=chunk_seconds, index=INDEX, size=SIZE)
+    return indexed.withColumns(dict(splits)).drop(INDEX, SIZE)
+
+
+def time_split(df: DataFrame, ratio: float = S.TRAIN_RATIO, **where) -> DataFrame:
+    return with_splits(df, {"split": split_label(ratio)}, **where)
+
+
+def block_folds(df: DataFrame, folds: int = 5, **where) -> DataFrame:
+    return with_splits(df, {"fold": block_fold(folds)}, **where)
+
+
+def expanding_folds(df: DataFrame, folds: int = 5, **where) -> DataFrame:
+    return with_splits(df, {"test_fold": expanding_fold(folds)}, **where)
 
 
 def fold_sizes(df: DataFrame, folds: int = 5, keys: Sequence[str] = ("symbol",)) -> DataFrame:

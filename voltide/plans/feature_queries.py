@@ -11,6 +11,7 @@ from voltide import schema as S
 from voltide.functions.numeric import rounded
 from voltide.operators import clean, features
 from voltide.plans import views as V
+from voltide.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +45,7 @@ def _price(name: str) -> Query:
 
 def _rolling(stats: list[str]) -> Query:
     return lambda s, d: tidy(
-        features.rolling_features(V.bars_gappy(s, d), stats=stats).drop(*S.PRICES)
+        features.rolling_features(V.gappy_table(s, d), stats=stats).drop(*S.PRICES)
     )
 
 
@@ -54,14 +55,14 @@ def _columns(fn: Callable[[DataFrame], DataFrame], view: Callable, *columns: str
 
 QUERIES: dict[str, Query] = {
     # cleaning
-    "fill_forward": lambda s, d: tidy(clean.handle_missing(V.bars_gappy(s, d), "forward")),
-    "fill_backward": lambda s, d: tidy(clean.handle_missing(V.bars_gappy(s, d), "backward")),
+    "fill_forward": lambda s, d: tidy(clean.handle_missing(V.gappy_table(s, d), "forward")),
+    "fill_backward": lambda s, d: tidy(clean.handle_missing(V.gappy_table(s, d), "backward")),
     "drop_null_rows": lambda s, d: tidy(clean.handle_missing(V.bars_gappy(s, d), "drop")),
     "null_counts": lambda s, d: clean.null_counts(V.bars_gappy(s, d)),
-    "outliers_zscore": lambda s, d: tidy(clean.remove_outliers(V.bars_gappy(s, d))),
-    "outliers_count": lambda s, d: clean.outlier_counts(V.bars(s, d)),
+    "outliers_zscore": lambda s, d: tidy(clean.remove_outliers(V.gappy_table(s, d))),
+    "outliers_count": lambda s, d: clean.outlier_counts(V.bar_table(s, d)),
     "drop_null_target": lambda s, d: tidy(
-        clean.drop_null_target(features.next_volatility(V.bars(s, d))).select(*KEY, S.TARGET), 8
+        clean.drop_null_target(features.next_volatility(V.bar_table(s, d))).select(*KEY, S.TARGET), 8
     ),
     # per-row features
     "feat_calendar": lambda s, d: features.calendar(V.bars(s, d)).select(*KEY, *S.TIME_FEATURES[:4]),
@@ -76,18 +77,18 @@ QUERIES: dict[str, Query] = {
     "feat_price_change_pct": _price("price_change_pct"),
     "feat_avg_price": _price("avg_price"),
     # window features
-    "log_return": _columns(features.log_returns, V.bars, "log_return"),
-    "lag_features": lambda s, d: tidy(features.lag_features(V.bars(s, d)).drop(*S.PRICES)),
+    "log_return": _columns(features.log_returns, V.bar_table, "log_return"),
+    "lag_features": lambda s, d: tidy(features.lag_features(V.bar_table(s, d)).drop(*S.PRICES)),
     "rolling_mean": _rolling(["mean"]),
     "rolling_std": _rolling(["std"]),
     "rolling_min": _rolling(["min"]),
     "rolling_max": _rolling(["max"]),
-    "rolling_volatility": _columns(features.rolling_volatility, V.bars, "log_return", "volatility"),
-    "target_next_volatility": _columns(features.next_volatility, V.bars, "volatility", S.TARGET),
-    "feature_pipeline": lambda s, d: tidy(features.feature_frame(V.bars(s, d))),
-    "transform_end_to_end": lambda s, d: tidy(clean.transform(V.bars_gappy(s, d))),
+    "rolling_volatility": _columns(features.rolling_volatility, V.bar_table, "log_return", "volatility"),
+    "target_next_volatility": _columns(features.next_volatility, V.bar_table, "volatility", S.TARGET),
+    "feature_pipeline": lambda s, d: tidy(features.feature_frame(V.bar_table(s, d))),
+    "transform_end_to_end": lambda s, d: tidy(clean.transform(V.gappy_table(s, d))),
     "halo_window": lambda s, d: tidy(
-        features.rolling_volatility(V.single_series(s, d)).select(*KEY, "log_return", "volatility"), 8
+        features.rolling_volatility(stage(V.single_series(s, d), "series")).select(*KEY, "log_return", "volatility"), 8
     ),
 }
 

@@ -15,7 +15,7 @@ from voltide.sources import bars as source
 
 def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw bars written as response files, with one error and one empty payload per symbol, read back."""
-    raw = V.bars_raw(spark, sf_dir)
+    raw = stage(V.bars_raw(spark, sf_dir), "raw")
     good = source.payloads_of(raw)
     symbols = raw.select("symbol").distinct()
     empty = F.lit(None).cast(S.PAYLOAD_SCHEMA["values"].dataType).alias("values")
@@ -50,7 +50,7 @@ def _read_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = V.bars(spark, sf_dir)
+    bars = V.bar_table(spark, sf_dir)
     done = bars.where(
         (F.col("datetime") < F.lit("2024-01-20").cast("timestamp_ntz")) & (F.col("symbol") != "view")
     )
@@ -68,7 +68,7 @@ QUERIES: dict[str, Query] = {
     "ingest_rejects": lambda s, d: source.rejected_payloads(landed_payloads(s, d)),
     "coerce_types": lambda s, d: tidy(source.coerce_types(V.bars_raw(s, d))),
     "source_date_range": lambda s, d: tidy(
-        source.date_range(stage(V.bars(s, d), "bars"), "2024-01-05 00:00:00", "2024-01-12 12:00:00")
+        source.date_range(V.bar_table(s, d), "2024-01-05 00:00:00", "2024-01-12 12:00:00")
     ),
     "source_latest_n": lambda s, d: tidy(source.latest_n(V.bars(s, d))),
     "sort_bars": lambda s, d: tidy(source.sort_bars(V.bars(s, d))),
@@ -82,7 +82,7 @@ QUERIES: dict[str, Query] = {
     "dq_schema": lambda s, d: quality.schema_report(V.bars(s, d)),
     "dq_min_points": lambda s, d: tidy(quality.min_points_report(V.bars(s, d), min_points=175)),
     "dq_gate": _gate,
-    "dq_quarantine": lambda s, d: tidy(quality.quarantine(V.bars(s, d), min_points=680)[0]),
+    "dq_quarantine": lambda s, d: tidy(quality.quarantine(V.bar_table(s, d), min_points=680)[0]),
 }
 
 VERSION_SQL = (

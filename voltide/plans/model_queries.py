@@ -18,17 +18,17 @@ SCALED = ["close_rolling_mean_24", "price_range", "log_return", "volatility"]
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete feature rows of all bars."""
-    frame = features.feature_frame(V.bars(spark, sf_dir))
-    return split.drop_incomplete(frame, split.feature_names(frame))
+    """Complete feature rows of all bars, stored: splits and folds read them more than once."""
+    frame = features.feature_frame(V.bar_table(spark, sf_dir))
+    return stage(split.drop_incomplete(frame, split.feature_names(frame)), "samples")
 
 
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a volatility, its next value and the persistence forecast."""
-    rows = features.next_volatility(V.bars(spark, sf_dir)).where(
+    rows = features.next_volatility(V.bar_table(spark, sf_dir)).where(
         F.col("volatility").isNotNull() & F.col(S.TARGET).isNotNull()
     )
-    return E.naive_forecast(rows.select(*KEY, "log_return", "volatility", S.TARGET))
+    return E.naive_forecast(stage(rows.select(*KEY, "log_return", "volatility", S.TARGET), "forecasts"))
 
 
 def candidate_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "select_features": lambda s, d: tidy(
-        split.select_features(features.feature_frame(V.bars(s, d)), with_volatility=False)
+        split.select_features(features.feature_frame(V.bar_table(s, d)), with_volatility=False)
     ),
     "drop_incomplete_samples": lambda s, d: tidy(samples(s, d).select(*KEY, "volatility", S.TARGET), 8),
     "time_split": lambda s, d: tidy(split.time_split(forecasts(s, d)).select(*KEY, S.TARGET, "split"), 8),

@@ -10,6 +10,7 @@ from voltide.operators import alerts, drift, predlog, profile, split, telemetry
 from voltide.operators import evaluation as E
 from voltide.plans import views as V
 from voltide.plans.feature_queries import NOT_NULL, Query, feature_ctes, r, rcols, tidy
+from voltide.session import stage
 from voltide.plans.model_queries import (
     COMPARED, FORECASTS, INDEXED, RUN_METRICS, RUNS, SPLIT, forecasts, metric_sql, samples,
 )
@@ -23,7 +24,7 @@ def _split_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _point_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every hourly map of mean values against the reference statistics of the events."""
+    """Every hourly map of values against the reference statistics of the events."""
     fitted = drift.fit_profile(V.drift_samples(spark, sf_dir)[0])
     bars = V.bars(spark, sf_dir)
     maps = bars.select(
@@ -99,15 +100,15 @@ QUERIES: dict[str, Query] = {
         telemetry.histogram_quantile(_histogram(s, d), 0.95, ["window_start"])
     ),
     "sustained_condition": lambda s, d: tidy(
-        telemetry.sustained(V.metrics(s, d), F.col("value") > 0.2, 7200)
+        telemetry.sustained(stage(V.metrics(s, d), "metrics"), F.col("value") > 0.2, 7200)
     ),
     "service_gaps": lambda s, d: tidy(telemetry.service_gaps(V.predictions(s, d))),
     "low_rate": lambda s, d: tidy(telemetry.low_rate(V.predictions(s, d))),
     "slowest_topk": lambda s, d: tidy(telemetry.slowest(V.predictions(s, d)), 8),
     # profiles
-    "profile_columns": lambda s, d: tidy(profile.columns(V.bars_gappy(s, d), S.PRICES)),
+    "profile_columns": lambda s, d: tidy(profile.columns(V.gappy_table(s, d), S.PRICES)),
     "profile_correlation": lambda s, d: tidy(profile.correlation(V.bars_gappy(s, d), S.PRICES)),
-    "profile_histogram": lambda s, d: tidy(profile.histogram(V.bars_gappy(s, d), S.PRICES)),
+    "profile_histogram": lambda s, d: tidy(profile.histogram(V.gappy_table(s, d), S.PRICES)),
     "profile_duplicates": lambda s, d: profile.duplicates(
         V.events(s, d), ["event_type", "user_id", "value"]
     ),

@@ -13,6 +13,7 @@ from voltide import schema as S
 from voltide.functions.clock import floor_time, plus_seconds
 from voltide.operators.features import cyclic_hour, calendar, lags_of, log_return_of, rolling_of
 from voltide.operators.series import chunk_window, drop_halo, with_halo
+from voltide.session import stage
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,18 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bar_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bars as a stored table, for operators that read their input more than once.
+
+    The events are scanned once; each branch of the operator then reads the few columns it needs.
+    """
+    return stage(bars(spark, sf_dir), "bars")
+
+
+def gappy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(bars_gappy(spark, sf_dir), "gappy")
+
+
 def bars_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     gap = (F.hour("datetime") + F.dayofmonth("datetime")) % 11 == 0
     return bars(spark, sf_dir).withColumn("close", F.when(~gap, F.col("close")))
@@ -100,7 +113,7 @@ def drift_samples(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse feature maps of rescaled bars; some keys are missing, one is unknown."""
-    scaled = bars(spark, sf_dir).select("symbol", "datetime", (1 + F.col("close") / 1000).alias("close"))
+    scaled = bar_table(spark, sf_dir).select("symbol", "datetime", (1 + F.col("close") / 1000).alias("close"))
     w = chunk_window()
     rows = with_halo(scaled, lookback=24)
     rows = rows.withColumns(
