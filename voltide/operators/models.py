@@ -28,34 +28,46 @@ SPLIT_PENALTY = 0.1
 RIDGE_ALPHA = 1.0
 SEED = 42
 
+VECTOR = "feature_vector"
+
 
 def gbt(params: Mapping[str, object] = PLAIN, label: str = S.TARGET, output: str = "prediction") -> GBTRegressor:
-    return GBTRegressor(featuresCol="features", labelCol=label, predictionCol=output, seed=SEED, **params)
+    return GBTRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=output, seed=SEED, **params)
 
 
 def forest(params: Mapping[str, object] = FOREST, label: str = S.TARGET, output: str = "prediction") -> RandomForestRegressor:
-    return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol=output, seed=SEED, **params)
+    return RandomForestRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=output, seed=SEED, **params)
+
 
+def ridge(
+    train: DataFrame, alpha: float = RIDGE_ALPHA, label: str = S.TARGET, features: str = VECTOR
+) -> LinearRegression:
+    """Ridge with penalty ``alpha`` on the summed squares.
 
-def ridge(rows: int, alpha: float = RIDGE_ALPHA, label: str = S.TARGET, features: str = "features") -> LinearRegression:
-    """Ridge with penalty ``alpha`` on the summed squares; Spark averages them, hence ``alpha / rows``."""
+    Spark averages the squares and divides the penalty by the label's deviation, hence the factor.
+    """
+    size = train.agg(F.count(label).alias("rows"), F.stddev_pop(label).alias("deviation")).first()
     return LinearRegression(
-        featuresCol=features, labelCol=label, regParam=alpha / rows, elasticNetParam=0.0,
-        standardization=False, solver="normal",
+        featuresCol=features,
+        labelCol=label,
+        regParam=alpha * (size["deviation"] or 1.0) / size["rows"],
+        elasticNetParam=0.0,
+        standardization=False,
+        solver="normal",
     )
 
 
 def scaling_stages(train: DataFrame, features: Sequence[str], scale: bool = True) -> list:
     """Robust scaling (fitted on ``train``) into temporary columns, and the feature vector."""
     if not scale:
-        return [VectorAssembler(inputCols=list(features), outputCol="features")]
+        return [VectorAssembler(inputCols=list(features), outputCol=VECTOR)]
     fitted = fit_robust(train, features)
     scaled = ", ".join(
         f"(`{c}` - ({center!r}D)) / ({(spread or 1.0)!r}D) AS `_scaled_{c}`" for c, (center, spread) in fitted.items()
     )
     return [
         SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"_scaled_{c}" for c in features], outputCol="features"),
+        VectorAssembler(inputCols=[f"_scaled_{c}" for c in features], outputCol=VECTOR),
     ]
 
 
@@ -64,7 +76,7 @@ def fit(train: DataFrame, features: Sequence[str], estimator: Estimator, scale:
 
 
 def train_ridge(train: DataFrame, features: Sequence[str], alpha: float = RIDGE_ALPHA, label: str = S.TARGET) -> PipelineModel:
-    return fit(train, features, ridge(train.count(), alpha, label))
+    return fit(train, features, ridge(train, alpha, label))
 
 
 def base_models(
@@ -101,7 +113,7 @@ def train_stack(
     """
     rows = train.count()
     prepare = PipelineModel(stages=scaling_stages(train, features))
-    prepared = stage(prepare.transform(train).select("fold", "features", label), "stack")
+    prepared = stage(prepare.transform(train).select("fold", VECTOR, label), "stack")
     bases = base_models(rows, label, **base_params)
     outputs = [f"p_{name}" for name in bases]
     held_out = None
@@ -111,7 +123,7 @@ def train_stack(
         held_out = scored if held_out is None else held_out.unionByName(scored)
     meta_rows = stage(held_out, "held_out")
     gather = VectorAssembler(inputCols=outputs, outputCol="stacked")
-    meta = ridge(rows, alpha, label, "stacked").fit(gather.transform(meta_rows))
+    meta = ridge(meta_rows, alpha, label, "stacked").fit(gather.transform(meta_rows))
     refitted = [e.fit(prepared) for e in bases.values()]
     return PipelineModel(stages=[*prepare.stages, *refitted, gather, meta])
 

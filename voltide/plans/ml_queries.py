@@ -60,7 +60,7 @@ def _ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ridge_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(spark, sf_dir)
-    return models.cross_validate(rows, ALL, models.ridge(rows.count()))
+    return models.cross_validate(rows, ALL, models.ridge(rows))
 
 
 def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
