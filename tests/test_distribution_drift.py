@@ -70,6 +70,27 @@ def test_distances_match_brute_force(spark, samples):
         assert got[name]["wasserstein"] == pytest.approx(w, abs=1e-9)
 
 
+def test_windows_against_one_reference(spark):
+    """Every window equals a brute-force comparison, with ties, values outside the reference and single rows."""
+    rng = np.random.default_rng(9)
+    reference = {"x": np.round(rng.normal(0, 1, 300), 1), "y": rng.uniform(5, 6, 80)}
+    windows = {
+        ("a", "x"): np.round(rng.normal(0.2, 1, 120), 1), ("a", "y"): rng.uniform(5.5, 7, 30),
+        ("b", "x"): np.array([-9.0, 9.0]), ("b", "y"): np.array([5.5]), ("c", "x"): np.full(15, 0.1),
+        ("c", "y"): np.array([8.0, 9.0, 9.0]), ("d", "y"): np.array([1.0, 2.0]), ("d", "x"): reference["x"],
+        ("d", "unknown"): np.array([1.0]),
+    }
+    rows = [(w, f, float(v)) for (w, f), values in windows.items() for v in values]
+    current = spark.createDataFrame(rows, "w string, feature string, value double")
+    got = {(r["w"], r["feature"]): r for r in drift.compare_windows(long(spark, reference), current, "w").collect()}
+    assert set(got) == {k for k in windows if k[1] != "unknown"}
+    for key, row in got.items():
+        ks, distance = brute_force(reference[key[1]], windows[key])
+        assert row["statistic"] == pytest.approx(ks, abs=1e-12), key
+        assert row["wasserstein"] == pytest.approx(distance, abs=1e-9), key
+        assert (row["n_ref"], row["n_cur"]) == (len(reference[key[1]]), len(windows[key]))
+
+
 def test_drift_is_found_where_the_mean_moved(spark, samples):
     reference = long(spark, samples[0])
     verdicts = {r["feature_name"]: r["is_drift"] for r in drift.ks_drift(reference, long(spark, samples[1])).collect()}

@@ -80,6 +80,22 @@ def test_running_sum_and_row_index(gappy, chunk):
     assert_same(collected(indexed), collected(expected))
 
 
+def test_slices_by_range(spark, gappy):
+    """Range slices instead of time chunks give the same frames, fills, sums and positions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = series.sliced(gappy, ["symbol"], "datetime")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert cut.where("symbol = 'A'").select(series.CHUNK).distinct().count() > 2
+    lagged = series.with_halo(cut, lookback=24).withColumn("l24", F.lag("close", 24).over(series.chunk_window()))
+    assert_same(
+        collected(series.drop_halo(lagged)), collected(gappy.withColumn("l24", F.lag("close", 24).over(plain())))
+    )
+    assert_same(collected(series.fill(cut, ["close"])), collected(series.fill(gappy, ["close"])))
+    assert_same(collected(series.row_index(cut)), collected(series.row_index(gappy)))
+
+
 def test_one_long_series_is_spread_over_tasks(spark):
     """A single symbol must not end up in one window partition."""
     long = bars(spark, walk(3000)).coalesce(1)

@@ -146,7 +146,7 @@ def samples(spark, points, keys="s"):
 def test_counter_rate_with_reset(spark):
     points = [(0, 10), (60, 16), (310, 20), (320, 3), (330, 5)]
     got = {r["window_start"].minute: r["increase"] for r in
-           telemetry.counter_rate(samples(spark, points), "v", chunk_seconds=60).collect()}
+           telemetry.counter_rate(samples(spark, points), "v").collect()}
     assert got == {0: 6.0, 5: 4.0 + 3.0 + 2.0}
 
 

@@ -24,6 +24,7 @@ def ranked_values(
     keys: Sequence[str],
     value: str,
     counts: Mapping[str, Column] | None = None,
+    keep_slice: bool = False,
 ) -> DataFrame:
     """One row per key and distinct value, in value order, with running and total counts.
 
@@ -67,6 +68,21 @@ def ranked_values(
         *counts,
         *[(F.col(f"_inside_{n}") + F.col(f"_before_{n}")).alias(f"cum_{n}") for n in counts],
         *[f"total_{n}" for n in counts],
+        *([SLICE] if keep_slice else []),
+    )
+
+
+def sum_before(ranked: DataFrame, keys: Sequence[str], value: str, column: str, into: str) -> DataFrame:
+    """Sum of ``column`` over the smaller values of the key, for ranked values with their slice."""
+    across = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranked.groupBy(*keys, SLICE).agg(F.sum(column).alias("_total"))
+    earlier = totals.select(*keys, SLICE, F.coalesce(F.sum("_total").over(across), F.lit(0.0)).alias("_earlier"))
+    inside = Window.partitionBy(*keys, SLICE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranked.withColumn("_local", F.coalesce(F.sum(column).over(inside), F.lit(0.0)))
+    return (
+        local.join(earlier, [*keys, SLICE])
+        .withColumn(into, F.col("_local") + F.col("_earlier"))
+        .drop("_local", "_earlier")
     )
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltide import schema as S
-from voltide.operators.distribution import long_form, pick_quantiles, ranked_values
+from voltide.operators.distribution import long_form, pick_quantiles, ranked_values, sum_before
+from voltide.operators.series import fill, sliced
+from voltide.session import stage
 
 STATS = ["mean", "std", "min", "max", "median", "q1", "q3"]
 
@@ -131,6 +133,109 @@ def drift_metrics(reference: DataFrame, current: DataFrame, alpha: float = S.KS_
     return summarise(compare(reference, current), alpha=alpha)
 
 
+def compare_windows(reference: DataFrame, current: DataFrame, window: str = "window_start") -> DataFrame:
+    """``compare`` of every window of a long current sample with one fixed reference.
+
+    The reference is ranked once and is not repeated per window. Between two neighbouring values of a
+    window its distribution is a constant b, so the largest gap is at the ends of that stretch, and the
+    area between it and the rising reference follows from the integral of the reference up to both ends
+    and up to the value where the reference passes b. That value is looked up along the reference's ranks.
+    """
+    merged = reference.select("feature", "value", F.lit(True).alias("_is_ref")).unionByName(
+        current.select("feature", "value", F.lit(False).alias("_is_ref"))
+    )
+    known = ranked_values(merged, ["feature"], "value", {"ref": F.count_if("_is_ref")}, keep_slice=True)
+    height = F.col("cum_ref") / F.col("total_ref")
+    step = F.coalesce(height * (F.col("next_value") - F.col("value")), F.lit(0.0))
+    known = sum_before(
+        known.where(F.col("total_ref") > 0).withColumn("_step", step), ["feature"], "value", "_step", "area"
+    )
+    known = stage(
+        known.select(
+            "feature", "value", "area", "ref", "cum_ref", "total_ref",
+            height.alias("upto"), ((F.col("cum_ref") - F.col("ref")) / F.col("total_ref")).alias("below"),
+        ),
+        "reference",
+    )
+
+    points = ranked_values(current.select("feature", "value", window), [window, "feature"], "value")
+    level = F.col("cum_n") / F.col("total_n")
+    here = known.select("feature", "value", "area", "upto", "below", "total_ref")
+    there = known.select(
+        "feature", F.col("value").alias("next_value"), F.col("area").alias("next_area"), F.col("below").alias("next_below")
+    )
+    stretches = (
+        points.join(here, ["feature", "value"])
+        .join(there, ["feature", "next_value"], "left")
+        .withColumn("level", level)
+        # smallest reference rank that reaches the level; counts are multiplied as decimals
+        .withColumn("rank", _ceil_share("cum_n", "total_ref", "total_n"))
+    )
+    stretches = stage(stretches, "stretches")
+    crossing = (F.col("upto") < F.col("level")) & (F.col("next_below") > F.col("level"))
+    wanted = stretches.where(crossing).select("feature", "rank").distinct()
+    passed = wanted.join(_value_at_rank(known, wanted), ["feature", "rank"])
+    area = F.col("next_area") - F.col("area")
+    width = F.col("next_value") - F.col("value")
+    rest = F.col("next_area") - F.col("at_area") - F.col("level") * (F.col("next_value") - F.col("at"))
+    before = F.col("level") * (F.col("at") - F.col("value")) - (F.col("at_area") - F.col("area"))
+    between = F.when(crossing, before + rest).otherwise(F.abs(area - F.col("level") * width))
+    ends = known.where(F.col("ref") > 0).groupBy("feature").agg(
+        F.max(F.struct("value", "area")).alias("_end")
+    )
+    per_window = (
+        stretches.join(passed, ["feature", "rank"], "left")
+        .groupBy(window, "feature")
+        .agg(
+            F.max(
+                F.greatest(
+                    F.abs(F.col("upto") - F.col("level")),
+                    F.abs(F.col("next_below") - F.col("level")),
+                    F.when(F.col("cum_n") == F.col("n"), F.col("below")),
+                )
+            ).alias("statistic"),
+            F.sum(F.when(F.col("next_value").isNotNull(), between)).alias("_inner"),
+            F.min(F.struct("value", "area")).alias("_low"),
+            F.max(F.struct("value", "area")).alias("_high"),
+            F.max("total_ref").alias("n_ref"),
+            F.max("total_n").alias("n_cur"),
+        )
+    )
+    past = F.col("_end.value") - F.col("_high.value")
+    after = F.when(past > 0, past - (F.col("_end.area") - F.col("_high.area"))).otherwise(F.lit(0.0))
+    return per_window.join(ends, "feature").select(
+        window,
+        "feature",
+        "statistic",
+        (F.col("_low.area") + F.coalesce("_inner", F.lit(0.0)) + after).alias("wasserstein"),
+        "n_ref",
+        "n_cur",
+    )
+
+
+def _ceil_share(part: str, whole: str, of: str) -> Column:
+    product = F.col(part).cast("decimal(19,0)") * F.col(whole).cast("decimal(19,0)")
+    return F.ceil(product / F.col(of).cast("decimal(19,0)")).cast("long")
+
+
+def _value_at_rank(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The first reference value whose cumulative count reaches each wanted rank, and the area up to it."""
+    marks = known.where(F.col("ref") > 0).select(
+        "feature", F.col("cum_ref").alias("rank"), F.lit(1).alias("_kind"), F.col("value").alias("at"), F.col("area").alias("at_area")
+    )
+    asked = wanted.select("feature", "rank", F.lit(0).alias("_kind"))
+    axis = sliced(marks.unionByName(asked, allowMissingColumns=True), ["feature"], "rank", ["_kind"])
+    filled = fill(axis, ["at", "at_area"], forward=False, keys=["feature"], order="rank", tie=["_kind"])
+    return filled.where(F.col("_kind") == 0).drop("_kind")
+
+
+def drift_by_window(
+    reference: DataFrame, current: DataFrame, window: str = "window_start", alpha: float = S.KS_ALPHA
+) -> DataFrame:
+    """Drift metrics of each window of the current sample against the fixed reference."""
+    return summarise(compare_windows(reference, current, window), [window], alpha)
+
+
 def train_test_drift(split: DataFrame, features: Sequence[str], alpha: float = S.KS_ALPHA) -> DataFrame:
     """Drift of all features between the train and test rows; untested features stay in the denominator."""
     long = long_form(split, features, ids=["split"])

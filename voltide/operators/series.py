@@ -10,6 +10,10 @@ windows run on ``(keys, chunk)``. What a window needs from outside its chunk tra
   summary with one row per series and chunk. The only window over a whole series runs on that summary,
   whose length is bounded by time span / chunk width and does not depend on the number of rows.
 
+Time chunks suit bars: their grid bounds the rows of a chunk. Logs have no such bound, as one burst may
+hold much of the table; ``sliced`` cuts them into equally large ranges of (keys, order, tie) instead and
+every operator here accepts its result.
+
 Rows must have a non-null order column. Ties in it are ordered by ``tie`` columns.
 """
 
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from voltide.functions.clock import time_chunk
+from voltide.session import stage
 
 CHUNK = "_chunk"
 HALO = "_halo"
@@ -35,9 +40,21 @@ def _order(order: str, tie: Sequence[str], descending: bool = False) -> list[Col
 
 
 def chunked(df: DataFrame, order: str = "datetime", chunk_seconds: int = DEFAULT_CHUNK) -> DataFrame:
+    """Adds the chunk number, unless the rows are ``sliced`` already."""
+    if CHUNK in df.columns:
+        return df
     return df.withColumn(CHUNK, time_chunk(F.col(order), chunk_seconds))
 
 
+def sliced(df: DataFrame, keys: Sequence[str], order: str, tie: Sequence[str] = ()) -> DataFrame:
+    """Rows range-partitioned on (keys, order, tie), with the partition number as the chunk.
+
+    Spark samples the range bounds, so the result is staged: every later branch must see one numbering.
+    """
+    ranged = df.repartitionByRange(*keys, order, *tie)
+    return stage(ranged.withColumn(CHUNK, F.spark_partition_id().cast("long")), "sliced")
+
+
 def chunk_window(
     keys: Sequence[str] = ("symbol",), order: str = "datetime", tie: Sequence[str] = ()
 ) -> WindowSpec:
@@ -106,8 +123,8 @@ def with_halo(
     scan stays narrow. Follow with windows over ``chunk_window`` and then ``drop_halo``.
     """
     own = chunked(df, order, chunk_seconds)
-    needed = list(dict.fromkeys([*keys, order, *tie, *(df.columns if carry is None else carry)]))
-    narrow = own.select(*needed, CHUNK)
+    needed = list(dict.fromkeys([*keys, order, *tie, *(df.columns if carry is None else carry), CHUNK]))
+    narrow = own.select(*needed)
     result = own.withColumn(HALO, F.lit(False))
     for count, following in ((lookback, False), (lookahead, True)):
         if count:
@@ -211,5 +228,6 @@ def fill(
         *[
             F.coalesce(f"_local_{c}", f"_carried_{c}").alias(c) if c in columns else F.col(c)
             for c in df.columns
+            if c != CHUNK
         ]
     )

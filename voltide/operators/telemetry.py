@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from voltide.functions.clock import epoch_seconds, floor_time, plus_seconds, seconds_between
 from voltide.operators.distribution import pick_quantiles, ranked_values
-from voltide.operators.series import DAY, chunk_window, drop_halo, running_sum, with_halo
+from voltide.operators.series import DAY, chunk_window, drop_halo, running_sum, sliced, with_halo
 
 # Histogram bounds of the latency metric in seconds.
 LATENCY_BOUNDS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0]
@@ -82,16 +82,14 @@ def counter_rate(
     at: str = "timestamp",
     tie: Sequence[str] = ("id",),
     seconds: int = 300,
-    chunk_seconds: int = DAY,
 ) -> DataFrame:
     """Per-second increase of a cumulative counter per series and window.
 
     A smaller value than before is a reset and counts in full; the first sample of a series adds nothing;
-    nothing is extrapolated to the window edges.
+    nothing is extrapolated to the window edges. Samples are cut by range, as a burst may fill any window.
     """
-    rows = with_halo(
-        df.select(*keys, at, *tie, value), lookback=1, keys=keys, order=at, tie=tie, chunk_seconds=chunk_seconds
-    )
+    samples = sliced(df.select(*keys, at, *tie, value), keys, at, tie)
+    rows = with_halo(samples, lookback=1, keys=keys, order=at, tie=tie)
     before = F.lag(value, 1).over(chunk_window(keys, at, tie))
     step = F.when(F.col(value) >= before, F.col(value) - before).when(before.isNotNull(), F.col(value))
     stepped = drop_halo(rows.withColumn("_step", F.coalesce(step, F.lit(0))))
@@ -209,21 +207,23 @@ def sustained(
 
 def service_gaps(
     df: DataFrame,
-    seconds: float = 3600,
+    seconds: int = 3600,
     keys: Sequence[str] = ("series",),
     at: str = "timestamp",
-    tie: Sequence[str] = ("id",),
-    chunk_seconds: int = DAY,
+    chunk_seconds: int = 365 * DAY,
 ) -> DataFrame:
-    """Times without any row for longer than ``seconds``."""
-    rows = with_halo(
-        df.select(*keys, at, *tie), lookahead=1, keys=keys, order=at, tie=tie, chunk_seconds=chunk_seconds
-    )
-    following = F.lead(at, 1).over(chunk_window(keys, at, tie))
-    gap = seconds_between(F.col("resumed"), F.col("last_seen"))
+    """Times without any row for longer than ``seconds``.
+
+    A slot of that width cannot hold such a gap inside, so first and last time per slot are enough. They
+    are partial aggregates, and what is left has at most one row per slot.
+    """
+    slot = F.floor(epoch_seconds(F.col(at)) / F.lit(seconds)).alias("_slot")
+    slots = df.groupBy(*keys, slot).agg(F.min(at).alias("_first"), F.max(at).alias("last_seen")).drop("_slot")
+    rows = with_halo(slots, lookahead=1, keys=keys, order="last_seen", carry=["_first"], chunk_seconds=chunk_seconds)
+    following = F.lead("_first", 1).over(chunk_window(keys, "last_seen"))
     return (
         drop_halo(rows.withColumn("resumed", following))
-        .select(*keys, F.col(at).alias("last_seen"), "resumed")
-        .withColumn("gap_seconds", gap)
+        .select(*keys, "last_seen", "resumed")
+        .withColumn("gap_seconds", seconds_between(F.col("resumed"), F.col("last_seen")))
         .where(F.col("gap_seconds") > seconds)
     )

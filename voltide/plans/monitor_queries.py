@@ -51,6 +51,12 @@ def _point_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _drift_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reference, current = V.drift_samples(spark, sf_dir)
+    daily = current.select("feature", "value", telemetry.floor_time(F.col("ts"), telemetry.DAY).alias("day"))
+    return tidy(drift.drift_by_window(reference, daily, "day"))
+
+
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.evaluate(V.metrics(spark, sf_dir))
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "wasserstein": lambda s, d: tidy(drift.wasserstein(*V.drift_samples(s, d))),
     "drift_metrics": lambda s, d: tidy(drift.drift_metrics(*V.drift_samples(s, d))),
     "point_drift": _point_drift,
+    "drift_by_window": _drift_by_window,
     # alerts
     "alert_rules": lambda s, d: _rules_with_hits(s, d),
     "alert_eval": lambda s, d: tidy(_alerts(s, d).drop("message")),
@@ -281,6 +288,13 @@ ORACLE: dict[str, str] = {
     ),
     "wasserstein": _drift(f"SELECT feature, {r('w')} AS distance FROM tested WHERE n > 0 AND m > 0"),
     "drift_metrics": _drift(f"SELECT {SUMMARY_COLUMNS} FROM (SELECT {SUMMARY} FROM tested) q"),
+    "drift_by_window": V.with_views(
+        "ref cur",
+        "days AS (SELECT feature, value, date_trunc('day', ts)::TIMESTAMP AS day FROM cur)",
+        "each AS (SELECT feature, value, day FROM ref, (SELECT DISTINCT day FROM days) d)",
+        *compare_ctes("day, feature", "each", "days"),
+        f"SELECT day, {SUMMARY_COLUMNS} FROM (SELECT day, {SUMMARY} FROM tested GROUP BY day) q",
+    ),
     "point_drift": V.with_views(
         "bars ref",
         "s AS (SELECT feature, avg(value) AS mean, stddev_samp(value) AS std FROM ref GROUP BY 1)",
