@@ -218,11 +218,10 @@ def fill(
         *group,
         *[F.last(f"_edge_{c}", ignorenulls=True).over(across).alias(f"_carried_{c}") for c in columns],
     )
-    base = Window.partitionBy(*group).orderBy(*_order(order, tie))
-    if forward:
-        inside = {c: F.last(c, True).over(base.rowsBetween(Window.unboundedPreceding, 0)) for c in columns}
-    else:
-        inside = {c: F.first(c, True).over(base.rowsBetween(0, Window.unboundedFollowing)) for c in columns}
+    # a backward fill reads the reversed order: frames that end at the last row cost a pass per row
+    base = Window.partitionBy(*group).orderBy(*_order(order, tie, descending=not forward))
+    so_far = base.rowsBetween(Window.unboundedPreceding, 0)
+    inside = {c: F.last(c, True).over(so_far) for c in columns}
     local = rows.withColumns({f"_local_{c}": e for c, e in inside.items()})
     return local.join(carried, group).select(
         *[
