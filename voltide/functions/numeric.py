@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+INF = float("inf")
+
 
 def finite_or_null(c: Column) -> Column:
     """NaN and the infinities become NULL, so that they cannot poison max, avg or comparisons."""
-    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
+    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(INF)), c)
 
 
 def rounded(c: Column, digits: int) -> Column:
@@ -16,16 +18,53 @@ def rounded(c: Column, digits: int) -> Column:
     return F.round(c, digits) + F.lit(0.0)
 
 
-def fixed_text(c: Column, digits: int) -> Column:
-    """Fixed-point text rounded on the exact binary value (what C and Python formatting print)."""
-    pattern = "0." + "0" * digits if digits else "0"
-    return F.call_function("format_number", c, F.lit(pattern))
+def _product_error(a: Column, b: Column, product: Column) -> Column:
+    """What the rounded product ``a * b`` lacks (Dekker's exact product by splitting at 27 bits)."""
 
+    def split(x: Column) -> tuple[Column, Column]:
+        scaled = x * F.lit(134_217_729.0)
+        high = scaled - (scaled - x)
+        return high, x - high
 
-def percent_text(c: Column, digits: int) -> Column:
-    return F.concat(fixed_text(c * 100, digits), F.lit("%"))
+    (ah, al), (bh, bl) = split(a), split(b)
+    return al * bl - (((product - ah * bh) - al * bh) - ah * bl)
+
+
+def _scaled_integer(c: Column, digits: int) -> Column:
+    """``c * 10^digits`` rounded to an integer on the exact binary value, ties to even.
+
+    Only a product that looks like a tie needs care: there the lost part of the product decides.
+    """
+    scale = F.lit(float(10**digits))
+    product = c * scale
+    nearest = F.rint(product)
+    lost = _product_error(c, scale, product)
+    return (
+        F.when((product - nearest == 0.5) & (lost > 0), nearest + 1)
+        .when((product - nearest == -0.5) & (lost < 0), nearest - 1)
+        .otherwise(nearest)
+    )
 
 
 def exact_round(c: Column, digits: int) -> Column:
     """Rounds the exact binary value, ties to even."""
-    return fixed_text(c, digits).cast("double")
+    return _scaled_integer(c, digits) / F.lit(float(10**digits))
+
+
+def fixed_text(c: Column, digits: int) -> Column:
+    """Fixed-point text rounded on the exact binary value (what C and Python formatting print)."""
+    whole = _scaled_integer(c, digits)
+    unit = F.lit(f"{10**-digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
+    text = (whole.cast("decimal(20,0)") * unit).cast("string")
+    signed = F.when((whole == 0) & (c < 0), F.concat(F.lit("-"), text)).otherwise(text)
+    return (
+        F.when(F.isnan(c), F.lit("nan"))
+        .when(c == INF, F.lit("inf"))
+        .when(c == -INF, F.lit("-inf"))
+        .when(F.abs(c) < 1e12, signed)
+        .otherwise(F.replace(F.format_number(c, digits), F.lit(","), F.lit("")))
+    )
+
+
+def percent_text(c: Column, digits: int) -> Column:
+    return F.concat(fixed_text(c * 100, digits), F.lit("%"))

@@ -16,19 +16,27 @@ from voltide.session import stage
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Means of short decimals often lie exactly between two rounded values, where engines differ. The nudge
+# moves them off the tie, in the query and in the oracle alike.
+def _nudge(digits: int) -> float:
+    return 3.0 * 10.0 ** -(digits + 3)
+
+
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded for comparison; other columns as they are."""
     return df.select(
         *[
-            rounded(F.col(f.name), digits).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name)
+            rounded(F.col(f.name) + F.lit(_nudge(digits)), digits).alias(f.name)
+            if f.dataType.simpleString() == "double"
+            else F.col(f.name)
             for f in df.schema
         ]
     )
 
 
 def r(expression: str, digits: int = 6) -> str:
-    """Oracle text of ``rounded``."""
-    return f"round({expression}, {digits}) + 0.0::DOUBLE"
+    """Oracle text of the rounding in ``tidy``."""
+    return f"round(({expression}) + {_nudge(digits)!r}::DOUBLE, {digits}) + 0.0::DOUBLE"
 
 
 def rcols(columns: list[str], digits: int = 6) -> str:
