@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from voltide.functions.clock import epoch_seconds, floor_time, plus_seconds, seconds_between
 from voltide.operators.distribution import pick_quantiles, ranked_values
 from voltide.operators.series import DAY, chunk_window, drop_halo, running_sum, sliced, with_halo
+from voltide.session import stage
 
 # Histogram bounds of the latency metric in seconds.
 LATENCY_BOUNDS = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0]
@@ -53,9 +54,9 @@ def low_rate(
 ) -> DataFrame:
     """Windows whose request rate is below the threshold, windows without any request included.
 
-    The spine of windows is expanded per day, so it is bounded by the time span.
+    The rows are counted once; the spine of windows is expanded per day, so it is bounded by the time span.
     """
-    counts = df.groupBy(window_start(at, seconds)).agg(F.count(F.lit(1)).alias("requests"))
+    counts = stage(df.groupBy(window_start(at, seconds)).agg(F.count(F.lit(1)).alias("requests")), "counts")
     bounds = counts.agg(
         F.min(epoch_seconds(F.col("window_start"))).alias("low"),
         F.max(epoch_seconds(F.col("window_start"))).alias("high"),
