@@ -55,6 +55,9 @@ def test_range_latest_and_increment(spark):
     part = source.date_range(table, "2025-11-01 05:00:00", "2025-11-01 09:00:00")
     assert part.count() == 5
     assert_same(collected(source.latest_n(table, 7)), frame.tail(7).reset_index(drop=True))
+    for chunk in (3600, 5 * 3600, 86_400):
+        small = source.latest_n(table, 7, chunk_seconds=chunk)
+        assert_same(collected(small), frame.tail(7).reset_index(drop=True))
     assert source.latest_n(table).count() == 50
     done = table.where(F.dayofmonth("datetime") < 2)
     last = done.agg(F.max("datetime")).first()[0]

@@ -70,7 +70,7 @@ QUERIES: dict[str, Query] = {
     "source_date_range": lambda s, d: tidy(
         source.date_range(V.bar_table(s, d), "2024-01-05 00:00:00", "2024-01-12 12:00:00")
     ),
-    "source_latest_n": lambda s, d: tidy(source.latest_n(V.bars(s, d))),
+    "source_latest_n": lambda s, d: tidy(source.latest_n(V.bar_table(s, d))),
     "sort_bars": lambda s, d: tidy(source.sort_bars(V.bars(s, d))),
     "csv_bars_roundtrip": lambda s, d: tidy(_csv_roundtrip(s, d)),
     "parquet_features_roundtrip": lambda s, d: tidy(_read_versions(s, d)),

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from voltide import schema as S
 from voltide.functions.numeric import finite_or_null
+from voltide.operators.series import CHUNK, DEFAULT_CHUNK, chunked
 
 VERSION_FORMAT = "yyyyMMdd_HHmmss"
 
@@ -88,10 +89,31 @@ def date_range(df: DataFrame, start: str | None = None, end: str | None = None)
     return df
 
 
-def latest_n(df: DataFrame, n: int = S.FETCH_SIZE, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Newest ``n`` rows per series; the row limit is applied on the map side as well."""
-    newest = Window.partitionBy(*keys).orderBy(F.col("datetime").desc())
-    return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).drop("_rank")
+def latest_n(
+    df: DataFrame,
+    n: int = S.FETCH_SIZE,
+    keys: Sequence[str] = ("symbol",),
+    chunk_seconds: int = DEFAULT_CHUNK,
+) -> DataFrame:
+    """Newest ``n`` rows per series.
+
+    Counts per time chunk tell how many rows are newer than each chunk; only chunks that can still hold
+    one of the newest rows are kept, and rows are ranked inside their chunk.
+    """
+    group = [*keys, CHUNK]
+    rows = chunked(df, "datetime", chunk_seconds)
+    newest_first = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
+    newer = F.sum("_count").over(newest_first.rowsBetween(Window.unboundedPreceding, -1))
+    wanted = (
+        rows.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("_count"))
+        .withColumn("_newer", F.coalesce(newer, F.lit(0)))
+        .where(F.col("_newer") < n)
+        .select(*group, "_newer")
+    )
+    inside = Window.partitionBy(*group).orderBy(F.col("datetime").desc())
+    ranked = rows.withColumn("_rank", F.row_number().over(inside)).where(F.col("_rank") <= n)
+    return ranked.join(wanted, group).where(F.col("_rank") + F.col("_newer") <= n).select(*df.columns)
 
 
 def sort_bars(df: DataFrame) -> DataFrame:
