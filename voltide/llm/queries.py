@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltide.llm import rules
+from voltide.llm import naming, packing, rules
 from voltide.llm.tables import table
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -23,8 +27,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return naming.groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op10_block_naming": op10_block_naming,
 }
 
 ORACLE: dict[str, str] = {}
