@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltide.llm import naming, packing, rules
+from voltide.llm import bpe, classifier, edits, naming, packing, pii, rules
 from voltide.llm.tables import table
 
 
+SURROGATE_KEY = b"voltide surrogates"
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, SURROGATE_KEY, count="n_replaced")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = classifier.fit(docs, table(spark, sf_dir, "labels"), "quality")
+    return classifier.score_documents(docs, model)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -27,13 +47,35 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document before and after four drawn edits."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", edits.drawn_edits(F.col("doc_id"), text).alias("edits")
+    )
+    edited = edits.apply_edits(edits.plant(docs, ranks), ranks)
+    return edited.select(
+        "doc_id",
+        "n_tokens",
+        "n_tokens_edited",
+        "n_chars_encoded",
+        F.length("text").cast("long").alias("n_chars_edited"),
+        F.sha2("text", 256).alias("edited_sha256"),
+    )
+
+
 def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_surrogates": op4_surrogates,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_subword_classifier": op6_subword_classifier,
     "op7_quality_rules": op7_quality_rules,
+    "op9_edited_token_counts": op9_edited_token_counts,
     "op10_block_naming": op10_block_naming,
 }
 
