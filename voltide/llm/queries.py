@@ -6,13 +6,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import bpe, classifier, edits, naming, packing, pii, rules
+from voltide.llm import bpe, chat, classifier, edits, naming, neardup, packing, pii, rules, warc
 from voltide.llm.tables import table
 
 
 SURROGATE_KEY = b"voltide surrogates"
 
 
+def op1_archive_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.round_trip(table(spark, sf_dir, "pages"))
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "rank"
+    )
+
+
+def op2_chat_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return chat.digests(chat.assemble(rows.unionByName(added), ranks), ranks)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -47,6 +62,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_weighted_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents")).drop("row_id")
+
+
 def op9_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document before and after four drawn edits."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -70,11 +89,14 @@ def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_archive_index": op1_archive_index,
+    "op2_chat_assembly": op2_chat_assembly,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_surrogates": op4_surrogates,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_subword_classifier": op6_subword_classifier,
     "op7_quality_rules": op7_quality_rules,
+    "op8_weighted_near_duplicates": op8_weighted_near_duplicates,
     "op9_edited_token_counts": op9_edited_token_counts,
     "op10_block_naming": op10_block_naming,
 }
