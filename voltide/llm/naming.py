@@ -17,10 +17,10 @@ rows with the same ``doc_id`` and equal text exactly one is kept. An empty table
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.tables import free_name
+from voltide.llm.tables import first_of_each, free_name
 from voltide.session import stage
 
 BLOCK_BYTES = 8192
@@ -138,10 +138,8 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", block_bytes:
 
 def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents without the copies, all columns as they were."""
-    mark, turn = free_name(docs.columns, "digest"), free_name(docs.columns, "turn")
+    mark = free_name(docs.columns, "digest")
     kept = groups(docs, id, text, block_bytes).filter("kept").select(F.col(id).alias("keep"), "text_sha256")
     marked = docs.withColumn(mark, text_digest(F.col(text)))
     same = marked[id].eqNullSafe(kept["keep"]) & (marked[mark] == kept["text_sha256"])
-    order = [F.col(c).cast("string") for c in docs.columns]
-    one = F.row_number().over(Window.partitionBy(id, mark).orderBy(*order))
-    return marked.join(kept, same, "left_semi").withColumn(turn, one).filter(F.col(turn) == 1).drop(mark, turn)
+    return first_of_each(marked.join(kept, same, "left_semi"), [id, mark]).drop(mark)

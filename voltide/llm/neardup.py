@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltide.llm.components import components
-from voltide.llm.tables import free_name
+from voltide.llm.tables import first_of_each, free_name
 from voltide.session import stage
 
 SHINGLE = 5
@@ -398,7 +398,7 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
         rows.select("row_id", "id", "d1", "d2")
         .join(classes.select("d1", "d2", "v"), ["d1", "d2"])
         .join(named, "v", "left")
-        .select("row_id", "id", F.coalesce("component", "v").alias("component")),
+        .select("row_id", "id", "d1", "d2", F.coalesce("component", "v").alias("component")),
         "near-classes",
     )
     heads = stage(placed.groupBy("component").agg(head, F.count(F.lit(1)).alias("group_size")), "near-heads")
@@ -407,10 +407,33 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
         F.col("head.id").alias("class_id"),
         "group_size",
         (F.col("row_id") == F.col("head.row_id")).alias("kept"),
-        "row_id",
+        F.struct("d1", "d2").alias("words_id"),
     )
 
 
+def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each class, all columns as they were."""
+    at = [docs.columns.index(id), docs.columns.index(text)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = b"".join(identity(words_of(value.as_py())) for value in batch.column(at[1]))
+            halves = np.frombuffer(found, "<i8").reshape(-1, 2)
+            arrays = [*batch.columns, pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *marks])
+
+    marks = [free_name(docs.columns, "d1"), free_name(docs.columns, "d2")]
+    wider = docs.select("*", *(F.lit(0).cast("long").alias(mark) for mark in marks)).schema
+    for mark in marks:
+        wider[mark].nullable = True
+    kept = groups(docs, id, text, similarity).filter("kept").select(F.col(id).alias("keep"), "words_id.*")
+    marked = docs.mapInArrow(run, wider)
+    same = marked[id].eqNullSafe(kept["keep"])
+    for mark, half in zip(marks, ("d1", "d2"), strict=True):
+        same = same & (marked[mark] == kept[half])
+    return first_of_each(marked.join(kept, same, "left_semi"), [id, *marks]).drop(*marks)
+
+
 def _texts_for(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id: str, text: str) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
     return fetch_texts(docs, stage(classes.join(wanted, "v"), "compared"), id, text)

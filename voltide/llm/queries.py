@@ -63,7 +63,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_weighted_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.groups(table(spark, sf_dir, "documents")).drop("row_id")
+    return neardup.groups(table(spark, sf_dir, "documents")).drop("words_id")
 
 
 def op9_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,3 +16,11 @@ def free_name(taken: list[str], wanted: str) -> str:
     while wanted.lower() in lowered:
         wanted = f"_{wanted}"
     return wanted
+
+
+def first_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the first by the text of all its columns."""
+    turn = free_name(rows.columns, "turn")
+    order = [F.to_json(F.struct(F.col(c))) if "<" in kind else F.col(c) for c, kind in rows.dtypes if c not in keys]
+    ranked = rows.withColumn(turn, F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *keys)))
+    return ranked.filter(F.col(turn) == 1).drop(turn)
