@@ -1,13 +1,13 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
-The rank file becomes one literal: an array of small maps from token to rank, a token's place in the array being its
-checksum. A word (a match of the split pattern) that is a token is its own id. Any other word starts as the array of its
-bytes; a fold over it merges, step by step, the leftmost pair of lowest rank and looks up only the two pairs that the merge
-changed. JSON literals hold no bytes, so bytes are written as hex pairs throughout.
+The rank file becomes a literal that gives the rank of two tokens written one after the other. A word (a match of the
+split pattern) that is a token is its own id. Any other word starts as the array of the ids of its bytes; a fold over it
+merges, step by step, the leftmost pair of lowest rank and looks up only the two pairs that the merge changed.
 
 Words are encoded once where it pays: the distinct words of the corpus are counted, the most frequent ones (a bounded
-number, ``remembered``) are encoded on the executors and become a second literal. A word that is not there is folded in place,
-so the bound limits the literal and not the result, and no word crosses the network with its document.
+number, ``remembered``) are encoded on the executors and become a second literal, with the tokens that are words. A word that
+is not there is folded in place, so the bound limits the literal and not the result, and no word crosses the
+network with its document.
 
 Decoding takes each id's bytes from an array literal and concatenates them. The split pattern is run by the JVM; a text with
 a character that the JVM's Unicode version does not know is split by the same pattern with its letter and number
@@ -24,18 +24,20 @@ from __future__ import annotations
 import functools
 import json
 import sys
-import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.llm.encoding import read_ranks
 
-MAPS = 4096
-REMEMBERED = 1 << 16
+MAPS = 1 << 17
+PAIR_LISTS = 1 << 16
+REMEMBERED = 1 << 18
+MARK, REST = -1, 1 << 30
 SHARES = 64
 
 
@@ -76,13 +78,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def place(key: Column) -> Column:
-    return F.pmod(F.crc32(key.cast("binary")), F.lit(MAPS)).cast("int")
+    return F.pmod(F.xxhash64(key), F.lit(MAPS)).cast("int")
 
 
 def maps_of(entries: dict[str, object]) -> list[dict[str, object]]:
+    """The entries in ``MAPS`` small maps; Spark's hash of a key is the public 64-bit one with seed 42, signed."""
     maps: list[dict[str, object]] = [{} for _ in range(MAPS)]
     for key, value in entries.items():
-        maps[zlib.crc32(key.encode()) % MAPS][key] = value
+        hashed = xxhash.xxh64_intdigest(key.encode(), seed=42)
+        maps[(hashed - (1 << 64) if hashed >> 63 else hashed) % MAPS][key] = value
     return maps
 
 
@@ -90,76 +94,100 @@ def look_up(maps: Column, key: Column) -> Column:
     return F.try_element_at(F.get(maps, place(key)), key)
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    return literal(maps_of({t.hex().upper(): r for t, r in ranks.items()}), "array<map<string,int>>")
+class Merges:
+    """The rank map as literals: ``merged(left, right)`` is the rank of two tokens written one after the other.
 
+    A pair of ids is one number. The pairs lie in an array of short lists ``[null, pair, rank, pair, rank, ...]``; the list
+    position of a pair points to its rank, and position 0, for pairs that are not there, to the null.
+    """
 
-def encode_word(ranks: Column, word: Column) -> Column:
-    """Ids of one word (not empty): its own rank, or those left after folding the merges."""
+    def __init__(self, ranks: dict[bytes, int]):
+        self.base = max(ranks.values()) + 2
+        lists: list[list[int | None]] = [[None] for _ in range(PAIR_LISTS)]
+        for token, rank in ranks.items():
+            for at in range(1, len(token)):
+                left, right = ranks.get(token[:at]), ranks.get(token[at:])
+                if left is not None and right is not None:
+                    pair = (left + 1) * self.base + right
+                    lists[pair % PAIR_LISTS] += (pair, rank)
+        self.lists = lists
+        self.bytes = [ranks[bytes((value,))] for value in range(256)]
 
-    def fold(spelled: Column) -> Column:
-        parts = F.regexp_extract_all(spelled, F.lit(".."), F.lit(0))
-        return let(parts, merge_all)
-
-    def merge_all(parts: Column) -> Column:
-        pairs = F.transform(
-            F.sequence(F.lit(0), F.size(parts) - 2),
-            lambda at: look_up(ranks, F.concat(F.get(parts, at), F.get(parts, at + 1))),
+    def merged(self, lists: Column, left: Column, right: Column) -> Column:
+        pair = (left + 1) * self.base + right
+        return let(
+            pair, lambda p: let(F.get(lists, (p % PAIR_LISTS).cast("int")), lambda l: F.get(l, F.array_position(l, p)))
         )
-        start = F.struct(parts.alias("parts"), pairs.alias("pairs"))
-        merged = F.aggregate(F.sequence(F.lit(2), F.size(parts)), start, lambda state, _: step(state))
-        return F.transform(merged["parts"], lambda part: look_up(ranks, part))
-
-    def step(state: Column) -> Column:
-        best = F.array_min(state["pairs"])
-        changed = let(F.array_position(state["pairs"], best).cast("int"), lambda at: merge(state, at))
-        return F.when(best.isNull(), state).otherwise(changed)
-
-    def merge(state: Column, at: Column) -> Column:
-        # ``at`` counts from 1: parts[at] and parts[at + 1] become one.
-        parts, pairs = state["parts"], state["pairs"]
+
+    def bind(self, body: Callable[[Column, Column], Column]) -> Column:
+        """``body(lists, byte ids)`` with both literals bound once."""
         return let(
-            F.concat(F.element_at(parts, at), F.element_at(parts, at + 1)),
-            lambda joined: F.struct(
-                F.concat(
-                    F.slice(parts, F.lit(1), at - 1), F.array(joined), F.slice(parts, at + 2, F.size(parts))
-                ).alias("parts"),
-                F.concat(
-                    F.slice(pairs, F.lit(1), F.greatest(at - 2, F.lit(0))),
-                    F.when(at > 1, F.array(look_up(ranks, F.concat(F.get(parts, at - 2), joined)))).otherwise(
-                        F.array().cast("array<int>")
-                    ),
-                    F.when(
-                        at + 1 < F.size(parts), F.array(look_up(ranks, F.concat(joined, F.get(parts, at + 1))))
-                    ).otherwise(F.array().cast("array<int>")),
-                    F.slice(pairs, at + 2, F.size(parts)),
-                ).alias("pairs"),
-            ),
+            literal(self.lists, "array<array<bigint>>"),
+            lambda lists: let(literal(self.bytes, "array<bigint>"), lambda byte_ids: body(lists, byte_ids)),
         )
 
-    return let(
-        F.hex(word.cast("binary")),
-        lambda spelled: let(
-            look_up(ranks, spelled),
-            lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(fold(spelled)),
-        ),
-    )
+    def fold(self, lists: Column, byte_ids: Column, word: Column) -> Column:
+        """Ids of one word (not empty) that is no token itself.
+
+        The state is the array of ids, with a mark before it, and the array of the ranks of neighbours: null where two
+        do not merge, and behind the last. A step merges the leftmost pair of lowest rank; the rank is the new id.
+        """
+        hexed = F.regexp_extract_all(F.hex(word.cast("binary")), F.lit(".."), F.lit(0))
+        ids = F.transform(hexed, lambda h: F.get(byte_ids, F.conv(h, 16, 10).cast("int")))
+
+        def start(parts: Column) -> Column:
+            pairs = F.transform(parts, lambda left, at: self.merged(lists, left, F.get(parts, at + 1)))
+            steps = F.sequence(F.lit(3), F.greatest(F.size(parts), F.lit(3)))
+            state = F.struct(parts.alias("parts"), pairs.alias("pairs"))
+            return F.aggregate(steps, state, lambda s, _: step(s))["parts"]
+
+        def step(state: Column) -> Column:
+            return let(
+                F.array_min(state["pairs"]),
+                lambda best: F.when(best.isNull(), state).otherwise(
+                    let(F.array_position(state["pairs"], best).cast("int"), lambda at: merge(state, best, at))
+                ),
+            )
+
+        def merge(state: Column, best: Column, at: Column) -> Column:
+            parts, pairs = state["parts"], state["pairs"]
+            changed = F.array(
+                self.merged(lists, F.get(parts, at - 2), best), self.merged(lists, best, F.get(parts, at + 1))
+            )
+            return F.struct(
+                F.concat(F.slice(parts, F.lit(1), at - 1), F.array(best), F.slice(parts, at + 2, REST)).alias("parts"),
+                F.concat(F.slice(pairs, F.lit(1), at - 2), changed, F.slice(pairs, at + 2, REST)).alias("pairs"),
+            )
+
+        folded = let(F.concat(F.array(F.lit(MARK).cast("bigint")), ids), start)
+        return F.slice(folded, F.lit(2), REST)
+
+
+def token_words(ranks: dict[bytes, int]) -> dict[str, list[int]]:
+    """The tokens that are whole characters; such a word is its own id."""
+    words = {}
+    for token, rank in ranks.items():
+        try:
+            words[token.decode()] = [rank]
+        except UnicodeDecodeError:
+            continue
+    return words
 
 
-def frequent_words(docs: DataFrame, text: str, ranks: dict[bytes, int], remembered: int) -> dict[str, list[int]]:
+def frequent_words(docs: DataFrame, text: str, merges: Merges, remembered: int) -> dict[str, list[int]]:
     """Ids of the most frequent distinct words, the same number from each of ``SHARES`` shares of the words."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     counted = docs.select(F.explode(words_of(body)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    share = F.pmod(F.xxhash64("word"), F.lit(SHARES))
     order = Window.partitionBy("share").orderBy(F.desc("n"), "word")
     top = (
         counted.filter("n > 1")
-        .withColumn("share", share)
+        .withColumn("share", F.pmod(F.xxhash64("word"), F.lit(SHARES)))
         .withColumn("turn", F.row_number().over(order))
         .filter(F.col("turn") <= remembered // SHARES)
     )
-    ids = let(rank_literal(ranks), lambda maps: encode_word(maps, F.col("word")))
-    return {row["word"]: row["ids"] for row in top.select("word", ids.alias("ids")).collect()}
+    ids = merges.bind(lambda lists, byte_ids: merges.fold(lists, byte_ids, F.col("word")))
+    found = top.select("word", ids.alias("ids")).toArrow()
+    return dict(zip(found["word"].to_pylist(), found["ids"].to_pylist(), strict=True))
 
 
 def encode(
@@ -173,13 +201,15 @@ def encode(
     if out.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"the input has a column {out}")
     ranks = read_ranks(ranks_path)
-    known = literal(maps_of(frequent_words(docs, text, ranks, remembered)), "array<map<string,array<int>>>")
+    merges = Merges(ranks)
+    known = literal(
+        maps_of(frequent_words(docs, text, merges, remembered) | token_words(ranks)), "array<map<string,array<bigint>>>"
+    )
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    ids = let(
-        rank_literal(ranks),
-        lambda maps: F.flatten(
-            F.transform(words_of(body), lambda word: F.coalesce(look_up(known, word), encode_word(maps, word)))
-        ),
+    ids = merges.bind(
+        lambda lists, byte_ids: F.flatten(
+            F.transform(words_of(body), lambda w: F.coalesce(look_up(known, w), merges.fold(lists, byte_ids, w)))
+        )
     )
     return docs.withColumn(out, ids)
 
