@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import assert_same, bars, collected, walk
+from voltide import schema as S
 from voltide.operators import alerts, features, models, split
 from voltide.session import stage, staging_path
 from voltide.streaming import jobs
@@ -59,10 +60,31 @@ def test_importance_and_cross_validation(spark, rows):
     model = models.fit(rows, ["a", "b"], models.forest({"numTrees": 5, "maxDepth": 3}), scale=False)
     table = models.feature_importance(model, ["a", "b"], spark).collect()
     assert len(table) == 2 and table[0]["importance"] <= table[1]["importance"]
-    got = models.cross_validate(rows, ["a", "b"], models.ridge(rows)).first()
+    got = models.cross_validate(rows, lambda train: models.train_ridge(train, ["a", "b"])).first()
     assert got["folds"] == 5 and got["cv_rmse"] < 0.5
 
 
+def test_fold_penalties_equal_the_closed_form(spark):
+    n, alpha = 120, 50.0
+    x = np.sin(np.arange(n) * 1.7)
+    y = 3 * x + np.where(np.arange(n) < 60, 0.1, 2.0) * np.cos(np.arange(n) * 0.9)
+    fold = np.where(np.arange(n) < 20, -1, (np.arange(n) - 20) // 20)
+    table = spark.createDataFrame(
+        [(float(a), float(b), int(f)) for a, b, f in zip(x, y, fold)], f"a double, {S.TARGET} double, test_fold int"
+    )
+    errors = []
+    for f in range(5):
+        train, test = fold < f, fold == f
+        q1, center, q3 = np.quantile(x[train], [0.25, 0.5, 0.75])
+        scaled = (x - center) / (q3 - q1)
+        mean_x, mean_y = scaled[train].mean(), y[train].mean()
+        dx = scaled[train] - mean_x
+        slope = (dx * (y[train] - mean_y)).sum() / ((dx**2).sum() + alpha)
+        errors.append(((y[test] - mean_y - slope * (scaled[test] - mean_x)) ** 2).mean())
+    got = models.cross_validate(table, lambda train: models.train_ridge(train, ["a"], alpha)).first()
+    assert got["cv_rmse"] == pytest.approx(np.mean(errors) ** 0.5, abs=1e-9)
+
+
 def written(df, name, **options):
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -184,7 +184,10 @@ def test_sustained_and_gaps(spark, chunk):
     held = telemetry.sustained(table, F.col("v") > 0, 120, ["series"], "timestamp", ["id"], chunk).collect()
     assert [(r["samples"], r["held_seconds"]) for r in held] == [(3, 120.0)]
     gaps = telemetry.service_gaps(table, 3600, chunk_seconds=chunk).collect()
-    assert [r["gap_seconds"] for r in gaps] == [3900.0]
+    assert [(r["gap_seconds"], r["is_open"]) for r in gaps] == [(3900.0, False)]
+    later = T0 + dt.timedelta(seconds=4300 + 7200)
+    silent = telemetry.service_gaps(table, 3600, chunk_seconds=chunk, as_of=later).where("is_open").collect()
+    assert [(r["gap_seconds"], r["resumed"]) for r in silent] == [(7200.0, None)]
 
 
 def test_metrics_and_folds(spark):

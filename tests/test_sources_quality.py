@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import pytest
@@ -8,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tests.helpers import assert_same, bars, collected, walk
 from voltide import schema as S
-from voltide.operators import quality
+from voltide.operators import clean, distribution, quality, series, split
+from voltide.session import stage
 from voltide.sources import bars as source
 
+T0 = dt.datetime(2025, 1, 1)
+
 PAYLOADS = [
     {"symbol": "EUR/USD", "values": [
         {"datetime": "2025-11-01 01:00:00", "open": "1.1", "high": "1.2", "low": "1.0", "close": "1.15"},
@@ -142,3 +146,42 @@ def test_quarantine(spark):
     good, bad = quality.quarantine(table)
     assert good.select("symbol").distinct().collect()[0][0] == "A" and good.count() == 30
     assert bad.count() == 10
+
+
+def null_keys(spark):
+    rows = [("a", T0 + dt.timedelta(hours=i), float(i)) for i in range(30)]
+    rows += [(None, T0 + dt.timedelta(hours=i), float(i) if i % 2 else None) for i in range(30)]
+    rows += [("a", None, 5.0), (None, None, None)]
+    return spark.createDataFrame([(s, t, v, v, v, v) for s, t, v in rows], S.BAR_SCHEMA)
+
+
+def test_no_row_vanishes_for_a_missing_key(spark):
+    table = null_keys(spark)
+    filled = clean.handle_missing(table, "forward")
+    assert filled.count() == 62 and filled.where("close is null").count() == 2
+    assert clean.handle_missing(table, "backward").count() == 62
+    indexed = series.row_index(table, index="i", size="n")
+    assert indexed.count() == 62 and indexed.where("i is null").count() == 2
+    assert indexed.groupBy("symbol").agg(F.max("n").alias("n")).where("n = 30").count() == 2
+    assert series.running_sum(table, "open", "total").count() == 62
+    assert clean.remove_outliers(table).count() == 62
+    passed, failed = quality.quarantine(table, min_points=1000)
+    assert passed.count() == 0 and failed.count() == 62
+    assert source.newer_than(table, table).count() == 0
+    halo = series.drop_halo(series.with_halo(table, lookback=2, chunk_seconds=7200))
+    assert halo.count() == 62
+    ranked = distribution.ranked_values(table, ["symbol"], "close")
+    assert ranked.where("symbol is null").count() == 15
+    assert split.time_split(table).where("split is null").count() == 2
+
+
+def test_the_outlier_plan_grows_by_one_scan_per_column(spark):
+    table = stage(null_keys(spark), "outliers")
+    plan = clean.remove_outliers(table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 5
+
+
+def test_all_failed_checks_are_counted(spark):
+    table = spark.createDataFrame([(f"s{i}", T0, 1.0, 1.0, 1.0, 1.0) for i in range(40)], S.BAR_SCHEMA)
+    with pytest.raises(quality.DataQualityError, match="40 checks failed"):
+        quality.validate(table, keys=["symbol"])

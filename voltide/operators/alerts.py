@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import astuple, dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltide.functions.clock import plus_seconds, seconds_between
 from voltide.functions.numeric import fixed_text, percent_text
+from voltide.operators.series import DEFAULT_CHUNK, chunk_window, drop_halo, running_sum, with_halo
+from voltide.session import stage
 
 
 @dataclass(frozen=True)
@@ -22,6 +25,7 @@ class Rule:
     severity: str
     template: str
     style: str = "number3"
+    hold_seconds: int = 0
 
 
 SEVERITIES = ["info", "warning", "critical"]
@@ -53,12 +57,25 @@ TIERED_RULES = [
     Rule("error_tier_1", "error_rate", 0.01, "gt", "warning", "Error rate {value} above {threshold}", "percent2"),
 ]
 
+# Alarm rules that must hold for a time before they fire.
+HELD_RULES = [
+    Rule("high_prediction_latency", "prediction_latency_seconds", 0.5, "gt", "warning", "{value}", "number3", 300),
+    Rule("critical_prediction_latency", "prediction_latency_seconds", 1.0, "gt", "critical", "{value}", "number3", 120),
+    Rule("high_data_drift", "drift_ratio", 0.2, "gt", "warning", "{value}", "percent2", 600),
+    Rule("critical_data_drift", "drift_ratio", 0.5, "gt", "critical", "{value}", "percent2", 300),
+    Rule("high_error_rate", "error_rate", 0.05, "gt", "warning", "{value}", "percent2", 300),
+    Rule("low_prediction_rate", "request_rate", 0.01, "lt", "info", "{value}", "number3", 900),
+]
+
 RULE_COLUMNS = (
     "name string, metric_name string, threshold double, comparison string, severity string, "
-    "template string, style string"
+    "template string, style string, hold_seconds long"
 )
 
 
+_RULED = ["metric_name", "threshold", "comparison"]
+
+
 def upsert_rule(rules: Sequence[Rule], rule: Rule) -> list[Rule]:
     """A rule with the same name is replaced in place."""
     if any(r.name == rule.name for r in rules):
@@ -84,16 +101,54 @@ def _text(column: str):
     )
 
 
-def evaluate(metrics: DataFrame, rules: Sequence[Rule] = tuple(DEFAULT_RULES)) -> DataFrame:
-    """Every rule that a metric row breaks. The rules are a driver-side list, so their table is broadcast."""
+def _breaks() -> Column:
     value, limit, how = F.col("value"), F.col("threshold"), F.col("comparison")
-    fires = (
+    return (
         F.when(how == "gt", value > limit)
         .when(how == "lt", value < limit)
         .when(how == "gte", value >= limit)
         .when(how == "lte", value <= limit)
         .otherwise(F.lit(False))
     )
+
+
+def states(
+    metrics: DataFrame, rules: Sequence[Rule] = tuple(HELD_RULES), chunk_seconds: int = DEFAULT_CHUNK
+) -> DataFrame:
+    """One row per stretch of samples that break a rule, with when it became pending, fired and was resolved.
+
+    A rule fires once it has been broken on every sample for its hold time. The sample behind a stretch resolves it; a
+    stretch that reaches the last sample is open. States: ``pending`` (open, not yet held), ``firing`` (open, held),
+    ``resolved`` (held, over) and ``cleared`` (over before it was held). Stretches are numbered by a running sum of changes per
+    time chunk, so no rule's samples are gathered in one task.
+    """
+    keys, at = ["name"], "ts"
+    table = rule_table(metrics.sparkSession, rules).select("name", "severity", "hold_seconds", *_RULED)
+    marked = metrics.join(F.broadcast(table), "metric_name").select(
+        "name", "severity", "hold_seconds", at, F.coalesce(_breaks(), F.lit(False)).alias("_on")
+    )
+    rows = with_halo(
+        stage(marked, "ruled"), 1, 1, keys=keys, order=at, carry=["_on"], chunk_seconds=chunk_seconds
+    )
+    window = chunk_window(keys, at)
+    changed = F.coalesce((F.col("_on") != F.lag("_on", 1).over(window)).cast("int"), F.lit(0))
+    steps = drop_halo(rows.withColumns({"_changed": changed, "_next": F.lead(at, 1).over(window)}))
+    stretches = running_sum(steps, "_changed", "_stretch", keys, at, chunk_seconds=chunk_seconds).where("_on")
+    open_end = F.max(F.col("_next").isNull())
+    held = seconds_between(F.max(at), F.min(at)) >= F.first("hold_seconds")
+    found = stretches.groupBy("name", "severity", "_stretch").agg(
+        F.min(at).alias("pending_at"),
+        F.when(held, plus_seconds(F.min(at), F.first("hold_seconds"))).alias("fired_at"),
+        F.when(~open_end, F.max("_next")).alias("resolved_at"),
+        F.count(F.lit(1)).alias("samples"),
+    )
+    fired, over = F.col("fired_at").isNotNull(), F.col("resolved_at").isNotNull()
+    state = F.when(fired & over, "resolved").when(fired, "firing").when(over, "cleared").otherwise("pending")
+    return found.withColumn("state", state).drop("_stretch")
+
+
+def evaluate(metrics: DataFrame, rules: Sequence[Rule] = tuple(DEFAULT_RULES)) -> DataFrame:
+    """Every rule that a metric row breaks. The rules are a driver-side list, so their table is broadcast."""
     table = rule_table(metrics.sparkSession, rules)
     message = F.replace(
         F.replace(F.col("template"), F.lit("{value}"), _text("value")),
@@ -102,7 +157,7 @@ def evaluate(metrics: DataFrame, rules: Sequence[Rule] = tuple(DEFAULT_RULES)) -
     )
     return (
         metrics.join(F.broadcast(table), "metric_name")
-        .where(fires)
+        .where(_breaks())
         .select(
             "ts",
             "name",

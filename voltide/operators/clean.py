@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltide import schema as S
+from voltide.functions.joins import join_keys
 from voltide.functions.numeric import finite_or_null
 from voltide.operators.features import feature_frame
 from voltide.operators.series import DEFAULT_CHUNK, fill
@@ -29,8 +30,8 @@ def handle_missing(
 ) -> DataFrame:
     """Fill every value column along the series, or drop incomplete rows.
 
-    The order column itself cannot be filled: a row without a time has no place in a distributed
-    series and must be rejected at ingest. An unknown method leaves the data as it is.
+    The order column itself cannot be filled: a row without a time has no place in its series and stays as
+    it is. An unknown method leaves the data as it is.
     """
     if method == "drop":
         return df.na.drop("any")
@@ -58,20 +59,20 @@ def remove_outliers(
 
     The moments for each column come from the rows that survived the previous column; NULL values
     stay. A column with zero deviation has no z-score, so its non-null rows go. Moments are partial
-    aggregates (no series is gathered anywhere); the moments table has one row per series and Spark
-    picks the join by its measured size.
+    aggregates (no series is gathered anywhere) and have one row per series. They are written before
+    the next column reads them, so the plan grows by one join per column and nothing runs twice.
     """
     threshold = S.OUTLIER_STD if threshold is None else threshold
     kept = df
     for c in S.OUTLIER_ORDER if columns is None else columns:
         if c not in df.columns:
             continue
-        moments = kept.groupBy(*keys).agg(
-            F.avg(c).alias("_mean"), F.stddev_pop(c).alias("_deviation")
+        moments = stage(
+            kept.groupBy(*keys).agg(F.avg(c).alias("_mean"), F.stddev_pop(c).alias("_deviation")), "moments"
         )
         z = F.try_divide(F.abs(F.col(c) - F.col("_mean")), F.col("_deviation"))
         kept = (
-            kept.join(moments, list(keys))
+            join_keys(kept, moments, keys)
             .where((z < threshold) | F.col(c).isNull())
             .select(*df.columns)
         )
@@ -87,7 +88,7 @@ def outlier_counts(
         F.count(F.lit(1)).alias("rows_kept")
     )
     kept = F.coalesce("rows_kept", F.lit(0).cast("long"))
-    return before.join(after, list(keys), "left").select(
+    return join_keys(before, after, keys, "left").select(
         *keys,
         "rows_before",
         kept.alias("rows_after"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from voltide.functions.joins import join_keys
 from voltide.session import stage
 
 SLICE = "_slice"
@@ -61,7 +62,7 @@ def ranked_values(
             **{f"_inside_{n}": F.sum(n).over(running) for n in counts},
         }
     )
-    return local.join(slices, [*keys, SLICE]).select(
+    return join_keys(local, slices, [*keys, SLICE]).select(
         *keys,
         value,
         F.coalesce("_next", "_after").alias("next_value"),
@@ -80,7 +81,7 @@ def sum_before(ranked: DataFrame, keys: Sequence[str], value: str, column: str,
     inside = Window.partitionBy(*keys, SLICE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = ranked.withColumn("_local", F.coalesce(F.sum(column).over(inside), F.lit(0.0)))
     return (
-        local.join(earlier, [*keys, SLICE])
+        join_keys(local, earlier, [*keys, SLICE])
         .withColumn(into, F.col("_local") + F.col("_earlier"))
         .drop("_local", "_earlier")
     )

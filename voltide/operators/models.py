@@ -5,8 +5,11 @@ The scaler is a stage of every pipeline, so a model scores raw feature columns t
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -29,14 +32,26 @@ RIDGE_ALPHA = 1.0
 SEED = 42
 
 VECTOR = "feature_vector"
+# Independent fits that are submitted together; small fits leave most of a cluster idle.
+PARALLEL_FITS = 6
+# How trees are grown, with no influence on the result: node ids are kept between levels, all nodes of a level fit one pass.
+GROWING = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
+
+Result = TypeVar("Result")
+
+
+def together(jobs: Sequence[Callable[[], Result]], parallel: int = PARALLEL_FITS) -> list[Result]:
+    """Results of independent jobs, submitted from a few threads as Spark's own cross-validator does."""
+    with ThreadPool(max(1, min(parallel, len(jobs)))) as pool:
+        return pool.map(inheritable_thread_target(lambda job: job()), jobs, chunksize=1)
 
 
 def gbt(params: Mapping[str, object] = PLAIN, label: str = S.TARGET, output: str = "prediction") -> GBTRegressor:
-    return GBTRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=output, seed=SEED, **params)
+    return GBTRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=output, seed=SEED, **GROWING, **params)
 
 
 def forest(params: Mapping[str, object] = FOREST, label: str = S.TARGET, output: str = "prediction") -> RandomForestRegressor:
-    return RandomForestRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=output, seed=SEED, **params)
+    return RandomForestRegressor(featuresCol=VECTOR, labelCol=label, predictionCol=output, seed=SEED, **GROWING, **params)
 
 
 def ridge(
@@ -105,6 +120,7 @@ def train_stack(
     folds: int = 5,
     label: str = S.TARGET,
     alpha: float = RIDGE_ALPHA,
+    parallel: int = PARALLEL_FITS,
     **base_params: Mapping[str, object],
 ) -> PipelineModel:
     """Out-of-fold predictions of the base models feed a ridge; base models are refitted on all rows.
@@ -116,23 +132,31 @@ def train_stack(
     prepared = stage(prepare.transform(train).select("fold", VECTOR, label), "stack")
     bases = base_models(rows, label, **base_params)
     outputs = [f"p_{name}" for name in bases]
+    prepared = prepared.persist()
+    inputs = [*(prepared.where(F.col("fold") != f) for f in range(folds)), prepared]
+    # the last fits are those on all rows; the slowest estimators are started first
+    fitted = together([lambda e=e, rows=rows: e.fit(rows) for e in bases.values() for rows in inputs], parallel)
+    by_base = [fitted[k : k + folds + 1] for k in range(0, len(fitted), folds + 1)]
     held_out = None
     for f in range(folds):
-        fitted = Pipeline(stages=list(bases.values())).fit(prepared.where(F.col("fold") != f))
-        scored = fitted.transform(prepared.where(F.col("fold") == f)).select(*outputs, label)
+        scorer = PipelineModel(stages=[models[f] for models in by_base])
+        scored = scorer.transform(prepared.where(F.col("fold") == f)).select(*outputs, label)
         held_out = scored if held_out is None else held_out.unionByName(scored)
     meta_rows = stage(held_out, "held_out")
     gather = VectorAssembler(inputCols=outputs, outputCol="stacked")
     meta = ridge(meta_rows, alpha, label, "stacked").fit(gather.transform(meta_rows))
-    refitted = [e.fit(prepared) for e in bases.values()]
+    refitted = [models[-1] for models in by_base]
+    prepared.unpersist()
     return PipelineModel(stages=[*prepare.stages, *refitted, gather, meta])
 
 
-def cross_validate(df: DataFrame, features: Sequence[str], estimator: Estimator, folds: int = 5, label: str = S.TARGET) -> DataFrame:
-    """RMSE over expanding folds: fit on rows with an earlier ``test_fold``, score the fold."""
+def cross_validate(
+    df: DataFrame, train: Callable[[DataFrame], PipelineModel], folds: int = 5, label: str = S.TARGET
+) -> DataFrame:
+    """RMSE over expanding folds: ``train`` sees the rows with an earlier ``test_fold`` only, its model scores the fold."""
     scored = None
     for f in range(folds):
-        model = fit(df.where(F.col("test_fold") < f), features, estimator)
+        model = train(df.where(F.col("test_fold") < f))
         part = model.transform(df.where(F.col("test_fold") == f)).select("test_fold", label, "prediction")
         scored = part if scored is None else scored.unionByName(part)
     return cv_rmse(scored, label)

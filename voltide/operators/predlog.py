@@ -29,12 +29,12 @@ def stats(predictions: DataFrame, metrics: DataFrame | None = None, last: int =
         none.cast("double").alias("model_accuracy"),
     )
     recent = newest(predictions, last).agg(
-        F.round(F.avg("latency_ms"), 2).alias("avg_latency_ms"),
+        exact_round(F.avg("latency_ms"), 2).alias("avg_latency_ms"),
         F.count_if("drift_detected").alias("drift_alerts"),
     )
     parts = total.unionByName(recent, allowMissingColumns=True)
     if metrics is not None:
-        accuracy = metrics.select(F.round((1 - F.col("mape") / 100) * 100, 1).alias("model_accuracy"))
+        accuracy = metrics.select(exact_round((1 - F.col("mape") / 100) * 100, 1).alias("model_accuracy"))
         parts = parts.unionByName(accuracy, allowMissingColumns=True)
     return parts.agg(
         F.max("total_predictions").alias("total_predictions"),

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltide import schema as S
+from voltide.functions.joins import join_keys
+from voltide.session import stage
 
 REPORT = ["check_name", "column_name", "observed", "limit_value", "passed"]
 
@@ -83,10 +85,12 @@ def validate(df: DataFrame, keys: Sequence[str] = (), **options) -> DataFrame:
     """Return ``df`` if every check passes, else raise with the failed checks. Schema goes first."""
     if not schema_ok(df):
         raise DataQualityError("schema check failed: required columns are missing or not numeric")
-    failed = quality_report(df, keys, **options).where(~F.col("passed"))
-    first = failed.select("check_name", "column_name", "observed").head(20)
-    if first:
-        raise DataQualityError("; ".join(f"{r[0]}({r[1]}) = {r[2]}" for r in first))
+    failed = stage(quality_report(df, keys, **options).where(~F.col("passed")), "failed-checks")
+    n = failed.count()
+    if n:
+        named = failed.groupBy("check_name", "column_name").agg(F.count(F.lit(1)).alias("n"), F.min("observed"), F.max("observed"))
+        spelled = "; ".join(f"{r[0]}({r[1]}): {r[2]} failed, observed {r[3]} to {r[4]}" for r in named.collect())
+        raise DataQualityError(f"{n} checks failed: {spelled}")
     return df
 
 
@@ -95,4 +99,4 @@ def quarantine(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of passing series, and rows of series with a failed check."""
     failed = quality_report(df, keys, **options).where(~F.col("passed")).select(*keys).distinct()
-    return df.join(failed, list(keys), "left_anti"), df.join(failed, list(keys), "left_semi")
+    return join_keys(df, failed, keys, "left_anti"), join_keys(df, failed, keys, "left_semi")

@@ -14,7 +14,8 @@ Time chunks suit bars: their grid bounds the rows of a chunk. Logs have no such
 hold much of the table; ``sliced`` cuts them into equally large ranges of (keys, order, tie) instead and
 every operator here accepts its result.
 
-Rows must have a non-null order column. Ties in it are ordered by ``tie`` columns.
+A missing key is a key like any other. A row without an order value has no place in its series: fills leave it as it is,
+positions and running sums of it are NULL, and it is nobody's neighbour. Ties are ordered by ``tie`` columns.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from voltide.functions.clock import time_chunk
+from voltide.functions.joins import join_keys
 from voltide.session import stage
 
 CHUNK = "_chunk"
@@ -66,6 +68,11 @@ def _series_window(keys: Sequence[str], descending: bool = False) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(chunk.desc() if descending else chunk.asc())
 
 
+def _placed(rows: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with and without an order value."""
+    return rows.where(F.col(order).isNotNull()), rows.where(F.col(order).isNull())
+
+
 def _neighbour_rows(
     rows: DataFrame, keys: Sequence[str], order: str, tie: Sequence[str], count: int, following: bool
 ) -> DataFrame:
@@ -100,7 +107,7 @@ def _neighbour_rows(
         .where(F.col("_gap") < count)
     )
     return (
-        edge.join(reach, group)
+        join_keys(edge, reach, group)
         .where(F.col("_rank") + F.col("_gap") <= count)
         .drop(CHUNK, "_rank", "_gap")
         .withColumnRenamed("_serves", CHUNK)
@@ -124,7 +131,7 @@ def with_halo(
     """
     own = chunked(df, order, chunk_seconds)
     needed = list(dict.fromkeys([*keys, order, *tie, *(df.columns if carry is None else carry), CHUNK]))
-    narrow = own.select(*needed)
+    narrow = own.where(F.col(order).isNotNull()).select(*needed)
     result = own.withColumn(HALO, F.lit(False))
     for count, following in ((lookback, False), (lookahead, True)):
         if count:
@@ -154,16 +161,17 @@ def running_sum(
 ) -> DataFrame:
     """Inclusive running sum along each series."""
     group = [*keys, CHUNK]
-    rows = chunked(df, order, chunk_seconds)
+    rows, placeless = _placed(chunked(df, order, chunk_seconds), order)
     totals = rows.groupBy(*group).agg(F.sum(value).alias("_total"))
     before = _chunk_prefix(totals, keys, "_total", "_before").select(*group, "_before")
     frame = chunk_window(keys, order, tie).rowsBetween(Window.unboundedPreceding, 0)
     inside = rows.withColumn("_inside", F.sum(value).over(frame))
-    return (
-        inside.join(before, group)
+    summed = (
+        join_keys(inside, before, group)
         .withColumn(into, F.col("_inside") + F.col("_before"))
         .drop("_inside", "_before", CHUNK)
     )
+    return summed.unionByName(placeless.drop(CHUNK), allowMissingColumns=True)
 
 
 def row_index(
@@ -177,7 +185,7 @@ def row_index(
 ) -> DataFrame:
     """Zero-based position of every row in its series, and the length of the series."""
     group = [*keys, CHUNK]
-    rows = chunked(df, order, chunk_seconds)
+    rows, placeless = _placed(chunked(df, order, chunk_seconds), order)
     counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_count"))
     whole = Window.partitionBy(*keys)
     offsets = (
@@ -186,11 +194,12 @@ def row_index(
         .select(*group, "_before", size)
     )
     inside = rows.withColumn("_inside", F.row_number().over(chunk_window(keys, order, tie)))
-    return (
-        inside.join(offsets, group)
+    indexed = (
+        join_keys(inside, offsets, group)
         .withColumn(index, F.col("_before") + F.col("_inside") - 1)
         .drop("_before", "_inside", CHUNK)
     )
+    return indexed.unionByName(placeless.drop(CHUNK), allowMissingColumns=True)
 
 
 def fill(
@@ -204,7 +213,7 @@ def fill(
 ) -> DataFrame:
     """Replace nulls by the last (or next) non-null value of the series, over any distance."""
     group = [*keys, CHUNK]
-    rows = chunked(df, order, chunk_seconds)
+    rows, placeless = _placed(chunked(df, order, chunk_seconds), order)
     position = F.struct(*[F.col(c) for c in (order, *tie)])
     pick = F.max_by if forward else F.min_by
     edges = rows.groupBy(*group).agg(
@@ -223,10 +232,11 @@ def fill(
     so_far = base.rowsBetween(Window.unboundedPreceding, 0)
     inside = {c: F.last(c, True).over(so_far) for c in columns}
     local = rows.withColumns({f"_local_{c}": e for c, e in inside.items()})
-    return local.join(carried, group).select(
+    filled = join_keys(local, carried, group).select(
         *[
             F.coalesce(f"_local_{c}", f"_carried_{c}").alias(c) if c in columns else F.col(c)
             for c in df.columns
             if c != CHUNK
         ]
     )
+    return filled.unionByName(placeless.drop(CHUNK))

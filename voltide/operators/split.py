@@ -34,9 +34,10 @@ def drop_incomplete(df: DataFrame, features: Sequence[str], target: str = S.TARG
 
 
 def split_label(ratio: float = S.TRAIN_RATIO) -> Column:
-    """``train`` for the first ``int(n * ratio)`` rows of a series, ``test`` for the rest."""
+    """``train`` for the first ``int(n * ratio)`` rows of a series, ``test`` for the rest, NULL without a position."""
     first_test = F.floor(F.col(SIZE) * F.lit(ratio))
-    return F.when(F.col(INDEX) < first_test, F.lit("train")).otherwise(F.lit("test"))
+    i = F.col(INDEX)
+    return F.when(i < first_test, F.lit("train")).when(i.isNotNull(), F.lit("test"))
 
 
 def block_fold(folds: int = 5) -> Column:
@@ -57,7 +58,8 @@ def expanding_fold(folds: int = 5) -> Column:
     size, i = F.col(SIZE), F.col(INDEX)
     test_rows = F.floor(size / (folds + 1))
     first = size - test_rows * folds
-    return F.when(i < first, F.lit(-1)).otherwise(F.floor(F.try_divide(i - first, test_rows))).cast("int")
+    tested = F.floor(F.try_divide(i - first, test_rows))
+    return F.when(i < first, F.lit(-1)).when(i.isNotNull(), tested).cast("int")
 
 
 def with_splits(

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from voltide.functions.clock import epoch_seconds, floor_time, plus_seconds, seconds_between
 from voltide.operators.distribution import pick_quantiles, ranked_values
-from voltide.operators.series import DAY, chunk_window, drop_halo, running_sum, sliced, with_halo
+from voltide.operators.series import CHUNK, DAY, HALO, chunk_window, drop_halo, running_sum, sliced, with_halo
 from voltide.session import stage
 
 # Histogram bounds of the latency metric in seconds.
@@ -189,11 +189,12 @@ def sustained(
 
     A stretch gets its number from a running sum of state changes; both steps work per time chunk.
     """
-    marked = df.select(*keys, at, *tie, F.coalesce(condition, F.lit(False)).alias("_on"))
+    slices = [CHUNK] if CHUNK in df.columns else []
+    marked = df.select(*keys, at, *tie, *slices, F.coalesce(condition, F.lit(False)).alias("_on"))
     rows = with_halo(marked, lookback=1, keys=keys, order=at, tie=tie, chunk_seconds=chunk_seconds)
     before = F.lag("_on", 1).over(chunk_window(keys, at, tie))
     changed = F.coalesce((F.col("_on") != before).cast("int"), F.lit(0))
-    changes = drop_halo(rows.withColumn("_changed", changed))
+    changes = rows.withColumn("_changed", changed).where(~F.col(HALO)).drop(HALO)  # keeps the chunk of sliced rows
     islands = running_sum(changes, "_changed", "_island", keys, at, tie, chunk_seconds)
     held = seconds_between(F.col("ended"), F.col("began"))
     return (
@@ -212,19 +213,23 @@ def service_gaps(
     keys: Sequence[str] = ("series",),
     at: str = "timestamp",
     chunk_seconds: int = 365 * DAY,
+    as_of: object = None,
 ) -> DataFrame:
-    """Times without any row for longer than ``seconds``.
+    """Times without any row for longer than ``seconds``, with ``is_open`` for those that last until ``as_of``.
+
+    ``as_of`` is the newest time of all series if not given; a series that is silent by then has an open gap.
 
     A slot of that width cannot hold such a gap inside, so first and last time per slot are enough. They
     are partial aggregates, and what is left has at most one row per slot.
     """
+    until = df.agg(F.max(at)).first()[0] if as_of is None else as_of
     slot = F.floor(epoch_seconds(F.col(at)) / F.lit(seconds)).alias("_slot")
     slots = df.groupBy(*keys, slot).agg(F.min(at).alias("_first"), F.max(at).alias("last_seen")).drop("_slot")
     rows = with_halo(slots, lookahead=1, keys=keys, order="last_seen", carry=["_first"], chunk_seconds=chunk_seconds)
     following = F.lead("_first", 1).over(chunk_window(keys, "last_seen"))
     return (
         drop_halo(rows.withColumn("resumed", following))
-        .select(*keys, "last_seen", "resumed")
-        .withColumn("gap_seconds", seconds_between(F.col("resumed"), F.col("last_seen")))
+        .select(*keys, "last_seen", "resumed", F.col("resumed").isNull().alias("is_open"))
+        .withColumn("gap_seconds", seconds_between(F.coalesce("resumed", F.lit(until)), F.col("last_seen")))
         .where(F.col("gap_seconds") > seconds)
     )

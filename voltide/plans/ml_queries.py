@@ -1,7 +1,6 @@
 """Registered queries that train Spark ML models on the feature rows.
 
-Trees are grown with fewer rounds than the library defaults, so that a check of all queries stays short;
-every query trains on all rows. Tree ensembles have no SQL form, so these have no oracle.
+All train on all rows with the full settings of the library. Tree ensembles have no SQL form, so these have no oracle.
 """
 
 from __future__ import annotations
@@ -16,8 +15,6 @@ from voltide.plans.feature_queries import Query
 from voltide.session import stage, staging_path
 
 ALL = S.FEATURES_WITH_VOLATILITY
-FEW_ROUNDS = {"maxIter": 10}
-FEW_TREES = {"numTrees": 20}
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,22 +29,23 @@ def _train_rows(rows: DataFrame) -> DataFrame:
 
 def _plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(spark, sf_dir)
-    model = models.fit(_train_rows(rows), S.FEATURES, models.gbt({**models.PLAIN, **FEW_ROUNDS}), scale=False)
+    model = models.fit(_train_rows(rows), S.FEATURES, models.gbt(), scale=False)
     return models.evaluate(model, rows, S.FEATURES)
 
 
 def _forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(spark, sf_dir)
-    model = models.fit(_train_rows(rows), ALL, models.forest({**models.FOREST, **FEW_TREES}))
+    model = models.fit(_train_rows(rows), ALL, models.forest())
     return models.evaluate(model, rows, ALL)
 
 
 def _tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(spark, sf_dir)
     train = _train_rows(rows)
+    settings = {"boosted": models.BOOSTED, "shallow": models.SHALLOW}
+    fits = [lambda params=params: models.fit(train, ALL, models.gbt(params)) for params in settings.values()]
     results = None
-    for name, params in (("boosted", models.BOOSTED), ("shallow", models.SHALLOW)):
-        model = models.fit(train, ALL, models.gbt({**params, **FEW_ROUNDS}))
+    for name, model in zip(settings, models.together(fits), strict=True):
         scored = models.evaluate(model, rows, ALL).withColumn("model", F.lit(name))
         results = scored if results is None else results.unionByName(scored)
     return results
@@ -59,25 +57,20 @@ def _ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ridge_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = training_rows(spark, sf_dir)
-    return models.cross_validate(rows, ALL, models.ridge(rows))
+    """Folds lie in the train rows; scaling and penalty come from the rows of each fold."""
+    kept = stage(_train_rows(training_rows(spark, sf_dir)).drop("test_fold"), "cv-rows")
+    rows = stage(split.expanding_folds(kept), "cv-folds")
+    return models.cross_validate(rows, lambda train: models.train_ridge(train, ALL))
 
 
 def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(spark, sf_dir)
-    model = models.train_stack(
-        _train_rows(rows),
-        ALL,
-        boosted={**models.BOOSTED, "maxIter": 3, "maxDepth": 4},
-        trees={**models.FOREST, "numTrees": 8, "maxDepth": 6},
-        shallow={**models.SHALLOW, "maxIter": 3, "maxDepth": 4},
-    )
-    return models.evaluate(model, rows, ALL)
+    return models.evaluate(models.train_stack(_train_rows(rows), ALL), rows, ALL)
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(spark, sf_dir)
-    model = models.fit(_train_rows(rows), ALL, models.forest({**models.FOREST, **FEW_TREES}), scale=False)
+    model = models.fit(_train_rows(rows), ALL, models.forest(), scale=False)
     return models.feature_importance(model, ALL, spark)
 
 

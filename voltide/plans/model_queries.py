@@ -14,7 +14,7 @@ from voltide.plans.feature_queries import ALL_COLUMNS, NOT_NULL, Query, W, featu
 from voltide.session import stage
 
 KEY = ["symbol", "datetime"]
-SCALED = ["close_rolling_mean_24", "price_range", "log_return", "volatility"]
+SCALED = S.FEATURES_WITH_VOLATILITY
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +102,7 @@ QUERIES: dict[str, Query] = {
     ),
     # scoring
     "align_features": lambda s, d: tidy(
-        scoring.align_features(V.requests(s, d), list(S.EXPECTED_RANGES)).drop("features"), 8
+        scoring.align_features(V.requests(s, d), S.FEATURES_WITH_VOLATILITY).drop("features"), 8
     ),
     "risk_level": lambda s, d: tidy(
         scoring.risk_level(V.predictions(s, d)).select(
@@ -252,7 +252,9 @@ ORACLE: dict[str, str] = {
     ),
     "align_features": V.with_views(
         "requests",
-        "SELECT symbol, datetime, " + ", ".join(f"{r(f'coalesce({c}, 0.0)', 8)} AS {c}" for c in EXPECTED)
+        "SELECT symbol, datetime, " + ", ".join(
+            f"{r(f'coalesce({c}, 0.0)' if c in EXPECTED else '0.0::DOUBLE', 8)} AS {c}" for c in S.FEATURES_WITH_VOLATILITY
+        )
         + " FROM requests",
     ),
     "risk_level": V.with_views(

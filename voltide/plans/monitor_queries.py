@@ -15,7 +15,7 @@ from voltide.plans.model_queries import (
     COMPARED, FORECASTS, INDEXED, RUN_METRICS, RUNS, SPLIT, forecasts, metric_sql, samples,
 )
 
-DRIFT_FEATURES = ["hour", "price_range", "close_lag_1", "close_rolling_mean_24", "log_return", "volatility"]
+DRIFT_FEATURES = S.FEATURES_WITH_VOLATILITY
 
 
 def _split_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "alert_message": lambda s, d: _alerts(s, d).select("ts", "name", "message"),
     "alert_history": lambda s, d: tidy(alerts.history(_alerts(s, d), "warning").drop("message")),
     "alert_summary": lambda s, d: alerts.summary(_alerts(s, d)),
+    "alert_rule_states": lambda s, d: alerts.states(V.metrics(s, d)),
     "tiered_thresholds": lambda s, d: tidy(alerts.evaluate(V.metrics(s, d), alerts.TIERED_RULES).drop("message")),
     # service metrics
     "error_rate": lambda s, d: tidy(telemetry.error_rate(V.predictions(s, d))),
@@ -131,7 +132,7 @@ def _rules_with_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rules = alerts.remove_rule(rules, "critical_latency")
     hits = alerts.evaluate(V.metrics(spark, sf_dir), rules).groupBy("name").agg(F.count(F.lit(1)).alias("hits"))
-    table = alerts.rule_table(spark, rules).drop("template", "style")
+    table = alerts.rule_table(spark, rules).drop("template", "style", "hold_seconds")
     return table.join(hits, "name", "left").fillna(0, ["hits"])
 
 
@@ -149,6 +150,12 @@ TIERS_SQL = (
     "('drift_tier_2', 'drift_ratio', 0.2, 'critical'), ('error_tier_1', 'error_rate', 0.01, 'warning')) "
     "t(name, metric_name, threshold, severity))"
 )
+HELD_RULES_SQL = (
+    "rules AS (SELECT * FROM (VALUES ('high_prediction_latency', 'prediction_latency_seconds', 0.5::DOUBLE, 'warning', 300), "
+    "('critical_prediction_latency', 'prediction_latency_seconds', 1.0, 'critical', 120), "
+    "('high_data_drift', 'drift_ratio', 0.2, 'warning', 600), ('critical_data_drift', 'drift_ratio', 0.5, 'critical', 300), "
+    "('high_error_rate', 'error_rate', 0.05, 'warning', 300)) t(name, metric_name, threshold, severity, hold))"
+)
 FIRED = (
     "fired AS (SELECT ts, name, severity, metric_name, value AS metric_value, threshold "
     "FROM metrics JOIN rules USING (metric_name) WHERE value > threshold)"
@@ -229,9 +236,9 @@ ORACLE: dict[str, str] = {
         f"m AS (SELECT {metric_sql()} FROM fc)",
         "last AS (SELECT * FROM predictions ORDER BY id DESC LIMIT 100)",
         "SELECT (SELECT count(*) FROM predictions) AS total_predictions, "
-        "(SELECT round(avg(latency_ms), 2) FROM last) AS avg_latency_ms, "
+        "(SELECT printf('%.2f', avg(latency_ms))::DOUBLE FROM last) AS avg_latency_ms, "
         "(SELECT count(*) FROM last WHERE drift_detected) AS drift_alerts, "
-        "(SELECT round((1 - mape / 100) * 100, 1) FROM m) AS model_accuracy",
+        "(SELECT printf('%.1f', (1 - mape / 100) * 100)::DOUBLE FROM m) AS model_accuracy",
     ),
     "pred_recent": V.with_views(
         "predictions",
@@ -283,8 +290,9 @@ ORACLE: dict[str, str] = {
         "tr AS (SELECT * FROM lg WHERE split = 'train')",
         "te AS (SELECT * FROM lg WHERE split = 'test')",
         *compare_ctes(ref="tr", cur="te"),
-        "SELECT " + r("count(*) FILTER (WHERE ok AND p < 0.05) / 6.0::DOUBLE") + " AS drift_ratio, "
-        "count(*) FILTER (WHERE ok AND p < 0.05) AS num_drifted_features, 6::BIGINT AS total_features FROM tested",
+        "SELECT " + r(f"count(*) FILTER (WHERE ok AND p < 0.05) / {len(DRIFT_FEATURES)}.0::DOUBLE") + " AS drift_ratio, "
+        "count(*) FILTER (WHERE ok AND p < 0.05) AS num_drifted_features, "
+        f"{len(DRIFT_FEATURES)}::BIGINT AS total_features FROM tested",
     ),
     "wasserstein": _drift(f"SELECT feature, {r('w')} AS distance FROM tested WHERE n > 0 AND m > 0"),
     "drift_metrics": _drift(f"SELECT {SUMMARY_COLUMNS} FROM (SELECT {SUMMARY} FROM tested) q"),
@@ -332,6 +340,20 @@ ORACLE: dict[str, str] = {
         "(VALUES ('info'), ('warning'), ('critical')) t(s) UNION ALL "
         "SELECT 'metric', metric_name, count(*) FROM fired GROUP BY metric_name",
     ),
+    "alert_rule_states": V.with_views(
+        "metrics",
+        HELD_RULES_SQL,
+        "mk AS (SELECT name, severity, hold, ts, value > threshold AS is_on FROM metrics JOIN rules USING (metric_name))",
+        "nb AS (SELECT *, lag(is_on) OVER w AS before, lead(ts) OVER w AS following FROM mk "
+        "WINDOW w AS (PARTITION BY name ORDER BY ts))",
+        "st AS (SELECT *, sum((is_on <> coalesce(before, is_on))::INTEGER) OVER (PARTITION BY name ORDER BY ts) AS stretch FROM nb)",
+        "iv AS (SELECT name, severity, min(ts) AS pending_at, "
+        "CASE WHEN epoch(max(ts)) - epoch(min(ts)) >= max(hold) THEN min(ts) + to_seconds(max(hold)) END AS fired_at, "
+        "CASE WHEN count(*) = count(following) THEN max(following) END AS resolved_at, count(*) AS samples "
+        "FROM st WHERE is_on GROUP BY name, severity, stretch)",
+        "SELECT *, CASE WHEN fired_at IS NOT NULL AND resolved_at IS NOT NULL THEN 'resolved' WHEN fired_at IS NOT NULL "
+        "THEN 'firing' WHEN resolved_at IS NOT NULL THEN 'cleared' ELSE 'pending' END AS state FROM iv",
+    ),
     "tiered_thresholds": V.with_views("metrics", TIERS_SQL, FIRED, f"SELECT {FIRED_COLUMNS} FROM fired"),
     "error_rate": V.with_views(
         "predictions",
@@ -388,9 +410,11 @@ ORACLE: dict[str, str] = {
         "predictions",
         "g AS (SELECT series, \"timestamp\" AS last_seen, lead(\"timestamp\") OVER (PARTITION BY series ORDER BY "
         "\"timestamp\", id) AS resumed FROM predictions)",
-        "SELECT series, last_seen, resumed, "
-        + r("(epoch_us(resumed) - epoch_us(last_seen)) / 1000000.0::DOUBLE") + " AS gap_seconds "
-        "FROM g WHERE epoch_us(resumed) - epoch_us(last_seen) > 3600000000",
+        "e AS (SELECT series, last_seen, resumed, resumed IS NULL AS is_open, "
+        "coalesce(resumed, (SELECT max(\"timestamp\") FROM predictions)) AS until FROM g)",
+        "SELECT series, last_seen, resumed, is_open, "
+        + r("(epoch_us(until) - epoch_us(last_seen)) / 1000000.0::DOUBLE") + " AS gap_seconds "
+        "FROM e WHERE epoch_us(until) - epoch_us(last_seen) > 3600000000",
     ),
     "low_rate": V.with_views(
         "predictions",

@@ -52,6 +52,16 @@ def bars_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars(spark, sf_dir).withColumn("close", F.when(~gap, F.col("close")))
 
 
+def bars_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gappy bars, one symbol of which has lost its name; some rows have lost their time."""
+    lost = (F.hour("datetime") == 3) & (F.dayofmonth("datetime") % 3 == 0)
+    return bars_gappy(spark, sf_dir).select(
+        F.when(F.col("symbol") != "view", F.col("symbol")).alias("symbol"),
+        F.when(~lost, F.col("datetime")).alias("datetime"),
+        *S.PRICES,
+    )
+
+
 def bars_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars as text, numbers with two decimals, some of them unparsable."""
     text = {c: F.call_function("format_number", F.col(c), F.lit("0.00")) for c in S.PRICES}
@@ -167,6 +177,11 @@ SQL = {
     SELECT symbol, datetime, open, high, low,
            CASE WHEN (hour(datetime) + day(datetime)) % 11 <> 0 THEN close END AS close
     FROM bars""",
+    "bars_null_keys": """
+    SELECT CASE WHEN symbol <> 'view' THEN symbol END AS symbol,
+           CASE WHEN NOT (hour(datetime) = 3 AND day(datetime) % 3 = 0) THEN datetime END AS datetime,
+           open, high, low, close
+    FROM bars_gappy""",
     "bars_raw": """
     SELECT symbol, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, printf('%.2f', open) AS open,
            printf('%.2f', high) AS high, printf('%.2f', low) AS low,
@@ -213,6 +228,7 @@ SQL = {
 _NEEDS = {
     "bars": [],
     "bars_gappy": ["bars"],
+    "bars_null_keys": ["bars_gappy"],
     "bars_raw": ["bars"],
     "predictions": [],
     "hourly": ["predictions"],

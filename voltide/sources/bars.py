@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from voltide import schema as S
 from voltide.functions.numeric import finite_or_null
+from voltide.functions.joins import join_keys
 from voltide.operators.series import CHUNK, DEFAULT_CHUNK, chunked
 
 VERSION_FORMAT = "yyyyMMdd_HHmmss"
@@ -113,7 +114,7 @@ def latest_n(
     )
     inside = Window.partitionBy(*group).orderBy(F.col("datetime").desc())
     ranked = rows.withColumn("_rank", F.row_number().over(inside)).where(F.col("_rank") <= n)
-    return ranked.join(wanted, group).where(F.col("_rank") + F.col("_newer") <= n).select(*df.columns)
+    return join_keys(ranked, wanted, group).where(F.col("_rank") + F.col("_newer") <= n).select(*df.columns)
 
 
 def sort_bars(df: DataFrame) -> DataFrame:
@@ -124,7 +125,7 @@ def newer_than(df: DataFrame, processed: DataFrame) -> DataFrame:
     """Rows later than the last processed time of their symbol; unknown symbols are all new."""
     marks = processed.groupBy("symbol").agg(F.max("datetime").alias("_mark"))
     return (
-        df.join(marks, "symbol", "left")
+        join_keys(df, marks, ["symbol"], "left")
         .where(F.col("_mark").isNull() | (F.col("datetime") > F.col("_mark")))
         .select(*df.columns)
     )

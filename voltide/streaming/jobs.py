@@ -79,7 +79,7 @@ def ingest(payloads: DataFrame, delay: str = "2 hours") -> DataFrame:
 
 # ---- features ------------------------------------------------------------------------------------
 
-KEPT_BARS = 26
+KEPT_BARS = max(*S.LAGS, *S.ROLLING_WINDOWS, S.VOLATILITY_WINDOW) + 2
 BAR_FIELDS = ["datetime", *S.PRICES]
 WINDOW_FIELDS = [*S.LAG_FEATURES, *S.ROLLING_FEATURES, "log_return", "volatility", S.TARGET]
 STATE_SCHEMA = "datetime array<long>, " + ", ".join(f"{c} array<double>" for c in S.PRICES)
