@@ -101,4 +101,73 @@ QUERIES = {
     "op10_block_naming": op10_block_naming,
 }
 
-ORACLE: dict[str, str] = {}
+# ---- oracle -------------------------------------------------------------------------------------
+
+BLANKS = r"[\x20\x09-\x0D]+"
+WORDS = r"[^\x20\x09-\x0D]+"
+STOPS = ", ".join(f"'{word}'" for word in rules.STOP_FORMS)
+HOST = r"regexp_replace(lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)), '^www\d*\.', '')"
+PORT = r"regexp_extract(url, '^[A-Za-z]+://[^/?#:]+(:\d+)', 1)"
+PATH = r"regexp_extract(url, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1)"
+QUERY = r"regexp_extract(url, '^[^?#]*(\?[^#]*)', 1)"
+CONTROL = r"[<\[]\\*(?:\|\w{1,40}\|>|/?s>|<SYS>>|</SYS>>|/?INST\]|(?:unk|pad|bos|eos|mask)>|(?:start|end)_of_turn>|/?think>)"
+MARKS = len(chat.TURN + chat.TEXT + chat.END)
+
+
+def _kept_sql() -> str:
+    parts = []
+    for row in rules.THRESHOLDS:
+        part, whole = rules.RATIOS[row.ratio]
+        ratio = f"CASE WHEN {whole} > 0 THEN {part} / {whole}::DOUBLE ELSE 0.0 END"
+        bounds = [f"{ratio} {sign} {limit}" for sign, limit in ((">=", row.low), ("<=", row.high)) if abs(limit) < 1e9]
+        parts.append(f"(({' AND '.join(bounds)}) OR n_words < {row.from_words})")
+    return " AND ".join(parts)
+
+
+ORACLE: dict[str, str] = {
+    "op1_archive_index": f"""
+    WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+    d AS (SELECT page_id, url, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+    f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d),
+    k AS (SELECT page_id, payload_bytes, payload_digest,
+                 CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+                 CASE WHEN first <> page_id THEN first END AS refers_to,
+                 lower(array_to_string(list_reverse(string_split({HOST}, '.')), ',')
+                       || CASE WHEN {PORT} IN ('', ':80', ':443') THEN '' ELSE {PORT} END || ')'
+                       || CASE WHEN {PATH} = '' THEN '/' ELSE {PATH} END
+                       || CASE WHEN {QUERY} = '?' THEN '' ELSE {QUERY} END) AS url_key,
+                 strftime(make_timestamp((1700000000 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured
+          FROM f)
+    SELECT *, row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS rank FROM k""",
+    "op2_chat_assembly": rf"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+               UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    e AS (SELECT *, len(regexp_extract_all(role || chr(10) || text, '{CONTROL}')) AS escapes FROM c)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(length(role) + length(text) + escapes + {MARKS})::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id""",
+    "op7_quality_rules": rf"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT doc_id, t, regexp_extract_all(t, '{WORDS}') AS ws,
+                 list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{WORDS}')) AS ls FROM d),
+    s AS (SELECT doc_id, pos, array_to_string(ws[pos + 1:pos + 5], ' ') AS win
+          FROM (SELECT doc_id, ws, unnest(range(len(ws) - 4)) AS pos FROM w)),
+    o AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, win) AS n FROM s),
+    r AS (SELECT doc_id, count(DISTINCT pos + k)::BIGINT AS n_repeat_words FROM o, range(5) x(k) WHERE n > 1 GROUP BY 1),
+    m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+                 len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                 (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+                 coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
+                 len(list_filter(ws, lambda x: x IN ({STOPS})))::BIGINT AS n_stop_words
+          FROM w LEFT JOIN r ON r.doc_id = w.doc_id),
+    b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+    SELECT *, NOT base_failed AND {_kept_sql()} AS kept FROM b""",
+    "op10_block_naming": rf"""
+    WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{BLANKS}', ' ', 'g') AS t FROM documents),
+    g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g""",
+}
