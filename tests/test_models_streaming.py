@@ -149,3 +149,16 @@ def test_stream_score_with_a_model(spark):
 
 def test_default_alert_rules_are_untouched():
     assert [r.threshold for r in alerts.DEFAULT_RULES] == [0.5, 1.0, 0.2, 0.5, 0.05, 0.1]
+
+
+def test_a_failed_durable_sink_fails_the_batch_after_the_others(spark):
+    seen = []
+
+    def broken(fired, batch):
+        raise OSError("sink is away")
+
+    metrics = spark.createDataFrame([(dt.datetime(2025, 1, 1), "drift_ratio", 0.9)], "ts timestamp_ntz, metric_name string, value double")
+    write = jobs.alert_writer([jobs.durable(broken), lambda fired, batch: seen.append(fired.count())])
+    with pytest.raises(OSError, match="away"):
+        write(metrics, 0)
+    assert seen == [2]

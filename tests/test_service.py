@@ -232,3 +232,15 @@ def test_promotion_and_retraining(spark):
     assert {r["model_version"]: r["is_best"] for r in best} == {"b": False, "c": True}
     gate = evaluation.quality_gate(spark.createDataFrame([(19.0, 0.002, 34)], "mape double, rmse double, n_features int"))
     assert {r["metric"]: r["passed"] for r in gate.collect()} == {"mape": True, "rmse": False, "n_features": True}
+
+
+def test_rules_with_hold_times(spark):
+    values = [0.1, 0.3, 0.4, 0.1, 0.3, 0.1, 0.6, 0.7, 0.8]
+    rows = [(T0 + dt.timedelta(seconds=60 * i), "drift_ratio", v) for i, v in enumerate(values)]
+    table = spark.createDataFrame(rows, "ts timestamp_ntz, metric_name string, value double")
+    rule = alerts.Rule("drift", "drift_ratio", 0.2, "gt", "warning", "{value}", "percent2", 60)
+    for chunk in (120, 86_400):
+        found = alerts.states(table, [rule], chunk_seconds=chunk).orderBy("pending_at").collect()
+        assert [(r["state"], r["samples"]) for r in found] == [("resolved", 2), ("cleared", 1), ("firing", 3)]
+        assert found[0]["fired_at"] == T0 + dt.timedelta(seconds=120)
+        assert found[0]["resolved_at"] == T0 + dt.timedelta(seconds=180) and found[2]["resolved_at"] is None

@@ -66,7 +66,7 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         fired.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     metrics = jobs.window_metrics(jobs.service_windows(prediction_stream(spark, sf_dir)))
-    jobs.run_batches(metrics, jobs.alert_writer([to_table]), "alerts")
+    jobs.run_batches(metrics, jobs.alert_writer([jobs.durable(to_table)]), "alerts")
     return tidy(spark.read.parquet(path).drop("batch", "message"))
 
 

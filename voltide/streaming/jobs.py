@@ -209,24 +209,35 @@ def window_metrics(windows: DataFrame) -> DataFrame:
     return windows.select(F.col("window_end").alias("ts"), F.inline(pairs))
 
 
+def durable(sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Marks a sink whose failure must stop the batch; it has to replace what an earlier try of the batch wrote."""
+    sink.durable = True
+    return sink
+
+
 def alert_writer(
     sinks: Sequence[Callable[[DataFrame, int], None]], rules: Sequence[alerts.Rule] = tuple(alerts.DEFAULT_RULES)
 ) -> Callable[[DataFrame, int], None]:
     """A foreachBatch writer that evaluates the rules and hands the alerts to every sink.
 
-    A failing sink is logged and does not keep the alerts from the others.
+    A failing sink is logged and does not keep the alerts from the others. If a durable one failed, the batch fails
+    after all have run, so that the stream tries it again.
     """
 
     def write(metrics: DataFrame, batch: int) -> None:
-        fired = alerts.evaluate(metrics, rules).persist()
+        fired, failed = alerts.evaluate(metrics, rules).persist(), None
         try:
             for sink in sinks:
                 try:
                     sink(fired, batch)
-                except Exception:
+                except Exception as error:
                     log.exception("alert sink failed in batch %s", batch)
+                    if getattr(sink, "durable", False):
+                        failed = failed or error
         finally:
             fired.unpersist()
+        if failed is not None:
+            raise failed
 
     return write
 
