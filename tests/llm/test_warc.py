@@ -4,6 +4,7 @@ import random
 import pytest
 
 from voltide.llm import warc
+from voltide.session import staging_path
 
 PAGES = "page_id long, url string, html string"
 
@@ -57,9 +58,10 @@ def test_archives_hold_records_of_the_declared_form(frame, spark, tmp_path):
     import gzip
 
     path = warc.write_archives(frame(rows()[:3], PAGES), f"file://{tmp_path}/archives", records_per_file=1)
-    files = sorted(tmp_path.glob("archives/part-*.gz"))
-    assert len(files) == 3
-    data = gzip.decompress(files[0].read_bytes())
+    held = [gzip.decompress(f.read_bytes()) for f in sorted(tmp_path.glob("archives/part-*.gz"))]
+    held = [data for data in held if data]  # a part without rows gives an empty file
+    assert len(held) == 3
+    data = held[0]
     head, _, rest = data.partition(b"\r\n\r\n")
     assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and rest.endswith(b"\r\n\r\n")
     length = int(head.split(b"Content-Length: ")[-1])
@@ -81,10 +83,10 @@ def test_loser_tree_merges_any_runs():
         assert list(warc.LoserTree(runs)) == sorted(sum(runs, []))
 
 
-def test_a_hot_address_is_cut_into_ranges(frame):
+def test_a_hot_address_is_cut_into_ranges(frame, spark):
     pages = [(k, "http://hot.example.org/", f"page {k}") for k in range(300)]
-    index = warc.round_trip(frame(pages, PAGES, partitions=6))
-    found = index.collect()
+    path = warc.write_archives(frame(pages, PAGES, partitions=6), staging_path(spark, "archives"))
+    found = warc.merged_index(warc.read_archives(spark, path), ranges=4).collect()
     assert [r.page_id for r in sorted(found, key=lambda r: r["rank"])] == list(range(300))
     assert len({r.part for r in found}) > 1
 

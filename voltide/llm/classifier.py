@@ -21,6 +21,7 @@ import functools
 import io
 import operator
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,7 +43,7 @@ class Settings:
     dim: int = 16
     shortest: int = 3
     longest: int = 5
-    epochs: int = 12
+    epochs: int = 5
     rate: float = 0.5
     seed: int = 7
 
@@ -58,6 +59,10 @@ def features_of(word: str, settings: Settings) -> list[int]:
     return [zlib.crc32(gram.encode("utf-8", "surrogatepass")) % settings.buckets for gram in (f"\x01{word}", *grams)]
 
 
+def rows_array(word: str, settings: Settings) -> np.ndarray:
+    return np.asarray(features_of(word, settings), dtype=np.int64)
+
+
 def tokens_of(text: str) -> list[str]:
     """Words of a text, a mark per word that ends a phrase seen before or repeats its neighbour, the closing mark."""
     words = text.split()
@@ -68,11 +73,12 @@ def tokens_of(text: str) -> list[str]:
 
 def bag(text: str, settings: Settings, rows_of=None) -> tuple[np.ndarray, np.ndarray]:
     """(rows, weights) of a text; the weights add up to 1."""
-    rows_of = rows_of or functools.partial(features_of, settings=settings)
-    rows: list[int] = []
-    for word in tokens_of(text):
-        rows.extend(rows_of(word))
-    found, n = np.unique(np.asarray(rows, dtype=np.int64), return_counts=True)
+    rows_of = rows_of or functools.partial(rows_array, settings=settings)
+    words = Counter(tokens_of(text))
+    rows = [rows_of(word) for word in words]
+    times = np.repeat(np.fromiter(words.values(), np.int64), [len(r) for r in rows])
+    found, at = np.unique(np.concatenate(rows), return_inverse=True)
+    n = np.bincount(at, weights=times)
     return found, (n / n.sum()).astype(np.float32)
 
 
@@ -110,7 +116,7 @@ def untrained(settings: Settings) -> Model:
 def train(texts: list[str], labels: list[int], settings: Settings) -> Model:
     """Stochastic gradient descent, one document a step, the rate falling to zero."""
     model = untrained(settings)
-    rows_of = functools.lru_cache(maxsize=REMEMBERED_WORDS)(functools.partial(features_of, settings=settings))
+    rows_of = functools.lru_cache(maxsize=REMEMBERED_WORDS)(functools.partial(rows_array, settings=settings))
     bags = [bag(text, settings, rows_of) for text in texts]
     random = np.random.default_rng(settings.seed)
     steps, done = settings.epochs * len(bags), 0

@@ -11,25 +11,30 @@ from voltide.session import stage
 def components(edges: DataFrame) -> DataFrame:
     """(v, component) of every vertex of ``edges`` (columns a, b); a component is named by one of its vertices.
 
-    In each round every vertex joins the neighbour (or itself) of lowest hash, and edges are drawn between what the
-    vertices joined. The hash changes with the round, so chains shrink by a constant share as well. The minimum is
-    taken before the shuffle too, so a vertex with very many edges is cheap. Edges that are left fall quickly; the names are
-    then handed back through the rounds.
+    In each round every vertex joins a neighbour or itself, and edges are drawn between what the vertices joined. Rounds take
+    turns: the vertex of lowest id, which ends a star around a low id at once, and the vertex of lowest hash (new in
+    each round), which shrinks chains by a constant share. Two joins are followed in each round. The minimum is taken
+    before the shuffle too, so a vertex with very many edges is cheap. The names are handed back through the rounds.
     """
     left = stage(edges.select("a", "b").filter("a != b").distinct(), "edges")
     joined: list[DataFrame] = []
     while not left.isEmpty():
         turn = len(joined)
-        both = left.union(left.select("b", "a")).union(left.select("a", "a"))
-        both = both.union(left.select("b", "b")).toDF("v", "other")
-        best = F.min(F.struct(F.xxhash64("other", F.lit(turn)).alias("h"), "other"))
-        to = stage(both.groupBy("v").agg(best.alias("best")).select("v", F.col("best.other").alias("to")), "contraction")
+        ends = F.explode(
+            F.array(*(F.struct(F.col(v).alias("v"), F.col(o).alias("other")) for v, o in ("ab", "ba", "aa", "bb")))
+        )
+        both = left.select(ends.alias("end")).select("end.*")
+        order = F.col("other") if turn % 2 == 0 else F.xxhash64("other", F.lit(turn))
+        best = F.min(F.struct(order.alias("order"), "other")).alias("best")
+        once = stage(both.groupBy("v").agg(best).select("v", F.col("best.other").alias("to")), "contraction")
+        twice = once.toDF("to", "on")
+        to = stage(once.join(twice, "to").select("v", F.col("on").alias("to")), "contraction")
         joined.append(to)
         left = stage(
             left.join(to.toDF("a", "to_a"), "a")
             .join(to.toDF("b", "to_b"), "b")
             .filter("to_a != to_b")
-            .select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
+            .select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
             .distinct(),
             "edges",
         )

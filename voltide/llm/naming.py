@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.tables import first_of_each, free_name
+from voltide.llm.tables import first_of_each, free_name, row_mark
 from voltide.session import stage
 
 BLOCK_BYTES = 8192
@@ -138,8 +138,8 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", block_bytes:
 
 def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents without the copies, all columns as they were."""
-    mark = free_name(docs.columns, "digest")
-    kept = groups(docs, id, text, block_bytes).filter("kept").select(F.col(id).alias("keep"), "text_sha256")
-    marked = docs.withColumn(mark, text_digest(F.col(text)))
-    same = marked[id].eqNullSafe(kept["keep"]) & (marked[mark] == kept["text_sha256"])
-    return first_of_each(marked.join(kept, same, "left_semi"), [id, mark]).drop(mark)
+    mark = free_name(docs.columns, "mark")
+    kept = groups(docs, id, text, block_bytes).filter("kept")
+    kept = kept.select(row_mark(F.col(id), F.col("text_sha256")).alias("kept_mark"))
+    marked = docs.withColumn(mark, row_mark(F.col(id), text_digest(F.col(text))))
+    return first_of_each(marked.join(kept, F.col(mark) == F.col("kept_mark"), "left_semi"), mark).drop(mark)

@@ -12,9 +12,10 @@ No group is expanded into its pairs:
 
 * texts with the same words are one vertex from the start;
 * each band bucket links its members to its lowest vertex; of a vertex's links the one with the best estimate from
-  the samples is verified first, and links within a component that has formed are dropped;
-* buckets whose members still lie in several components are compared in blocks of bounded size by their samples,
-  inside tasks; pairs across components whose estimate is near enough are verified, best first, until none is left.
+  the samples is verified first, then those that do not lie within a component by then;
+* buckets whose members still lie in several components are compared in pairs of blocks of bounded size, by samples first;
+  the texts of members with a partner across components that may be near enough follow, and such pairs are verified
+  where they lie. A task hands on a spanning set of links, never its pairs.
 
 So every pair in a bucket is linked through its component, or verified, or has an estimate below 0.6 (which a pair at
 0.8 has with a probability of 1 in a million). Texts are fetched for verification only.
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltide.llm.components import components
-from voltide.llm.tables import first_of_each, free_name
+from voltide.llm.tables import first_of_each, free_name, row_mark
 from voltide.session import stage
 
 SHINGLE = 5
@@ -175,25 +176,21 @@ def sketches(docs: DataFrame, weights, id: str, text: str) -> DataFrame:
             rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True))
             at = 0
             while at < len(rows):
-                ids, digests, bags = [], [], []
-                while at < len(rows) and sum(len(h) for h, _ in bags[-1:]) + sum(map(_size, bags[:-1])) < AT_ONCE:
+                ids, digests, bags, held = [], [], [], 0
+                while at < len(rows) and held < AT_ONCE:
                     row_id, doc_id, value = rows[at]
                     words = words_of(value.as_py())
                     ids.append((row_id, doc_id))
                     digests.append(identity(words))
                     hashes, counts = shingles(words)
                     bags.append((hashes, weigh(hashes, counts)))
-                    at += 1
+                    held, at = held + len(hashes), at + 1
                 yield _sketch_batch(ids, digests, bags, sampler)
 
     read = docs.select(F.monotonically_increasing_id(), F.col(id).cast("long"), F.col(text).cast("string"))
     return stage(read.mapInArrow(run, _ROWS), "sketches")
 
 
-def _size(bag: tuple[np.ndarray, np.ndarray]) -> int:
-    return len(bag[0])
-
-
 def _sketch_batch(ids, digests, bags, sampler: Sampler) -> pa.RecordBatch:
     full = [k for k, bag in enumerate(bags) if len(bag[0])]
     samples, bands = [b""] * len(bags), [[] for _ in bags]
@@ -296,42 +293,16 @@ def verified(pairs: DataFrame, texts: DataFrame, weights, similarity: float) ->
     return stage(compared, "verified")
 
 
-def across(members: DataFrame, reps: DataFrame, named: DataFrame, best: int, similarity: float) -> DataFrame:
-    """Pairs (a, b, estimate) of bucket members in different components that can reach the similarity.
+def open_rows(members: DataFrame, reps: DataFrame, named: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components, once for each pair of blocks they take part in.
 
-    Of each member at most ``best`` pairs into each other component. Buckets are compared in pairs of blocks; a
-    block holds about ``BLOCK`` members, so no task gets more whatever the size of the bucket.
+    A block holds about ``BLOCK`` members; ``half`` tells the two blocks of a pair apart (0: a block with itself).
     """
-
-    def run(table: pa.Table) -> pa.Table:
-        v, component, half = (table[c].to_numpy() for c in ("v", "component", "half"))
-        samples, total = _matrix(table["samples"].combine_chunks()), table["total"].to_numpy()
-        left = np.flatnonzero(half != 1)  # 0: one block with itself, 1 and 2: two blocks
-        right = np.flatnonzero(half != 2) if (half != 0).any() else left
-        out = []
-        for i in left:
-            others = right[(component[right] != component[i]) & ((half[i] != 0) | (v[right] > v[i]))]
-            if not len(others):
-                continue
-            estimate, near = near_enough(total[i], total[others], samples[i], samples[others], similarity)
-            picked = sorted(zip(-estimate[near], v[others[near]], component[others[near]], strict=True))
-            taken: dict[int, int] = {}
-            for minus, other, of in picked:
-                taken[of] = taken.get(of, 0) + 1
-                if taken[of] <= best:
-                    out.append((min(v[i], other), max(v[i], other), -minus))
-        columns = list(zip(*out, strict=True)) or [(), (), ()]
-        kinds = (pa.int64(), pa.int64(), pa.float64())
-        return pa.table(
-            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["a", "b", "estimate"]
-        )
-
     placed = members.select("key", "v", "n").join(named, "v", "left").withColumn(
         "component", F.coalesce("component", "v")
     )
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    split = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("v"), blocks).cast("int")
     copies = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(
@@ -340,14 +311,83 @@ def across(members: DataFrame, reps: DataFrame, named: DataFrame, best: int, sim
             F.when(other == F.col("block"), 0).when(F.col("block") < other, 1).otherwise(2).alias("half"),
         ),
     )
-    open_rows = (
-        placed.join(split.filter("low != high").select("key"), "key")
-        .withColumns({"blocks": blocks, "block": block})
+    rows = (
+        placed.join(split.filter("least != most").select("key"), "key")
+        .withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("v"), blocks).cast("int")})
         .select("key", "v", "component", F.explode(copies).alias("pair"))
         .select("key", "v", "component", "pair.*")
-        .join(reps.select("v", "total", "samples"), "v")
     )
-    return open_rows.groupBy("key", "low", "high").applyInArrow(run, "a long, b long, estimate double")
+    return stage(rows.join(reps, "v"), "open-buckets")
+
+
+def near_pairs(table: pa.Table, similarity: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, others, estimates): members of other components in the facing block that i can reach the similarity with."""
+    component, half = table["component"].to_numpy(), table["half"].to_numpy()
+    samples, total = _matrix(table["samples"].combine_chunks()), table["total"].to_numpy()
+    alone = not half.any()
+    left, right = np.flatnonzero(half != 2), np.flatnonzero(half != 1)
+    for i in left:
+        others = right[component[right] != component[i]]
+        if alone:
+            others = others[others > i]
+        if len(others):
+            estimate, near = near_enough(total[i], total[others], samples[i], samples[others], similarity)
+            if near.any():
+                yield i, others[near], estimate[near]
+
+
+def involved(rows: DataFrame, similarity: float) -> DataFrame:
+    """(key, low, high, v) of the rows that have such a partner: as many rows as come in at most."""
+
+    def run(table: pa.Table) -> pa.Table:
+        wanted = np.zeros(table.num_rows, bool)
+        for i, others, _ in near_pairs(table, similarity):
+            wanted[i] = wanted[others] = True
+        return table.select(["key", "low", "high", "v"]).filter(pa.array(wanted))
+
+    return rows.groupBy("key", "low", "high").applyInArrow(run, "key long, low int, high int, v long")
+
+
+def links_across(rows: DataFrame, weights, similarity: float) -> DataFrame:
+    """Links (a, b) between components, from rows that carry their texts; verified where they lie, best estimate first.
+
+    A pair is looked at in the first bucket that it shares, and not if links of this task have joined its ends: a task
+    gives fewer links than it has members, and no pair leaves it.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        weigh, v, key = weights.value, table["v"].to_numpy(), table["key"][0].as_py()
+        bands = np.asarray(table["bands"].combine_chunks().values).reshape(-1, BANDS)
+        bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        roots = {int(c): int(c) for c in table["component"].to_numpy()}
+        component = table["component"].to_numpy()
+
+        def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in bags:
+                hashes, counts = shingles(words_of(table["text"][i].as_py()))
+                bags[i] = hashes, weigh(hashes, counts)
+            return bags[i]
+
+        def root(x: int) -> int:
+            while roots[x] != x:
+                roots[x] = roots[roots[x]]
+                x = roots[x]
+            return x
+
+        linked = []
+        for i, others, estimates in near_pairs(table, similarity):
+            for k in others[np.argsort(-estimates, kind="stable")]:
+                ends = root(int(component[i])), root(int(component[k]))
+                shared = np.flatnonzero(bands[i] == bands[k])
+                if ends[0] == ends[1] or bands[i][shared[0]] != key:
+                    continue
+                if weighted_jaccard(bag(i), bag(k)) >= similarity:
+                    roots[max(ends)] = min(ends)
+                    linked.append((v[i], v[k]))
+        a, b = zip(*linked, strict=True) if linked else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
 
 
 def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -373,27 +413,23 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
     star = members.filter("v != first").select(F.col("first").alias("a"), F.col("v").alias("b")).distinct()
     waiting = stage(estimated(star, reps, similarity), "candidates")
     texts = _texts_for(docs, waiting, classes, id, text)
-    named, links, seen = None, None, None
-    best = 1
-    while True:
-        while not waiting.isEmpty():
-            first = F.max(F.struct("estimate", -F.col("a"))).alias("first")
-            chosen = waiting.groupBy("b").agg(first).select((-F.col("first.col2")).alias("a"), "b")
-            checked = verified(chosen, texts, weights, similarity)
-            seen = checked.select("a", "b") if seen is None else stage(seen.union(checked.select("a", "b")), "seen")
-            found = checked.filter("linked").select("a", "b")
-            links = found if links is None else stage(links.union(found), "links")
+    links = named = None
+    first = F.max(F.struct("estimate", (-F.col("a")).alias("a"))).alias("first")
+    for chosen in (waiting.groupBy("b").agg(first).select((-F.col("first.a")).alias("a"), "b"), None):
+        if chosen is None:  # what the best pairs have not joined; those that failed are compared once more
+            chosen = _apart(waiting, named).select("a", "b")
+        found = verified(chosen, texts, weights, similarity).filter("linked").select("a", "b")
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.union(found)
             named = components(links)
-            waiting = stage(_apart(waiting, named).join(seen, ["a", "b"], "left_anti"), "candidates")
-        if named is None:
-            named = components(star.filter("false"))
-        more = across(members, reps, named, best, similarity)
-        more = more.groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
-        waiting = stage(more if seen is None else more.join(seen, ["a", "b"], "left_anti"), "candidates")
-        if waiting.isEmpty():
-            break
-        best *= 4
-        texts = _texts_for(docs, waiting, classes, id, text)
+    rest = open_rows(members, reps, named)
+    near = stage(involved(rest, similarity), "near-members")
+    if not near.isEmpty():
+        texts = fetch_texts(docs, stage(classes.join(near.select("v").distinct(), "v"), "compared"), id, text)
+        compared = rest.join(near, ["key", "low", "high", "v"]).join(texts, "v")
+        found = stage(links_across(compared, weights, similarity), "links")
+        if not found.isEmpty():
+            named = components(links.union(found))
     placed = stage(
         rows.select("row_id", "id", "d1", "d2")
         .join(classes.select("d1", "d2", "v"), ["d1", "d2"])
@@ -426,12 +462,12 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
     wider = docs.select("*", *(F.lit(0).cast("long").alias(mark) for mark in marks)).schema
     for mark in marks:
         wider[mark].nullable = True
-    kept = groups(docs, id, text, similarity).filter("kept").select(F.col(id).alias("keep"), "words_id.*")
-    marked = docs.mapInArrow(run, wider)
-    same = marked[id].eqNullSafe(kept["keep"])
-    for mark, half in zip(marks, ("d1", "d2"), strict=True):
-        same = same & (marked[mark] == kept[half])
-    return first_of_each(marked.join(kept, same, "left_semi"), [id, *marks]).drop(*marks)
+    kept = groups(docs, id, text, similarity).filter("kept").select(id, "words_id.*")
+    kept = kept.select(row_mark(F.col(id), F.col("d1"), F.col("d2")).alias("kept_mark"))
+    mark = free_name([*docs.columns, *marks], "mark")
+    marked = docs.mapInArrow(run, wider).withColumn(mark, row_mark(F.col(id), *(F.col(half) for half in marks)))
+    one = first_of_each(marked.join(kept, F.col(mark) == F.col("kept_mark"), "left_semi"), mark)
+    return one.drop(mark, *marks)
 
 
 def _texts_for(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id: str, text: str) -> DataFrame:

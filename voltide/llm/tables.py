@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,14 @@ def free_name(taken: list[str], wanted: str) -> str:
     return wanted
 
 
-def first_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: the first by the text of all its columns."""
+def row_mark(*parts: Column) -> Column:
+    """One text for several values, NULL among them, to join and group rows on."""
+    return F.concat_ws("/", *(F.coalesce(part.cast("string"), F.lit("null")) for part in parts))
+
+
+def first_of_each(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key: the first by all its columns. After a join on the key nothing is shuffled again."""
     turn = free_name(rows.columns, "turn")
-    order = [F.to_json(F.struct(F.col(c))) if "<" in kind else F.col(c) for c, kind in rows.dtypes if c not in keys]
-    ranked = rows.withColumn(turn, F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *keys)))
+    order = [F.to_json(F.struct(F.col(c))) if "<" in kind else F.col(c) for c, kind in rows.dtypes if c != key]
+    ranked = rows.withColumn(turn, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
     return ranked.filter(F.col(turn) == 1).drop(turn)
