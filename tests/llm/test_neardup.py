@@ -65,6 +65,7 @@ def corpus():
 @pytest.mark.parametrize("block", [512, 4])
 def test_classes_equal_brute_force(frame, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "TEXT_BLOCK", block)
     rows = corpus()
     docs = frame(rows)
     got = neardup.groups(docs).collect()

@@ -13,9 +13,9 @@ No group is expanded into its pairs:
 * texts with the same words are one vertex from the start;
 * each band bucket links its members to its lowest vertex; of a vertex's links the one with the best estimate from
   the samples is verified first, then those that do not lie within a component by then;
-* buckets whose members still lie in several components are compared in pairs of blocks of bounded size, by samples first;
-  the texts of members with a partner across components that may be near enough follow, and such pairs are verified
-  where they lie. A task hands on a spanning set of links, never its pairs.
+* buckets whose members still lie in several components are compared in pairs of blocks of bounded size, by samples:
+  what may be near across components forms families. The texts of a family come together in pairs of blocks, and such
+  pairs are verified where they lie. A task hands on a spanning set of links, never its pairs.
 
 So every pair in a bucket is linked through its component, or verified, or has an estimate below 0.6 (which a pair at
 0.8 has with a probability of 1 in a million). Texts are fetched for verification only.
@@ -46,7 +46,7 @@ BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
 BUCKETS = 1 << 18
 LEAST_ESTIMATE = 0.6
-BLOCK = 512
+BLOCK, TEXT_BLOCK = 512, 1024
 AT_ONCE = 1 << 17
 TABLE_BITS = 16
 
@@ -293,16 +293,12 @@ def verified(pairs: DataFrame, texts: DataFrame, weights, similarity: float) ->
     return stage(compared, "verified")
 
 
-def open_rows(members: DataFrame, reps: DataFrame, named: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold several components, once for each pair of blocks they take part in.
+def in_blocks(rows: DataFrame, group: str, n: str, size: int) -> DataFrame:
+    """Rows of a group once for each pair of blocks they take part in.
 
-    A block holds about ``BLOCK`` members; ``half`` tells the two blocks of a pair apart (0: a block with itself).
+    A block holds about ``size`` rows; ``half`` tells the two blocks of a pair apart (0: a block with itself).
     """
-    placed = members.select("key", "v", "n").join(named, "v", "left").withColumn(
-        "component", F.coalesce("component", "v")
-    )
-    split = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    blocks = F.ceil(F.col(n) / size).cast("int")
     copies = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(
@@ -311,13 +307,20 @@ def open_rows(members: DataFrame, reps: DataFrame, named: DataFrame) -> DataFram
             F.when(other == F.col("block"), 0).when(F.col("block") < other, 1).otherwise(2).alias("half"),
         ),
     )
-    rows = (
-        placed.join(split.filter("least != most").select("key"), "key")
-        .withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("v"), blocks).cast("int")})
-        .select("key", "v", "component", F.explode(copies).alias("pair"))
-        .select("key", "v", "component", "pair.*")
+    return (
+        rows.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("v"), blocks).cast("int")})
+        .select(group, "v", "component", F.explode(copies).alias("pair"))
+        .select(group, "v", "component", "pair.*")
     )
-    return stage(rows.join(reps, "v"), "open-buckets")
+
+
+def open_members(members: DataFrame, named: DataFrame) -> DataFrame:
+    """(key, v, n, component) of the buckets that still hold several components."""
+    placed = members.select("key", "v", "n").join(named, "v", "left").withColumn(
+        "component", F.coalesce("component", "v")
+    )
+    split = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return placed.join(split.filter("least != most").select("key"), "key")
 
 
 def near_pairs(table: pa.Table, similarity: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -336,31 +339,53 @@ def near_pairs(table: pa.Table, similarity: float) -> Iterator[tuple[int, np.nda
                 yield i, others[near], estimate[near]
 
 
-def involved(rows: DataFrame, similarity: float) -> DataFrame:
-    """(key, low, high, v) of the rows that have such a partner: as many rows as come in at most."""
+class Roots:
+    """Union of small sets inside one task."""
+
+    def __init__(self) -> None:
+        self.of: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        self.of.setdefault(x, x)
+        while self.of[x] != x:
+            self.of[x] = self.of[self.of[x]]
+            x = self.of[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether the two were apart."""
+        x, y = self.root(x), self.root(y)
+        self.of[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _link_table(links: list[tuple[int, int]]) -> pa.Table:
+    a, b = zip(*links, strict=True) if links else ((), ())
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def families(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that span, per task, the vertices which may be near across components."""
 
     def run(table: pa.Table) -> pa.Table:
-        wanted = np.zeros(table.num_rows, bool)
+        v, roots, links = table["v"].to_numpy(), Roots(), []
         for i, others, _ in near_pairs(table, similarity):
-            wanted[i] = wanted[others] = True
-        return table.select(["key", "low", "high", "v"]).filter(pa.array(wanted))
+            links += [(v[i], v[k]) for k in others if roots.join(int(v[i]), int(v[k]))]
+        return _link_table(links)
 
-    return rows.groupBy("key", "low", "high").applyInArrow(run, "key long, low int, high int, v long")
+    return rows.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
 
 
 def links_across(rows: DataFrame, weights, similarity: float) -> DataFrame:
-    """Links (a, b) between components, from rows that carry their texts; verified where they lie, best estimate first.
+    """Links (a, b) between components of a family, verified where the texts lie, best estimate first.
 
-    A pair is looked at in the first bucket that it shares, and not if links of this task have joined its ends: a task
-    gives fewer links than it has members, and no pair leaves it.
+    A pair is left out if links of this task have joined its ends: a task gives fewer links than it has members.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        weigh, v, key = weights.value, table["v"].to_numpy(), table["key"][0].as_py()
-        bands = np.asarray(table["bands"].combine_chunks().values).reshape(-1, BANDS)
+        weigh, v, component = weights.value, table["v"].to_numpy(), table["component"].to_numpy()
         bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        roots = {int(c): int(c) for c in table["component"].to_numpy()}
-        component = table["component"].to_numpy()
+        roots, links = Roots(), []
 
         def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
             if i not in bags:
@@ -368,26 +393,15 @@ def links_across(rows: DataFrame, weights, similarity: float) -> DataFrame:
                 bags[i] = hashes, weigh(hashes, counts)
             return bags[i]
 
-        def root(x: int) -> int:
-            while roots[x] != x:
-                roots[x] = roots[roots[x]]
-                x = roots[x]
-            return x
-
-        linked = []
         for i, others, estimates in near_pairs(table, similarity):
             for k in others[np.argsort(-estimates, kind="stable")]:
-                ends = root(int(component[i])), root(int(component[k]))
-                shared = np.flatnonzero(bands[i] == bands[k])
-                if ends[0] == ends[1] or bands[i][shared[0]] != key:
-                    continue
-                if weighted_jaccard(bag(i), bag(k)) >= similarity:
-                    roots[max(ends)] = min(ends)
-                    linked.append((v[i], v[k]))
-        a, b = zip(*linked, strict=True) if linked else ((), ())
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                ends = int(component[i]), int(component[k])
+                if roots.root(ends[0]) != roots.root(ends[1]) and weighted_jaccard(bag(i), bag(k)) >= similarity:
+                    roots.join(*ends)
+                    links.append((v[i], v[k]))
+        return _link_table(links)
 
-    return rows.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
+    return rows.groupBy("family", "low", "high").applyInArrow(run, "a long, b long")
 
 
 def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -422,11 +436,16 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
         if links is None or not found.isEmpty():
             links = found if links is None else links.union(found)
             named = components(links)
-    rest = open_rows(members, reps, named)
-    near = stage(involved(rest, similarity), "near-members")
+    sketch = reps.select("v", "total", "samples")
+    facing = in_blocks(open_members(members, named), "key", "n", BLOCK).join(sketch, "v")
+    near = stage(families(facing, similarity).distinct(), "near-across")
     if not near.isEmpty():
-        texts = fetch_texts(docs, stage(classes.join(near.select("v").distinct(), "v"), "compared"), id, text)
-        compared = rest.join(near, ["key", "low", "high", "v"]).join(texts, "v")
+        family = components(near).withColumnRenamed("component", "family")
+        sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
+        placed = family.join(sizes, "family").join(named, "v", "left")
+        placed = placed.withColumn("component", F.coalesce("component", "v"))
+        texts = fetch_texts(docs, stage(classes.join(family.select("v"), "v"), "compared"), id, text)
+        compared = in_blocks(placed, "family", "n", TEXT_BLOCK).join(sketch.join(texts, "v"), "v")
         found = stage(links_across(compared, weights, similarity), "links")
         if not found.isEmpty():
             named = components(links.union(found))
