@@ -375,7 +375,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", count: str | N
             .agg(F.collect_list(F.struct("kind", "normal", "attempt")).alias(attempts))
         )
         read = marked.join(stage(of_text, "exceptions"), digest, "left").drop(digest)
-    at = columns.index(text)
+    at, any_moved = columns.index(text), moved is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = functools.lru_cache(maxsize=REMEMBERED)(surrogate)
@@ -383,7 +383,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", count: str | N
             texts, numbers = [], []
             for row, value in enumerate(batch.column(at)):
                 value = value.as_py()
-                held = batch.column(attempts)[row].as_py() if moved is not None else None
+                held = batch.column(attempts)[row].as_py() if any_moved else None
                 by_entity = {(e["kind"], e["normal"]): e["attempt"] for e in held or []}
                 new, n = (None, 0) if value is None else replace(value, key, by_entity, known)
                 texts.append(new)
