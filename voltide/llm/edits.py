@@ -26,11 +26,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.encoding import Encoder, encoder
+from voltide.llm.encoding import MIXED_BLANKS, Encoder, encoder
 
 LEAF = 32
 CONTEXT = 4
-MEMORY = 200_000
+MEMORY = 300_000
 LONGEST_REMEMBERED = 48
 SPLIT = regex.compile(public_tokenizers.PATTERN)
 EDIT = "struct<start:int,removed:int,inserted:string>"
@@ -40,12 +40,12 @@ class Counter:
     """Tokens of single pre-tokens, remembered up to a bound."""
 
     def __init__(self, codec: Encoder):
-        self.codec, self.known = codec, {}
+        self.codec, self.known, self.cuts = codec, {}, {}
 
     def __call__(self, piece: str) -> int:
         n = self.known.get(piece)
         if n is None:
-            n = len(self.codec.whole(piece)) // 4
+            n = len(self.codec.codec.encode_ordinary(piece))
             if len(piece) <= LONGEST_REMEMBERED:
                 if len(self.known) >= MEMORY:
                     self.known.clear()
@@ -53,6 +53,11 @@ class Counter:
         return n
 
 
+    def cut(self, text: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        pieces = SPLIT.findall(text)
+        return tuple(map(len, pieces)), tuple(map(self, pieces))
+
+
 class Leaves(NamedTuple):
     chars: list[int]
     tokens: list[int]
@@ -113,9 +118,33 @@ class Tree:
         return Leaves(self.chars[part].tolist(), self.tokens[part].tolist())
 
 
+def split(text: str, count: Counter) -> tuple[list[int], list[int]]:
+    """Characters and tokens of each pre-token.
+
+    Between two characters that are no blanks a single space always begins a pre-token, so a text can be cut there and
+    the cuts be remembered; other texts are split as a whole.
+    """
+    if MIXED_BLANKS.search(text):
+        pieces, known = SPLIT.findall(text), count.known
+        return list(map(len, pieces)), [known.get(p) or count(p) for p in pieces]
+    words, cuts = text.split(" "), count.cuts
+    lengths, tokens = count.cut(words[0])
+    lengths, tokens = list(lengths), list(tokens)
+    for word in words[1:]:
+        found = cuts.get(word)
+        if found is None:
+            found = count.cut(" " + word)
+            if len(word) <= LONGEST_REMEMBERED:
+                if len(cuts) >= MEMORY:
+                    cuts.clear()
+                cuts[word] = found
+        lengths += found[0]
+        tokens += found[1]
+    return lengths, tokens
+
+
 def build(text: str, count: Counter) -> Tree:
-    pieces = SPLIT.findall(text)
-    return Tree(leaves_of([len(p) for p in pieces], [count(p) for p in pieces]))
+    return Tree(leaves_of(*split(text, count)))
 
 
 def edit(text: str, tree: Tree, start: int, removed: int, inserted: str, count: Counter) -> tuple[str, Tree, int]:

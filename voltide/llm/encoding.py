@@ -16,9 +16,9 @@ import numpy as np
 import public_tokenizers
 import tiktoken
 
-MEMORY = 200_000
+MEMORY = 500_000
 LONGEST_REMEMBERED = 48
-_MIXED_BLANKS = re.compile(r" \s|\s |^ | $")
+MIXED_BLANKS = re.compile(r" \s|\s |^ | $")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,7 +38,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if _MIXED_BLANKS.search(text):
+        if MIXED_BLANKS.search(text):
             return self.whole(text)
         words = text.split(" ")
         known = self.known
