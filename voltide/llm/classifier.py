@@ -50,13 +50,13 @@ class Settings:
 
 def features_of(word: str, settings: Settings) -> list[int]:
     """Rows of a word and of the character n-grams of the marked word; a long word has all of them."""
-    marked = f"<{word}>"
-    grams = [
-        marked[at : at + n]
-        for n in range(settings.shortest, settings.longest + 1)
-        for at in range(len(marked) - n + 1)
-    ]
-    return [zlib.crc32(gram.encode("utf-8", "surrogatepass")) % settings.buckets for gram in (f"\x01{word}", *grams)]
+    marked, crc, buckets = f"<{word}>", zlib.crc32, settings.buckets
+    spans = [(at, at + n) for n in range(settings.shortest, settings.longest + 1) for at in range(len(marked) - n + 1)]
+    rows = [crc(f"\x01{word}".encode()) % buckets]
+    if marked.isascii():
+        data = marked.encode()
+        return rows + [crc(data[a:b]) % buckets for a, b in spans]
+    return rows + [crc(marked[a:b].encode()) % buckets for a, b in spans]
 
 
 def rows_array(word: str, settings: Settings) -> np.ndarray:
@@ -183,24 +183,25 @@ def fit(
 def scorer(model: Model):
     """Text to probability of label 1."""
     per_row, zero, settings = model.row_scores(), model.log_odds_at_zero(), model.settings
-    known: dict[str, tuple[float, int]] = {}
+    known: dict[str, complex] = {}  # score and number of rows of a word, as one number that sums fast
 
-    def look(word: str) -> tuple[float, int]:
-        rows = features_of(word, settings)
-        share = (float(per_row[rows].sum(dtype=np.float64)), len(rows))
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(known) >= REMEMBERED_WORDS:
-                known.clear()
-            known[word] = share
-        return share
+    def remember(words: set[str]) -> None:
+        for word in words:
+            rows = features_of(word, settings)
+            known[word] = complex(per_row[rows].sum(dtype=np.float64), len(rows))
 
     def score(text: str) -> float:
-        total, n = 0.0, 0
-        for word in tokens_of(text):
-            share = known.get(word) or look(word)
-            total += share[0]
-            n += share[1]
-        return float(1 / (1 + np.exp(-np.clip(total / n + zero, -60, 60))))
+        words = tokens_of(text)
+        fresh = set(words).difference(known)
+        if len(known) + len(fresh) > REMEMBERED_WORDS:
+            known.clear()
+            fresh = set(words)
+        remember(fresh)
+        total = sum(map(known.__getitem__, words))
+        for word in fresh:
+            if len(word) > LONGEST_REMEMBERED:
+                del known[word]
+        return float(1 / (1 + np.exp(-np.clip(total.real / total.imag + zero, -60, 60))))
 
     return score
 
