@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 MAX_ROWS = 8192
 THRESHOLD = 0.3
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 600_000
 LONGEST_REMEMBERED = 40
 CLOSING, AGAIN, TWICE = "\x02end", "\x02again", "\x02twice"
 
