@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from voltide.llm.encoding import read_ranks
 
-MAPS = 1 << 17
+MAPS = 1 << 16
 PAIR_LISTS = 1 << 16
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 MARK, REST = -1, 1 << 30
 SHARES = 64
 
