@@ -111,3 +111,37 @@ def test_generated_documents_keep_no_entity(spark, sf_dir):
 
 def test_empty_table(frame):
     assert pii.pseudonymise(frame([]), KEY).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("kind", "text"),
+    [
+        ("ssn", "123-45-6789"),
+        ("phone", "+1 (017) 555-7713"),
+        ("phone", "+10175557713"),
+        ("phone", "+49 30 1234 567"),
+        ("phone", "(017) 555-7713"),
+        ("card", "4111 1111 1111 1111"),
+        ("card", "4111-1111-1111-1112"),
+        ("iban", "DE89 3704 0044 0532 0130 00"),
+        ("ip", "097.51.017.173"),
+        ("ip", "001.300.2.3"),
+        ("email", "A.B-7@MAIL3.Example.com"),
+        ("email", "İx.ΝΙΚΟΣ@Mail.org"),
+        ("secret", "24BE64439E3E49CF46B2D7C90F3602A3"),
+        ("secret", "aGVsbG8gd29ybGQ-Zm9v1"),
+        ("name", "f|ANNA Schmidt"),
+        ("name", "m|Müller"),
+    ],
+)
+@pytest.mark.parametrize("attempt", [0, 3])
+def test_the_collision_check_sees_what_is_written(kind, text, attempt):
+    normal = pii.normal_form(kind, text)
+    written = pii.normal_form(kind, pii.surrogate(kind, text, KEY, attempt))
+    assert written == pii.normal_form(kind, pii.surrogate(kind, normal, KEY, attempt))
+
+
+def test_a_country_code_is_kept_in_every_layout():
+    a, b = replaced("+1 (017) 555-7713 or +10175557713").split(" or ")
+    assert pii._digits(a) == pii._digits(b) and a.startswith("+1 (")
+    assert replaced("+49 30 1234 567").startswith("+49 ") and replaced("+353 1 234 5678").startswith("+353 ")

@@ -75,6 +75,10 @@ SCRIPTS = [
     ("a", "z"), ("à", "ö"), ("ø", "ÿ"), ("α", "ω"), ("а", "я"), ("א", "ת"), ("ぁ", "ゖ"), ("ァ", "ヺ"),
     ("一", "龥"), ("가", "힣"),
 ]
+TWO_DIGIT_COUNTRIES = set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 "
+    "90 91 92 93 94 95 98".split()
+)
 VOWELS, CONSONANTS, HEX = "aeiou", "bcdfghjklmnpqrstvwxyz", "0123456789abcdef"
 
 
@@ -147,7 +151,7 @@ def reformat(text: str, tweak: str, key: bytes, alphabets: list[str] | None = No
         for i, number in zip(places, moved, strict=True):
             letter = kind[number] if len(kind) > 1 else chr(ord(kind) + number)
             capital = shouted if kind == HEX else text[i] != text[i].lower()
-            out[i] = letter.upper() if capital and len(letter.upper()) == 1 else letter
+            out[i] = letter.upper() if capital and letter.upper().lower() == letter else letter
     return "".join(out)
 
 
@@ -181,15 +185,22 @@ def gender_of(title: str, who: str) -> str:
     return next((g for (g, _), names in GIVEN.items() if g != "n" and given in names), "n") if " " in who else "n"
 
 
+def lowered(text: str) -> str:
+    """Lower case letter by letter, as ``reformat`` sees it; letters whose lower case is longer stay."""
+    return "".join(low if len(low := c.lower()) == 1 else c for c in text)
+
+
 def normal_form(kind: str, text: str) -> str:
-    """What makes two mentions the same entity."""
-    if kind in ("card", "ssn", "phone"):
+    """What makes two mentions the same entity. Surrogates are made from it and laid out like the mention."""
+    if kind in ("card", "ssn"):
         return _digits(text)
+    if kind == "phone":
+        return "+" * text.startswith("+") + _digits(text)
     if kind == "iban":
         return re.sub(r"\s", "", text)
     if kind == "ip":
         return ".".join(str(int(part)) for part in text.split("."))
-    return text.lower()
+    return lowered(text)
 
 
 def _card(text: str, tweak: str, key: bytes) -> str:
@@ -204,10 +215,20 @@ def _card(text: str, tweak: str, key: bytes) -> str:
             return _laid_out(digits, text)
 
 
+def _ssn(text: str, tweak: str, key: bytes) -> str:
+    moved = permute([int(c) for c in _digits(text)], 10, tweak, key)
+    return _laid_out("".join(map(str, moved)), text)
+
+
+def _country(digits: str) -> str:
+    """The country code that an international number begins with; no code begins with another."""
+    size = 1 if digits[:1] in ("1", "7") else 2 if digits[:2] in TWO_DIGIT_COUNTRIES else 3
+    return digits[:size]
+
+
 def _phone(text: str, tweak: str, key: bytes) -> str:
-    country = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-    kept = len(_digits(country.group())) if country else 0
     digits = _digits(text)
+    kept = len(_country(digits)) if text.startswith("+") else 0
     moved = permute([int(c) for c in digits[kept:]], 10, f"{tweak}/{digits[:kept]}", key)
     return _laid_out(digits[:kept] + "".join(map(str, moved)), text)
 
@@ -215,7 +236,7 @@ def _phone(text: str, tweak: str, key: bytes) -> str:
 def _ip(text: str, tweak: str, key: bytes) -> str:
     octets = [int(part) for part in text.split(".")]
     if max(octets) > 255:
-        return reformat(text, tweak, key)
+        return reformat(normal_form("ip", text), tweak, key)
     return str(ipaddress.IPv4Address(bytes(permute(octets, 256, tweak, key))))
 
 
@@ -258,7 +279,7 @@ def surrogate(kind: str, text: str, key: bytes, attempt: int = 0) -> str:
     if kind == "secret":
         # The letters decide between hexadecimal and any, not their case.
         return reformat(text, tweak, key, [HEX] if re.fullmatch(r"[\s\"']*[0-9a-fA-F]+", text) else None)
-    makers = {"card": _card, "phone": _phone, "ip": _ip, "email": _email, "iban": _iban, "ssn": reformat}
+    makers = {"card": _card, "phone": _phone, "ip": _ip, "email": _email, "iban": _iban, "ssn": _ssn}
     return makers[kind](text, tweak, key)
 
 
