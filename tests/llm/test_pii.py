@@ -145,3 +145,34 @@ def test_a_country_code_is_kept_in_every_layout():
     a, b = replaced("+1 (017) 555-7713 or +10175557713").split(" or ")
     assert pii._digits(a) == pii._digits(b) and a.startswith("+1 (")
     assert replaced("+49 30 1234 567").startswith("+49 ") and replaced("+353 1 234 5678").startswith("+353 ")
+
+
+NAMES = {
+    "Mr O'Brien": r"Mr [A-Z]'[A-Z][a-z]{4}$",
+    "Frau Müller-Lüdenscheidt": r"Frau [A-Z]\w{5}-[A-Z]\w{11}$",
+    "Dr. John Fitzgerald Kennedy": r"Dr\. [A-Z]\w+ [A-Z][a-z]{9} [A-Z][a-z]{6}$",
+    "Mr John F. Kennedy": r"Mr [A-Z]\w+ [A-Z]\. [A-Z][a-z]{6}$",
+    "Dr Anna-Maria Smith": r"Dr [A-Z]\w+ [A-Z][a-z]{4}$",
+    "Mr J. R. R. Tolkien": r"Mr [A-Z]\. [A-Z]\. [A-Z]\. [A-Z][a-z]{6}$",
+    "Mr Ludwig van Beethoven": r"Mr [A-Z]\w+ [a-z]{3} [A-Z][a-z]{8}$",
+}
+
+
+@pytest.mark.parametrize("text", NAMES)
+def test_whole_names_are_replaced(text):
+    new = replaced(text)
+    assert re.match(NAMES[text], new), new
+    assert [m.partition("|")[2] for *_, m in pii.mentions(text)] == [re.sub(r"^\w+\.? ", "", text)]
+    for word in re.findall(r"\w{4,}", text):
+        assert word not in new.split()[1:], new
+
+
+def test_names_end_where_they_end():
+    assert re.match(r"Mr [A-Z][a-z]{4}'s house, Mr [A-Z][a-z]{4} went\. The$", replaced("Mr Smith's house, Mr Smith went. The"))
+    a, b = replaced("Mr O'Brien, Mr O’Brien").replace("’", "'").split(", ")
+    assert a == b
+    assert pii.gender_of("Dr", "Anna-Maria Smith") == "f"
+    for text in ("m|O’Brien", "m|John F. Kennedy", "f|Anna-Maria Müller-Lüdenscheidt", "m|Ludwig van Beethoven"):
+        normal = pii.normal_form("name", text)
+        made = [pii.normal_form("name", pii.surrogate("name", t, KEY, 2)) for t in (text, normal)]
+        assert made[0] == made[1]

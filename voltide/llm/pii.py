@@ -48,8 +48,26 @@ GIVEN = {
     ("n", "cyrillic"): "Саша Женя Валя".split(),
 }
 
+PARTICLES = "van von der den de del della di da do dos das du la le zu af av ten ter bin ibn".split()
+
+
+def _capitals() -> str:
+    """The upper-case letters as ranges of a character class."""
+    codes = [n for n in range(0x20000) if chr(n).isupper() and chr(n).isalpha()]
+    firsts = [n for k, n in enumerate(codes) if not k or codes[k - 1] != n - 1]
+    lasts = [n for k, n in enumerate(codes) if k + 1 == len(codes) or codes[k + 1] != n + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(firsts, lasts, strict=True))
+
+
 _TITLE = "|".join((*MALE, *FEMALE, *NEUTRAL))
-_NAME = r"[^\W\d_][^\W\d_'’-]+"
+_LETTER, _CAPITAL = r"[^\W\d_]", f"[{_capitals()}]"
+# Letters with single apostrophes and hyphens between them; a possessive s is not part of a name.
+_REST = rf"(?:(?:-|['’](?![sS](?!\w)))?{_LETTER})+"
+_WORD = rf"(?:(?:[dlDL]['’]|(?:al|el|an|ar|as|ad|ash)-)?{_CAPITAL}{_REST})"
+# Initials and particles stand before a capitalised word.
+_BEFORE = rf"(?:(?:{'|'.join(PARTICLES)})[ ]|{_CAPITAL}\.-?[ ]?|{_CAPITAL}[ ])*"
+# Every capitalised word that follows; a name that does not begin with one has two words at most.
+_WHO = rf"{_BEFORE}{_WORD}(?:[ ]{_BEFORE}{_WORD})*|{_LETTER}{_REST}(?:[ ]{_LETTER}{_REST})?"
 ENTITY = re.compile(
     "|".join(
         (
@@ -62,7 +80,7 @@ ENTITY = re.compile(
             r"(?![\w-]))",
             r"(?P<phone>\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)"
             r"|(?<!\w)\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))",
-            rf"(?P<name>(?<!\w)(?P<title>{_TITLE})(?P<dot>\.?\s+)(?=[^\W\d_])(?P<who>{_NAME}(?:[ ]{_NAME})?))",
+            rf"(?P<name>(?<!\w)(?P<title>{_TITLE})(?P<dot>\.?\s+)(?=[^\W\d_])(?P<who>{_WHO}))",
         )
     )
 )
@@ -181,7 +199,7 @@ def gender_of(title: str, who: str) -> str:
     """By the title, else by a given name that is on one list only."""
     if title in MALE or title in FEMALE:
         return "m" if title in MALE else "f"
-    given = who.split(" ")[0].capitalize()
+    given = re.split("[ -]", who)[0].capitalize()
     return next((g for (g, _), names in GIVEN.items() if g != "n" and given in names), "n") if " " in who else "n"
 
 
@@ -200,7 +218,7 @@ def normal_form(kind: str, text: str) -> str:
         return re.sub(r"\s", "", text)
     if kind == "ip":
         return ".".join(str(int(part)) for part in text.split("."))
-    return lowered(text)
+    return lowered(text.replace("’", "'") if kind == "name" else text)
 
 
 def _card(text: str, tweak: str, key: bytes) -> str:
@@ -253,22 +271,40 @@ def _iban(text: str, tweak: str, key: bytes) -> str:
     return "".join(c if c.isspace() else next(whole) for c in text)
 
 
+def _part(word: str, tweak: str, key: bytes, alphabets: list[str] | None = None) -> str:
+    """One word of a name; both apostrophes count as one and stay as they are."""
+    moved = reformat(word.replace("’", "'"), tweak, key, alphabets)
+    return "".join(old if old == "’" else new for old, new in zip(word, moved, strict=True))
+
+
+def _given_names(gender: str, word: str) -> list[str] | None:
+    """The list that a given name's surrogate comes from; None for initials, particles and other scripts."""
+    low = word[0].lower()
+    script = "cyrillic" if "а" <= low <= "я" or low == "ё" else "latin"
+    listed = "a" <= low <= "z" or "à" <= low <= "ÿ" or script == "cyrillic"
+    if not listed or len(word) == 1 or "." in word or word.lower() in PARTICLES:
+        return None
+    return GIVEN[gender, script]
+
+
 def _name(text: str, tweak: str, key: bytes, attempt: int) -> str:
-    """``text`` is gender, bar, name: the last word is the surname, a word before it the given name."""
+    """``text`` is gender, bar, name: the last word is the surname, the first of several the given name."""
     gender, _, name = text.partition("|")
     words = name.split(" ")
     # The surname does not depend on the given name, nor on the attempt while there is a given name to change.
     surname_tweak = "surname" if len(words) > 1 or not attempt else tweak
-    surname = reformat(words[-1], surname_tweak, key, [VOWELS, CONSONANTS])
+    surname = _part(words[-1], surname_tweak, key, [VOWELS, CONSONANTS])
     if len(words) == 1:
         return f"{gender}|{surname}"
-    low = words[0][0].lower()
-    script = "cyrillic" if "а" <= low <= "я" or low == "ё" else "latin"
-    if not ("a" <= low <= "z" or "à" <= low <= "ÿ" or script == "cyrillic"):
-        return f"{gender}|{reformat(words[0], tweak, key)} {surname}"
-    choices = GIVEN[gender, script]
-    given = choices[(_prf(key, "given", 0, int.from_bytes(words[0].lower().encode(), "big")) + attempt) % len(choices)]
-    return f"{gender}|{given if words[0] != words[0].upper() else given.upper()} {surname}"
+    choices = _given_names(gender, words[0])
+    if choices:
+        number = _prf(key, "given", 0, int.from_bytes(normal_form("name", words[0]).encode(), "big")) + attempt
+        given = choices[number % len(choices)]
+        given = given if words[0] != words[0].upper() else given.upper()
+    else:
+        given = _part(words[0], tweak, key)
+    middle = [_part(word, f"{tweak}/{k}", key, [VOWELS, CONSONANTS]) for k, word in enumerate(words[1:-1])]
+    return f"{gender}|{' '.join([given, *middle, surname])}"
 
 
 def surrogate(kind: str, text: str, key: bytes, attempt: int = 0) -> str:
