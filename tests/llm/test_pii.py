@@ -176,3 +176,45 @@ def test_names_end_where_they_end():
         normal = pii.normal_form("name", text)
         made = [pii.normal_form("name", pii.surrogate("name", t, KEY, 2)) for t in (text, normal)]
         assert made[0] == made[1]
+
+
+def spell(k):
+    return "".join("abcdefghij"[int(c)] for c in f"{k:02d}")
+
+
+def test_forty_given_names_before_one_surname(frame):
+    names = [f"Jo{spell(k)}" for k in range(40)]
+    docs = frame([(k, f"here is Mr {name} Smith") for k, name in enumerate(names)])
+    new = [r.text for r in pii.pseudonymise(docs, KEY).collect()]
+    assert len(set(new)) == 40
+    given = {text.split()[3] for text in new}
+    assert given == set(pii.GIVEN["m", "latin"])
+    surnames = [text.split()[4] for text in new]
+    assert surnames.count(replaced("Mr Smith").split()[1]) == 15 and "Smith" not in surnames
+
+
+def test_what_is_left_after_the_attempts_is_resolved_by_rank(frame, monkeypatch):
+    monkeypatch.setattr(pii, "ATTEMPTS", 3)
+    docs = frame([(k, f"mail u{k}@a.org") for k in range(20)])
+
+    def crowded(entities, key, attempt=None):  # all early attempts clash
+        rows = entities.collect()
+        turn = [attempt if attempt is not None else r.attempt for r in rows]
+        made = [f"same{n % 2}@a.org" if n < 3 else pii.surrogate(r.kind, r.normal, key, n) for r, n in zip(rows, turn, strict=True)]
+        of = [(r.kind, r.normal, m, n) for r, m, n in zip(rows, made, turn, strict=True)]
+        return docs.sparkSession.createDataFrame(of, "kind string, normal string, made string, attempt int")
+
+    monkeypatch.setattr(pii, "assign", crowded)
+    moved = {r.normal: r.attempt for r in pii.exceptions(docs, KEY, first_made=crowded).collect()}
+    late = [n for n, attempt in moved.items() if attempt >= 3]
+    made = {pii.surrogate("email", n, KEY, moved[n]) for n in late}
+    assert len(moved) == 19 and len(late) == len(made) == 18
+    assert not made & {f"u{k}@a.org" for k in range(20)}
+
+
+@pytest.mark.parametrize("kind", ["email", "secret", "phone", "name"])
+def test_late_attempts_never_repeat(kind):
+    text = {"email": "A@1.org", "secret": "a1b2c3d4e5f6a7b8", "phone": "+1 22 33", "name": "m|Jo LI"}[kind]
+    made = [pii.normal_form(kind, pii.surrogate(kind, text, KEY, n)) for n in range(pii.ATTEMPTS, pii.ATTEMPTS + 40)]
+    assert len(set(made)) == 40
+    assert made == [pii.normal_form(kind, pii.surrogate(kind, pii.normal_form(kind, text), KEY, n)) for n in range(32, 72)]

@@ -9,8 +9,11 @@ any layout, addresses and names in any case), with no table of entities to ship.
 
 Permutations keep different entities apart within one layout. What they cannot exclude is checked over the distinct
 entities of the whole corpus: two entities with one surrogate, or a surrogate that is itself an entity of the corpus.
-Those get the permutation of the next attempt until the check is clean. These exceptions, usually none, are joined
-to the documents that hold such an entity; the join is by text digest, and Spark chooses it by measured size.
+Those get the permutation of the next attempt until the check is clean. A name first tries every given name of its list with
+its surname kept, then other surnames. What is left after 32 attempts is numbered within its colliding group, and the number
+makes surrogates longer where the type allows it (names, addresses, secrets, telephone numbers). There is no last attempt.
+These exceptions are joined to the documents that hold such an entity; the join is by text digest, and Spark chooses it by
+measured size.
 
 Null texts stay null, empty ones empty. Texts are read whole. Repeated rows get equal results; missing ids are kept; an empty
 table gives an empty result. All columns of the input are kept; helper columns take names that do not clash.
@@ -25,7 +28,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltide.llm.tables import free_name
@@ -34,6 +37,8 @@ from voltide.session import stage
 ROUNDS = 8
 ATTEMPTS = 32
 REMEMBERED = 50_000
+# How many social security numbers and network addresses there are.
+ROOM = {"ssn": 10**9, "ip": 2**32}
 
 # Titles by gender, and common given names by gender and script.
 MALE = ("Mr", "Mister", "Herr", "Señor", "Sr", "Monsieur", "господин")
@@ -251,17 +256,29 @@ def _phone(text: str, tweak: str, key: bytes) -> str:
     return _laid_out(digits[:kept] + "".join(map(str, moved)), text)
 
 
-def _ip(text: str, tweak: str, key: bytes) -> str:
+def _ip(text: str, tweak: str, key: bytes, attempt: int) -> str:
     octets = [int(part) for part in text.split(".")]
+    if attempt >= ATTEMPTS:  # out of few numbers of its layout into all addresses
+        octets, tweak = [part % 256 for part in octets], f"{tweak}/{normal_form('ip', text)}"
     if max(octets) > 255:
         return reformat(normal_form("ip", text), tweak, key)
     return str(ipaddress.IPv4Address(bytes(permute(octets, 256, tweak, key))))
 
 
-def _email(text: str, tweak: str, key: bytes) -> str:
+def _tail(attempt: int, like: str) -> str:
+    """Nothing for the first attempts, then letters that spell the attempt in the script and case of ``like``."""
+    number, out = attempt - ATTEMPTS, ""
+    first, radix = next(((c[0], c[1]) for c in reversed(_classes(like, None)) if c and c[0] != "0"), ("a", 26))
+    while number >= 0:
+        number, letter = number // radix - 1, chr(ord(first) + number % radix)
+        out = (letter.upper() if like.isupper() and letter.upper().lower() == letter else letter) + out
+    return out
+
+
+def _email(text: str, tweak: str, key: bytes, attempt: int) -> str:
     local, _, domain = text.rpartition("@")
     labels, _, top = domain.rpartition(".")
-    return f"{reformat(local, f'{tweak}/local', key)}@{reformat(labels, f'{tweak}/domain', key)}.{top}"
+    return f"{reformat(local, f'{tweak}/local', key)}{_tail(attempt, local)}@{reformat(labels, f'{tweak}/domain', key)}.{top}"
 
 
 def _iban(text: str, tweak: str, key: bytes) -> str:
@@ -291,12 +308,13 @@ def _name(text: str, tweak: str, key: bytes, attempt: int) -> str:
     """``text`` is gender, bar, name: the last word is the surname, the first of several the given name."""
     gender, _, name = text.partition("|")
     words = name.split(" ")
+    choices = _given_names(gender, words[0]) if len(words) > 1 else None
     # The surname does not depend on the given name, nor on the attempt while there is a given name to change.
-    surname_tweak = "surname" if len(words) > 1 or not attempt else tweak
-    surname = _part(words[-1], surname_tweak, key, [VOWELS, CONSONANTS])
+    changes = len(choices) if choices else 1
+    surname_tweak = "surname" if attempt < changes else f"{tweak}/{normal_form('name', ' '.join(words[:-1]))}"
+    surname = _part(words[-1], surname_tweak, key, [VOWELS, CONSONANTS]) + _tail(attempt, words[-1])
     if len(words) == 1:
         return f"{gender}|{surname}"
-    choices = _given_names(gender, words[0])
     if choices:
         number = _prf(key, "given", 0, int.from_bytes(normal_form("name", words[0]).encode(), "big")) + attempt
         given = choices[number % len(choices)]
@@ -312,11 +330,13 @@ def surrogate(kind: str, text: str, key: bytes, attempt: int = 0) -> str:
     tweak = f"{kind}/{attempt}" if attempt else kind
     if kind == "name":
         return _name(text, tweak, key, attempt)
+    more = str(attempt - ATTEMPTS) if attempt >= ATTEMPTS and kind in ("secret", "phone") else ""
     if kind == "secret":
         # The letters decide between hexadecimal and any, not their case.
-        return reformat(text, tweak, key, [HEX] if re.fullmatch(r"[\s\"']*[0-9a-fA-F]+", text) else None)
-    makers = {"card": _card, "phone": _phone, "ip": _ip, "email": _email, "iban": _iban, "ssn": _ssn}
-    return makers[kind](text, tweak, key)
+        return reformat(text, tweak, key, [HEX] if re.fullmatch(r"[\s\"']*[0-9a-fA-F]+", text) else None) + more
+    if kind in ("ip", "email"):
+        return {"ip": _ip, "email": _email}[kind](text, tweak, key, attempt)
+    return {"card": _card, "phone": _phone, "iban": _iban, "ssn": _ssn}[kind](text, tweak, key) + more
 
 
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
@@ -374,44 +394,63 @@ def find_entities(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     return read.mapInArrow(run, schema)
 
 
-def assign(entities: DataFrame, key: bytes, attempt: int) -> DataFrame:
-    """Distinct entities (kind, normal) with the normal form of their surrogate in this attempt."""
+def assign(entities: DataFrame, key: bytes, attempt: int | None = None) -> DataFrame:
+    """Distinct entities (kind, normal) with the normal form of their surrogate in this attempt, else in their column ``attempt``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, normals = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            made = [normal_form(k, surrogate(k, m, key, attempt)) for k, m in zip(kinds, normals, strict=True)]
+            rows = zip(*(column.to_pylist() for column in batch.columns), strict=True)
+            made = [normal_form(k, surrogate(k, m, key, n)) for k, m, n in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(made, pa.string())], names=["kind", "normal", "made"]
+                [*batch.columns, pa.array(made, pa.string())], names=["kind", "normal", "attempt", "made"]
             )
 
-    made = entities.select("kind", "normal").mapInArrow(run, f"{_ENTITIES}, made string")
-    return made.withColumn("attempt", F.lit(attempt))
+    turn = F.col("attempt") if attempt is None else F.lit(attempt).alias("attempt")
+    made = entities.select("kind", "normal", turn).mapInArrow(run, f"{_ENTITIES}, attempt int, made string")
+    return made.select("kind", "normal", "made", "attempt")
 
 
 def exceptions(docs: DataFrame, key: bytes, text: str = "text", first_made=assign) -> DataFrame | None:
-    """(kind, normal, attempt) of the entities whose first surrogate would not be theirs alone; None without any."""
+    """(kind, normal, attempt) of the entities whose first surrogate would not be theirs alone; None without any.
+
+    A round looks only at what the rounds before left open. Settled surrogates stay with their entities.
+    """
     entities = stage(find_entities(docs, text).distinct(), "entities")
-    settled = stage(first_made(entities, key, 0), "surrogates")
-    for attempt in range(1, ATTEMPTS):
-        real = entities.select("kind", F.col("normal").alias("made")).withColumn("real", F.lit(True))
-        first = settled.groupBy("kind", "made").agg(
-            F.min(F.struct("attempt", "normal")).alias("owner"), F.count(F.lit(1)).alias("n")
-        )
-        taken = first.filter("n > 1").select("kind", "made", F.col("owner.normal").alias("owner"))
+    real = entities.select("kind", F.col("normal").alias("made"))
+    fresh, settled, turn = stage(first_made(entities, key, 0), "surrogates"), [], 0
+    while True:
+        first = fresh.groupBy("kind", "made").agg(F.min("normal").alias("owner"), F.count(F.lit(1)).alias("n"))
+        shared = first.filter("n > 1").select("kind", "made", "owner")
+        taken = real.unionByName(functools.reduce(DataFrame.unionByName, settled)) if settled else real
+        taken = taken.distinct().withColumn("taken", F.lit(True))
         checked = stage(
-            settled.join(real, ["kind", "made"], "left")
-            .join(taken, ["kind", "made"], "left")
-            .withColumn("bad", F.col("real").isNotNull() | (F.col("owner") != F.col("normal")))
-            .select("kind", "normal", "made", "attempt", F.coalesce("bad", F.lit(False)).alias("bad")),
+            fresh.join(taken, ["kind", "made"], "left")
+            .join(shared, ["kind", "made"], "left")
+            .withColumn("bad", F.col("taken").isNotNull() | F.coalesce(F.col("owner") != F.col("normal"), F.lit(False)))
+            .select("kind", "normal", "made", "attempt", "bad"),
             "checked-surrogates",
         )
-        if checked.filter("bad").isEmpty():
-            moved = checked.filter("attempt > 0").select("kind", "normal", "attempt")
-            return None if moved.isEmpty() else moved
-        again = assign(checked.filter("bad"), key, attempt)
-        settled = stage(checked.filter("not bad").drop("bad").unionByName(again), "surrogates")
-    raise ValueError(f"surrogates still collide after {ATTEMPTS} attempts")
+        good, bad = checked.filter("not bad"), checked.filter("bad")
+        settled.append(good.select("kind", "made"))
+        moved = moved.unionByName(good) if turn else good.limit(0)
+        if bad.isEmpty():
+            return moved.select("kind", "normal", "attempt") if turn else None
+        turn += 1
+        if turn >= ATTEMPTS:  # numbers of their own within the group: each round tries surrogates no round has tried
+            if turn == ATTEMPTS:
+                _check_room(entities)
+            rank = F.row_number().over(Window.partitionBy("kind", "made").orderBy("normal"))
+            bad = bad.withColumn("attempt", F.col("attempt") + rank)
+            fresh = stage(assign(bad, key), "surrogates")
+        else:
+            fresh = stage(assign(bad, key, turn), "surrogates")
+
+
+def _check_room(entities: DataFrame) -> None:
+    """Numbers of fixed length cannot grow: refuse a corpus that holds half of all there are."""
+    for kind, n in entities.filter(F.col("kind").isin(*ROOM)).groupBy("kind").count().collect():
+        if 2 * n > ROOM[kind]:
+            raise ValueError(f"{n} different entities of kind {kind} leave no room for as many surrogates")
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", count: str | None = None) -> DataFrame:
