@@ -123,3 +123,17 @@ def test_components_of_chains_stars_and_rings(spark):
         groups.setdefault(row.component, set()).add(row.v)
     assert sorted(map(len, groups.values())) == [30, 61, 80]
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("chars", [6_000_000, 3_000])
+def test_weights_are_those_of_exact_document_frequencies(frame, monkeypatch, chars):
+    monkeypatch.setattr(neardup, "BLOCK_CHARS", chars)
+    random_ = random.Random(8)
+    shared = sentence(random_, 30)
+    rows = [(k, f"{shared} {sentence(random_, 400)}") for k in range(700)]  # about 280,000 shingles
+    weights = neardup.Weights.of(frame(rows), "text")
+    bags = [neardup.shingles(neardup.words_of(text)) for _, text in rows]
+    found, frequency = np.unique(np.concatenate([hashes for hashes, _ in bags]), return_counts=True)
+    exact = 1 + np.log((len(rows) + 1) / (frequency + 1)) / np.log(len(rows) + 1)
+    assert frequency.max() == 700 and (frequency == 1).sum() > 200_000
+    assert np.allclose(weights(found, np.ones(len(found))), exact, rtol=1e-6)

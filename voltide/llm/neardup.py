@@ -1,8 +1,9 @@
 """Near duplicates by consistent weighted sampling over TF-IDF shingles.
 
 A text is the bag of its five-word shingles (lower-cased words between white space; a shorter text is one shingle).
-A shingle weighs its count times ``1 + ln((N + 1) / (df + 1)) / ln(N + 1)``. Document frequencies are hashed: ``df`` counts
-the documents with a shingle in the same one of 2^18 buckets, so the table that tasks hold has a fixed size. Improved
+A shingle weighs its count times ``1 + ln((N + 1) / (df + 1)) / ln(N + 1)``, where ``df`` is the exact number of documents with
+it. Texts lie in blocks of bounded size; a block sends its distinct shingles, dealt by hash into as many parts as there are
+blocks, and gets back the frequencies above 1. So no task holds more than a block or a part, whatever the corpus. Improved
 consistent weighted sampling draws 96 samples of each text, each shingle's random numbers coming from its hash; two texts
 agree in a sample with the probability of their weighted Jaccard similarity. Four samples make a band; texts that
 share a band are compared, and linked if the exact weighted Jaccard similarity is at least 0.8. A pair of that
@@ -44,7 +45,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
-BUCKETS = 1 << 18
+BLOCK_CHARS = 6_000_000
 LEAST_ESTIMATE = 0.6
 BLOCK, TEXT_BLOCK = 512, 1024
 AT_ONCE = 1 << 17
@@ -76,46 +77,132 @@ def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(_mixed(joined), return_counts=True)
 
 
-def bucket_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
-
-
 def identity(words: list[str]) -> bytes:
     return xxhash.xxh3_128_digest("\x1f".join(words))
 
 
 @dataclass
 class Weights:
-    """Inverse document frequency by bucket."""
+    """Weights of shingles by document frequency; ``hashes`` are ascending, a shingle not among them has frequency 1."""
 
-    by_bucket: np.ndarray
+    total: int
+    hashes: np.ndarray
+    frequencies: np.ndarray
 
     @classmethod
     def of(cls, docs: DataFrame, text: str) -> Weights:
-        """Counts over all documents; each task adds up its own before anything is sent."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen, n = np.zeros(BUCKETS, np.int64), 0
-            for batch in batches:
-                for value in batch.column(0):
-                    seen[np.unique(bucket_of(shingles(words_of(value.as_py()))[0]))] += 1
-                    n += 1
-            found = np.flatnonzero(seen)
+        """Of a small corpus, on the driver; ``groups`` looks frequencies up block by block."""
+        blocks = blocked(docs.withColumn("_id", F.lit(None).cast("long")), "_id", text)
+        total = blocks.count()
+        found = shared_frequencies(blocks).toArrow()
+        return cls(total, *frequency_table(found))
+
+    def frequencies_of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.ones(len(hashes), np.uint32)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.frequencies[at], 1).astype(np.uint32)
+
+    def __call__(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return weigh(self.total, self.frequencies_of(hashes), counts)
+
+
+def weigh(total: int, frequencies: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    idf = 1 + np.log((total + 1) / (frequencies + 1.0)) / math.log(max(total + 1, 2))
+    return idf.astype(np.float32) * counts.astype(np.float32)
+
+
+def bag_of(text: str | None, frequencies: bytes, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, weights) of a text with the frequencies kept with it; none are kept if all are 1."""
+    hashes, counts = shingles(words_of(text))
+    of = np.frombuffer(frequencies, np.uint32) if frequencies else np.ones(len(hashes), np.uint32)
+    return hashes, weigh(total, of, counts)
+
+
+def blocked(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """The rows with a row id and a block of bounded size, written once, so that both stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, 0
+        for batch in batches:
+            of = []
+            for row_id, value in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                if block is None or held >= BLOCK_CHARS:
+                    block, held = row_id, 0
+                of.append(block)
+                held += len(value.as_py() or "")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(found, -1), pa.int64()), pa.array(np.append(seen[found], n), pa.int64())],
-                names=["bucket", "n"],
+                [pa.array(of, pa.int64()), *batch.columns], names=["block", "row_id", "id", "text"]
             )
 
-        counted = docs.select(F.col(text).cast("string")).mapInArrow(run, "bucket long, n long")
-        rows = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-        bucket, count = rows["bucket"].to_numpy(), rows["n"].to_numpy()
-        total = int(count[bucket == -1].sum())
-        df = np.zeros(BUCKETS)
-        df[bucket[bucket >= 0]] = count[bucket >= 0]
-        return cls((1 + np.log((total + 1) / (df + 1)) / math.log(max(total + 1, 2))).astype(np.float32))
+    read = docs.select(F.monotonically_increasing_id(), F.col(id).cast("long"), F.col(text).cast("string"))
+    return stage(read.mapInArrow(run, "block long, row_id long, id long, text string"), "blocks")
 
-    def __call__(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return self.by_bucket[bucket_of(hashes)] * counts.astype(np.float32)
+
+_SHARED = "block long, hashes binary, counts binary"
+
+
+def shared_frequencies(blocks: DataFrame) -> DataFrame:
+    """(block, hashes, counts): the document frequencies above 1 of the shingles of each block, in pieces."""
+    parts = 1 << max(3, (blocks.select("block").distinct().count() - 1).bit_length())
+    shift = np.uint64(65 - parts.bit_length())
+
+    def pieces(block: int, bags: list[np.ndarray]) -> pa.RecordBatch:
+        hashes, counts = np.unique(np.concatenate(bags), return_counts=True)
+        ends = np.searchsorted((hashes >> shift).astype(np.int64), np.arange(parts + 1))
+        rows = [(k, ends[k], ends[k + 1]) for k in range(parts) if ends[k] < ends[k + 1]]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, _, _ in rows], pa.int64()),
+                pa.array([block] * len(rows), pa.int64()),
+                pa.array([hashes[i:j].tobytes() for _, i, j in rows], pa.binary()),
+                pa.array([counts[i:j].astype(np.uint32).tobytes() for _, i, j in rows], pa.binary()),
+            ],
+            names=["part", "block", "hashes", "counts"],
+        )
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, bags = None, []
+        for batch in batches:
+            for block, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if block != last and bags:
+                    yield pieces(last, bags)
+                    bags = []
+                last = block
+                bags.append(shingles(words_of(value.as_py()))[0])
+        if bags:
+            yield pieces(last, bags)
+
+    def add_up(table: pa.Table) -> pa.Table:
+        hashes, counts = _joined(table)
+        found, at = np.unique(hashes, return_inverse=True)
+        total = np.bincount(at, counts, len(found)).astype(np.uint32)[at]
+        sizes = np.asarray([len(h) // 8 for h in table["hashes"].to_pylist()])
+        starts = np.concatenate(([0], np.cumsum(sizes)))
+        kept = []
+        for k, block in enumerate(table["block"].to_pylist()):
+            one = slice(starts[k], starts[k + 1])
+            more = total[one] > 1
+            if more.any():
+                kept.append((block, hashes[one][more].tobytes(), total[one][more].tobytes()))
+        columns = zip(*kept, strict=True) if kept else ((), (), ())
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["block", "hashes", "counts"])
+
+    sent = blocks.select("block", "text").mapInArrow(send, f"part long, {_SHARED}")
+    return sent.groupBy("part").applyInArrow(add_up, _SHARED)
+
+
+def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.uint64)
+    return hashes, np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32)
+
+
+def frequency_table(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, frequencies) of pieces, ascending; a shingle that came twice has the same frequency in both."""
+    hashes, counts = _joined(table)
+    found, first = np.unique(hashes, return_index=True)
+    return found, counts[first]
 
 
 class Sampler:
@@ -164,34 +251,36 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return low / (float(a[1].sum(dtype=np.float64)) + float(b[1].sum(dtype=np.float64)) - low)
 
 
-_ROWS = "row_id long, id long, d1 long, d2 long, total double, samples binary, bands array<long>"
+_ROWS = (
+    "row_id long, id long, d1 long, d2 long, total double, frequencies binary, samples binary, bands array<long>"
+)
 
 
-def sketches(docs: DataFrame, weights, id: str, text: str) -> DataFrame:
-    """Identity, total weight, 16 bits of each sample, and band keys of every row; written once, so row ids stay."""
+def sketches(blocks: DataFrame, total: int) -> DataFrame:
+    """Identity, weight, frequencies of its shingles, 16 bits of each sample, and band keys of every row."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weigh, sampler = weights.value, Sampler()
-        for batch in batches:
-            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True))
-            at = 0
-            while at < len(rows):
-                ids, digests, bags, held = [], [], [], 0
-                while at < len(rows) and held < AT_ONCE:
-                    row_id, doc_id, value = rows[at]
-                    words = words_of(value.as_py())
-                    ids.append((row_id, doc_id))
-                    digests.append(identity(words))
-                    hashes, counts = shingles(words)
-                    bags.append((hashes, weigh(hashes, counts)))
-                    held, at = held + len(hashes), at + 1
-                yield _sketch_batch(ids, digests, bags, sampler)
+    def run(rows: pa.Table, shared: pa.Table) -> pa.Table:
+        weights, sampler, out, at = Weights(total, *frequency_table(shared)), Sampler(), [], 0
+        row_ids, doc_ids = rows["row_id"].to_pylist(), rows["id"].to_pylist()
+        while at < len(row_ids):
+            ids, digests, bags, frequencies, held = [], [], [], [], 0
+            while at < len(row_ids) and held < AT_ONCE:
+                words = words_of(rows["text"][at].as_py())
+                ids.append((row_ids[at], doc_ids[at]))
+                digests.append(identity(words))
+                hashes, counts = shingles(words)
+                of = weights.frequencies_of(hashes)
+                frequencies.append(of.tobytes() if (of > 1).any() else b"")
+                bags.append((hashes, weigh(total, of, counts)))
+                held, at = held + len(hashes), at + 1
+            out.append(_sketch_batch(ids, digests, bags, frequencies, sampler))
+        return pa.Table.from_batches(out)
 
-    read = docs.select(F.monotonically_increasing_id(), F.col(id).cast("long"), F.col(text).cast("string"))
-    return stage(read.mapInArrow(run, _ROWS), "sketches")
+    both = blocks.groupBy("block").cogroup(shared_frequencies(blocks).groupBy("block"))
+    return stage(both.applyInArrow(run, _ROWS), "sketches")
 
 
-def _sketch_batch(ids, digests, bags, sampler: Sampler) -> pa.RecordBatch:
+def _sketch_batch(ids, digests, bags, frequencies, sampler: Sampler) -> pa.RecordBatch:
     full = [k for k, bag in enumerate(bags) if len(bag[0])]
     samples, bands = [b""] * len(bags), [[] for _ in bags]
     if full:
@@ -211,10 +300,11 @@ def _sketch_batch(ids, digests, bags, sampler: Sampler) -> pa.RecordBatch:
             pa.array(halves[:, 0], pa.int64()),
             pa.array(halves[:, 1], pa.int64()),
             pa.array([float(w.sum(dtype=np.float64)) for _, w in bags], pa.float64()),
+            pa.array(frequencies, pa.binary()),
             pa.array(samples, pa.binary()),
             pa.array(bands, pa.list_(pa.int64())),
         ],
-        names=["row_id", "id", "d1", "d2", "total", "samples", "bands"],
+        names=["row_id", "id", "d1", "d2", "total", "frequencies", "samples", "bands"],
     )
 
 
@@ -252,8 +342,8 @@ def estimated(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
     )
 
 
-def fetch_texts(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
-    """(v, text) of the wanted vertices (v, id, d1, d2), read from the documents."""
+def fetch_texts(docs: DataFrame, wanted: DataFrame, rows: DataFrame, id: str, text: str) -> DataFrame:
+    """(v, text, frequencies) of the wanted vertices (v, id, d1, d2), read from the documents and the sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,28 +358,28 @@ def fetch_texts(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataF
         run, "own long, text string, e1 long, e2 long"
     )
     same = (F.col("e1") == F.col("d1")) & (F.col("e2") == F.col("d2")) & F.col("own").eqNullSafe(F.col("id"))
-    return stage(read.join(wanted, same).select("v", "text").dropDuplicates(["v"]), "compared-texts")
+    kept = rows.select(F.col("row_id").alias("v"), "frequencies")
+    return stage(read.join(wanted, same).select("v", "text").dropDuplicates(["v"]).join(kept, "v"), "compared-texts")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, weights, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, total: int, similarity: float) -> DataFrame:
     """Pairs (a, b) with ``linked``: whether their weighted Jaccard similarity reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weigh, last, bag_a = weights.value, None, None
+        last, bag_a = None, None
         for batch in batches:
             linked = []
-            for a, text_a, text_b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+            for a, *sides in zip(batch.column(0).to_pylist(), *batch.columns[2:], strict=True):
+                text_a, of_a, text_b, of_b = sides
                 if a != last:
-                    hashes, counts = shingles(words_of(text_a.as_py()))
-                    last, bag_a = a, (hashes, weigh(hashes, counts))
-                hashes, counts = shingles(words_of(text_b.as_py()))
-                linked.append(weighted_jaccard(bag_a, (hashes, weigh(hashes, counts))) >= similarity)
+                    last, bag_a = a, bag_of(text_a.as_py(), of_a.as_py(), total)
+                linked.append(weighted_jaccard(bag_a, bag_of(text_b.as_py(), of_b.as_py(), total)) >= similarity)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
             )
 
-    both = pairs.select("a", "b").join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
-    compared = both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean")
+    both = pairs.select("a", "b").join(texts.toDF("b", "text_b", "of_b"), "b").join(texts.toDF("a", "text_a", "of_a"), "a")
+    compared = both.select("a", "b", "text_a", "of_a", "text_b", "of_b").mapInArrow(run, "a long, b long, linked boolean")
     return stage(compared, "verified")
 
 
@@ -376,21 +466,20 @@ def families(rows: DataFrame, similarity: float) -> DataFrame:
     return rows.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
 
 
-def links_across(rows: DataFrame, weights, similarity: float) -> DataFrame:
+def links_across(rows: DataFrame, total: int, similarity: float) -> DataFrame:
     """Links (a, b) between components of a family, verified where the texts lie, best estimate first.
 
     A pair is left out if links of this task have joined its ends: a task gives fewer links than it has members.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        weigh, v, component = weights.value, table["v"].to_numpy(), table["component"].to_numpy()
+        v, component = table["v"].to_numpy(), table["component"].to_numpy()
         bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         roots, links = Roots(), []
 
         def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
             if i not in bags:
-                hashes, counts = shingles(words_of(table["text"][i].as_py()))
-                bags[i] = hashes, weigh(hashes, counts)
+                bags[i] = bag_of(table["text"][i].as_py(), table["frequencies"][i].as_py(), total)
             return bags[i]
 
         for i, others, estimates in near_pairs(table, similarity):
@@ -406,8 +495,9 @@ def links_across(rows: DataFrame, weights, similarity: float) -> DataFrame:
 
 def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: id, class_id (the smallest id of its class), group_size, kept (one row of each class)."""
-    weights = docs.sparkSession.sparkContext.broadcast(Weights.of(docs, text))
-    rows = sketches(docs, weights, id, text)
+    blocks = blocked(docs, id, text)
+    total = blocks.count()
+    rows = sketches(blocks, total)
     head = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row_id")).alias("head")
     classes = stage(
         rows.groupBy("d1", "d2").agg(head).select("d1", "d2", F.col("head.id").alias("id"), F.col("head.row_id").alias("v")),
@@ -426,13 +516,13 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
     members = stage(members_of.join(buckets, "key"), "bucket-members")
     star = members.filter("v != first").select(F.col("first").alias("a"), F.col("v").alias("b")).distinct()
     waiting = stage(estimated(star, reps, similarity), "candidates")
-    texts = _texts_for(docs, waiting, classes, id, text)
+    texts = _texts_for(docs, waiting, classes, rows, id, text)
     links = named = None
     first = F.max(F.struct("estimate", (-F.col("a")).alias("a"))).alias("first")
     for chosen in (waiting.groupBy("b").agg(first).select((-F.col("first.a")).alias("a"), "b"), None):
         if chosen is None:  # what the best pairs have not joined; those that failed are compared once more
             chosen = _apart(waiting, named).select("a", "b")
-        found = verified(chosen, texts, weights, similarity).filter("linked").select("a", "b")
+        found = verified(chosen, texts, total, similarity).filter("linked").select("a", "b")
         if links is None or not found.isEmpty():
             links = found if links is None else links.union(found)
             named = components(links)
@@ -444,9 +534,9 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
         sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
         placed = family.join(sizes, "family").join(named, "v", "left")
         placed = placed.withColumn("component", F.coalesce("component", "v"))
-        texts = fetch_texts(docs, stage(classes.join(family.select("v"), "v"), "compared"), id, text)
+        texts = fetch_texts(docs, stage(classes.join(family.select("v"), "v"), "compared"), rows, id, text)
         compared = in_blocks(placed, "family", "n", TEXT_BLOCK).join(sketch.join(texts, "v"), "v")
-        found = stage(links_across(compared, weights, similarity), "links")
+        found = stage(links_across(compared, total, similarity), "links")
         if not found.isEmpty():
             named = components(links.union(found))
     placed = stage(
@@ -489,9 +579,9 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
     return one.drop(mark, *marks)
 
 
-def _texts_for(docs: DataFrame, pairs: DataFrame, classes: DataFrame, id: str, text: str) -> DataFrame:
+def _texts_for(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rows: DataFrame, id: str, text: str) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
-    return fetch_texts(docs, stage(classes.join(wanted, "v"), "compared"), id, text)
+    return fetch_texts(docs, stage(classes.join(wanted, "v"), "compared"), rows, id, text)
 
 
 def _apart(pairs: DataFrame, named: DataFrame) -> DataFrame:
