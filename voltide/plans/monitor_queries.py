@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide import schema as S
-from voltide.operators import alerts, drift, predlog, profile, split, telemetry
+from voltide.operators import alerts, drift, features, predlog, profile, split, telemetry
 from voltide.operators import evaluation as E
 from voltide.plans import views as V
-from voltide.plans.feature_queries import NOT_NULL, Query, feature_ctes, r, rcols, tidy
+from voltide.plans.feature_queries import ALL_COLUMNS, NOT_NULL, Query, feature_ctes, r, rcols, tidy
 from voltide.session import stage
 from voltide.plans.model_queries import (
     COMPARED, FORECASTS, INDEXED, RUN_METRICS, RUNS, SPLIT, forecasts, metric_sql, samples,
@@ -66,6 +66,14 @@ def _histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.latency_histogram(V.predictions(spark, sf_dir), [at])
 
 
+FRAME_COLUMNS = [*S.PRICES, *S.FEATURES_WITH_VOLATILITY, S.TARGET]
+
+
+def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole feature frame, with its values rounded as the feature queries give them."""
+    return stage(tidy(features.feature_frame(V.bars(spark, sf_dir))), "frame")
+
+
 QUERIES: dict[str, Query] = {
     # prediction log
     "pred_stats": lambda s, d: tidy(
@@ -117,6 +125,8 @@ QUERIES: dict[str, Query] = {
     "profile_columns": lambda s, d: tidy(profile.columns(V.gappy_table(s, d), S.PRICES)),
     "profile_correlation": lambda s, d: tidy(profile.correlation(V.bars_gappy(s, d), S.PRICES)),
     "profile_histogram": lambda s, d: tidy(profile.histogram(V.gappy_table(s, d), S.PRICES)),
+    "profile_frame_columns": lambda s, d: tidy(profile.columns(_frame(s, d), FRAME_COLUMNS)),
+    "profile_frame_histogram": lambda s, d: tidy(profile.histogram(_frame(s, d), FRAME_COLUMNS)),
     "profile_duplicates": lambda s, d: profile.duplicates(
         V.events(s, d), ["event_type", "user_id", "value"]
     ),
@@ -225,6 +235,8 @@ def _profile_column(c: str) -> str:
     )
 
 
+FRAME = [*feature_ctes("bars"), f"fr AS (SELECT {ALL_COLUMNS} FROM f)"]
+FRAME_LONG = "lg AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, {c}::DOUBLE AS value FROM fr" for c in FRAME_COLUMNS) + ")"
 PROFILE_DOUBLES = ["mean", "std", "min", "max", *profile.QUANTILES, "skewness", "kurtosis"]
 _PAIRS = [("open", "high"), ("open", "low"), ("open", "close"), ("high", "low"), ("high", "close"), ("low", "close")]
 
@@ -454,6 +466,25 @@ ORACLE: dict[str, str] = {
         f"SELECT feature, bin, {r('low + (high - low) / 10 * bin')} AS bin_start, "
         f"{r('low + (high - low) / 10 * (bin + 1)')} AS bin_end, count(*) AS count FROM b GROUP BY feature, bin, low, high",
     ),
+    "profile_frame_columns": V.with_views(
+        "bars", *FRAME, FRAME_LONG,
+        "mu AS (SELECT feature, avg(value) AS mu FROM lg GROUP BY 1)",
+        "pr AS (SELECT feature, count(*) FILTER (WHERE value IS NULL) AS nulls, count(value) AS count, "
+        "count(DISTINCT value) AS n_distinct, count(*) FILTER (WHERE value = 0) AS zeros, avg(value) AS mean, "
+        "stddev_samp(value) AS std, min(value) AS min, max(value) AS max, "
+        + ", ".join(f"quantile_cont(value, {q}) AS {n}" for n, q in profile.QUANTILES.items())
+        + ", avg((value - mu) ** 3) / nullif(avg((value - mu) ** 2) ** 1.5, 0) AS skewness, "
+        "avg((value - mu) ** 4) / nullif(avg((value - mu) ** 2) ** 2, 0) - 3 AS kurtosis FROM lg JOIN mu USING (feature) GROUP BY 1)",
+        f"SELECT feature, nulls, count, n_distinct, zeros, {rcols(PROFILE_DOUBLES)} FROM pr",
+    ),
+    "profile_frame_histogram": V.with_views(
+        "bars", *FRAME, FRAME_LONG,
+        "sp AS (SELECT feature, min(value) AS low, max(value) AS high FROM lg GROUP BY 1)",
+        "b AS (SELECT feature, low, high, least(coalesce(floor((value - low) * 10 / nullif(high - low, 0)), 0), 9)::INTEGER "
+        "AS bin FROM lg JOIN sp USING (feature) WHERE value IS NOT NULL)",
+        f"SELECT feature, bin, {r('low + (high - low) / 10 * bin')} AS bin_start, "
+        f"{r('low + (high - low) / 10 * (bin + 1)')} AS bin_end, count(*) AS count FROM b GROUP BY feature, bin, low, high",
+    ),
     "profile_duplicates": (
         "SELECT event_type, user_id, value, count(*) AS copies FROM events GROUP BY ALL HAVING count(*) > 1"
     ),
