@@ -163,3 +163,18 @@ def test_profile_moments(spark):
     bins = profile.histogram(table, ["x", "zero"], 5).collect()
     assert sum(r["count"] for r in bins if r["feature"] == "x") == 500
     assert [r["count"] for r in bins if r["feature"] == "zero"] == [500]
+
+
+def test_correlation_of_many_columns_with_gaps_and_constants(spark):
+    rng = np.random.default_rng(4)
+    frame = pd.DataFrame(rng.normal(size=(300, 5)), columns=list("abcde")) + 100
+    frame["d"] = frame["a"] * 2 + frame["b"]
+    frame["e"] = 7.1
+    frame.loc[::7, "c"] = None
+    rows = [tuple(None if pd.isna(v) else float(v) for v in row) for row in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(4)
+    got = {(r.left_column, r.right_column): r.correlation for r in profile.correlation(df, list("abcde")).collect()}
+    assert len(got) == 10
+    want = frame.corr()
+    for (a, b), value in got.items():
+        assert value is None if "e" in (a, b) else abs(value - want.loc[a, b]) < 1e-9

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,14 +54,42 @@ def columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def correlation(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns in one aggregation (rows where both are present)."""
-    pairs = list(combinations(names, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [
-        F.struct(F.lit(a).alias("left_column"), F.lit(b).alias("right_column"), F.col(f"r{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.inline(F.array(*cells)))
+    """Pearson correlation of every pair of columns in one pass (rows where both are present); NULL if one does not vary.
+
+    Sums are centred on the column means and added up per task, one row for each pair.
+    """
+    names, pairs = list(names), list(combinations(range(len(names)), 2))
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    means = doubles.agg(*[F.avg(c) for c in names]).first()
+    centre = np.asarray([0.0 if m is None else m for m in means])
+    i, j = np.asarray(pairs).T
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(names), len(names)))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - centre
+            there = np.asarray([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).T
+            x, n = np.where(there, x, 0.0), there.astype(float)
+            sums += [n.T @ n, x.T @ n, n.T @ x, (x * x).T @ n, n.T @ (x * x), x.T @ x]
+        columns = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(s[i, j]) for s in sums)]
+        yield pa.RecordBatch.from_arrays(columns, names=["i", "j", *parts])
+
+    parts = ["n", "a", "b", "aa", "bb", "ab"]
+    added = doubles.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in parts)).groupBy("i", "j")
+    s = added.agg(*[F.sum(c).alias(c) for c in parts]).withColumns(
+        {
+            "va": F.col("aa") - F.try_divide(F.col("a") * F.col("a"), F.col("n")),
+            "vb": F.col("bb") - F.try_divide(F.col("b") * F.col("b"), F.col("n")),
+            "cov": F.col("ab") - F.try_divide(F.col("a") * F.col("b"), F.col("n")),
+        }
+    )
+    varies = (F.col("va") > 1e-13 * F.col("aa")) & (F.col("vb") > 1e-13 * F.col("bb"))
+    named = F.array(*map(F.lit, names))
+    return s.select(
+        named[F.col("i")].alias("left_column"),
+        named[F.col("j")].alias("right_column"),
+        F.when(varies, F.try_divide(F.col("cov"), F.sqrt("va") * F.sqrt("vb"))).alias("correlation"),
+    )
 
 
 def histogram(df: DataFrame, names: Sequence[str], bins: int = 10) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "profile_correlation": lambda s, d: tidy(profile.correlation(V.bars_gappy(s, d), S.PRICES)),
     "profile_histogram": lambda s, d: tidy(profile.histogram(V.gappy_table(s, d), S.PRICES)),
     "profile_frame_columns": lambda s, d: tidy(profile.columns(_frame(s, d), FRAME_COLUMNS)),
+    "profile_frame_correlation": lambda s, d: tidy(profile.correlation(_frame(s, d), FRAME_COLUMNS)),
     "profile_frame_histogram": lambda s, d: tidy(profile.histogram(_frame(s, d), FRAME_COLUMNS)),
     "profile_duplicates": lambda s, d: profile.duplicates(
         V.events(s, d), ["event_type", "user_id", "value"]
@@ -477,6 +480,16 @@ ORACLE: dict[str, str] = {
         "avg((value - mu) ** 4) / nullif(avg((value - mu) ** 2) ** 2, 0) - 3 AS kurtosis FROM lg JOIN mu USING (feature) GROUP BY 1)",
         f"SELECT feature, nulls, count, n_distinct, zeros, {rcols(PROFILE_DOUBLES)} FROM pr",
     ),
+    "profile_frame_correlation": V.with_views(
+        "bars", *FRAME,
+        "co AS (SELECT " + ", ".join(
+            f"corr({a}, {b}) AS r{k}" for k, (a, b) in enumerate(combinations(FRAME_COLUMNS, 2))
+        ) + " FROM fr)",
+        " UNION ALL ".join(
+            f"SELECT '{a}' AS left_column, '{b}' AS right_column, {r(f'r{k}')} AS correlation FROM co"
+            for k, (a, b) in enumerate(combinations(FRAME_COLUMNS, 2))
+        ),
+    ),
     "profile_frame_histogram": V.with_views(
         "bars", *FRAME, FRAME_LONG,
         "sp AS (SELECT feature, min(value) AS low, max(value) AS high FROM lg GROUP BY 1)",
