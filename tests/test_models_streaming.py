@@ -162,3 +162,17 @@ def test_a_failed_durable_sink_fails_the_batch_after_the_others(spark):
     with pytest.raises(OSError, match="away"):
         write(metrics, 0)
     assert seen == [2]
+
+
+def test_late_bars_are_counted_rejects(spark, tmp_path):
+    frame = walk(40)
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(bars(spark, frame).schema).parquet(f"{tmp_path}/in")
+    late = frame.index == 10
+    for part in (frame[~late], frame[late]):
+        bars(spark, part.reset_index(drop=True)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        table = jobs.run_to_table(jobs.features_with_late(stream), "late", f"{tmp_path}/out")
+    assert [r.late_bars for r in jobs.late_counts(table).collect()] == [1]
+    rejected = table.where("late").collect()
+    assert len(rejected) == 1 and rejected[0].close == frame["close"][10] and rejected[0].close_lag_1 is None
+    assert table.where("not late").count() == 38

@@ -38,7 +38,8 @@ def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tidy(jobs.run_to_table(jobs.features(table_stream(V.bars(spark, sf_dir), "bars")), "features"))
+    table = jobs.run_to_table(jobs.features_with_late(table_stream(V.bars(spark, sf_dir), "bars")), "features")
+    return tidy(table.where(~F.col("late")).drop("late"))
 
 
 def _score(spark: SparkSession, sf_dir: str) -> DataFrame:

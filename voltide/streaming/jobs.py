@@ -86,6 +86,7 @@ STATE_SCHEMA = "datetime array<long>, " + ", ".join(f"{c} array<double>" for c i
 WINDOW_SCHEMA = (
     "symbol string, datetime timestamp_ntz, "
     + ", ".join(f"{c} double" for c in [*S.PRICES, *WINDOW_FIELDS])
+    + ", late boolean"
 )
 
 
@@ -108,15 +109,21 @@ def window_columns(bars: pd.DataFrame) -> pd.DataFrame:
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Bars of one symbol in one trigger: emit every bar whose successor has arrived.
 
-    State is the last 26 bars; the newest of them waits for its target. Bars not later than it are late
-    and skipped.
+    State is the last 26 bars; the newest of them waits for its target. Bars not later than it are late:
+    they are emitted as such, without windows.
     """
+    import numpy as np
+
     fresh = pd.concat(list(batches), ignore_index=True)[BAR_FIELDS].sort_values("datetime")
     known = pd.DataFrame(columns=BAR_FIELDS).astype({c: "float64" for c in S.PRICES})
     if state.exists:
         known = pd.DataFrame(dict(zip(BAR_FIELDS, state.get, strict=True)))
         known["datetime"] = pd.to_datetime(known["datetime"], unit="us")
-        fresh = fresh[fresh["datetime"] > known["datetime"].iloc[-1]]
+        is_late = fresh["datetime"] <= known["datetime"].iloc[-1]
+        late, fresh = fresh[is_late], fresh[~is_late]
+        if not late.empty:
+            empty = {c: np.full(len(late), np.nan) for c in WINDOW_FIELDS}
+            yield late.assign(symbol=key[0], late=True, **empty)[["symbol", *BAR_FIELDS, *WINDOW_FIELDS, "late"]]
     together = fresh if known.empty else pd.concat([known, fresh], ignore_index=True)
     together = together.reset_index(drop=True)
     if together.empty:
@@ -126,13 +133,14 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
     state.update((micros, *[tail[c].astype(float).tolist() for c in S.PRICES]))
     ready = window_columns(together).iloc[max(len(known) - 1, 0) : -1]
     if not ready.empty:
-        yield ready.assign(symbol=key[0])[["symbol", *BAR_FIELDS, *WINDOW_FIELDS]]
+        yield ready.assign(symbol=key[0], late=False)[["symbol", *BAR_FIELDS, *WINDOW_FIELDS, "late"]]
 
 
-def features(bars: DataFrame) -> DataFrame:
-    """The feature frame on a stream, each bar emitted when the next one arrives.
+def features_with_late(bars: DataFrame) -> DataFrame:
+    """The feature frame on a stream, each bar emitted when the next one arrives, and the rejected bars with ``late``.
 
-    Only row windows need state; calendar and price columns are added as plain expressions.
+    Only row windows need state; calendar and price columns are added as plain expressions. A late bar has no windows, and
+    the bars after it that were emitted before keep theirs.
     """
     windowed = (
         bars.select("symbol", *BAR_FIELDS)
@@ -140,7 +148,17 @@ def features(bars: DataFrame) -> DataFrame:
         .applyInPandasWithState(_advance, WINDOW_SCHEMA, STATE_SCHEMA, "append", "NoTimeout")
     )
     wide = price_features(time_features(windowed))
-    return wide.select("symbol", *BAR_FIELDS, *S.FEATURES_WITH_VOLATILITY, S.TARGET)
+    return wide.select("symbol", *BAR_FIELDS, *S.FEATURES_WITH_VOLATILITY, S.TARGET, "late")
+
+
+def features(bars: DataFrame) -> DataFrame:
+    """The feature frame without the late bars."""
+    return features_with_late(bars).where(~F.col("late")).drop("late")
+
+
+def late_counts(table: DataFrame) -> DataFrame:
+    """Rejected bars per symbol in a table of ``features_with_late``."""
+    return table.groupBy("symbol").agg(F.count_if("late").alias("late_bars"))
 
 
 # ---- scoring -------------------------------------------------------------------------------------
