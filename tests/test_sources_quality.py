@@ -185,3 +185,11 @@ def test_all_failed_checks_are_counted(spark):
     table = spark.createDataFrame([(f"s{i}", T0, 1.0, 1.0, 1.0, 1.0) for i in range(40)], S.BAR_SCHEMA)
     with pytest.raises(quality.DataQualityError, match="40 checks failed"):
         quality.validate(table, keys=["symbol"])
+
+
+def test_cells_that_do_not_convert_are_counted(spark):
+    rows = [("2024-01-01 00:00:00", "1.0", "x", None), ("no time", "2", "n/a", "3")]
+    df = spark.createDataFrame(rows, "datetime string, open string, high string, low string")
+    got = {r.column_name: (r.present, r.failed_cells, r.passed) for r in quality.cell_report(df).collect()}
+    assert got["datetime"] == (True, 1, False) and got["high"] == (True, 2, False)
+    assert got["low"] == got["open"] == (True, 0, True) and got["close"] == (False, 0, False)

@@ -31,6 +31,28 @@ def schema_report(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, columns)
 
 
+def cell_report(df: DataFrame) -> DataFrame:
+    """Required columns of a text table: presence, type, and the number of cells that do not convert."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    wanted = {c: "timestamp_ntz" if c == "datetime" else "double" for c in S.BAR_COLUMNS}
+    bad = {
+        c: F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()) if c in kinds else F.lit(0).cast("long")
+        for c, kind in wanted.items()
+    }
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *[n.alias(f"bad_{c}") for c, n in bad.items()])
+    cells = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(c in kinds).alias("present"),
+            F.lit(kinds.get(c)).cast("string").alias("data_type"),
+            F.col(f"bad_{c}").alias("failed_cells"),
+            (F.lit(c in kinds) & (F.col(f"bad_{c}") == 0)).alias("passed"),
+        )
+        for c in S.BAR_COLUMNS
+    ]
+    return counted.select(F.inline(F.array(*cells)))
+
+
 def schema_ok(df: DataFrame) -> bool:
     fields = {f.name: f.dataType for f in df.schema}
     return all(c in fields for c in S.BAR_COLUMNS) and all(

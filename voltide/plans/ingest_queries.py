@@ -80,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "incremental_ingest": _incremental,
     "dq_null_pct": lambda s, d: tidy(quality.null_pct_report(V.bars_gappy(s, d))),
     "dq_schema": lambda s, d: quality.schema_report(V.bars(s, d)),
+    "dq_schema_cells": lambda s, d: quality.cell_report(V.bars_raw(s, d)),
     "dq_min_points": lambda s, d: tidy(quality.min_points_report(V.bars(s, d), min_points=175)),
     "dq_gate": _gate,
     "dq_quarantine": lambda s, d: tidy(quality.quarantine(V.bar_table(s, d), min_points=680)[0]),
@@ -154,6 +155,15 @@ ORACLE: dict[str, str] = {
         "('high', true, 'double', true), ('low', true, 'double', true), ('close', true, 'double', true)) "
         "t(column_name, present, data_type, passed)"
     ),
+    "dq_schema_cells": V.with_views(
+        "bars_raw",
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, true AS present, 'string' AS data_type, count(*) FILTER (WHERE {c} IS NOT NULL AND "
+            f"TRY_CAST({c} AS {'TIMESTAMP' if c == 'datetime' else 'DOUBLE'}) IS NULL) AS failed_cells, failed_cells = 0 AS passed "
+            "FROM bars_raw"
+            for c in S.BAR_COLUMNS
+        ),
+    ),
     "dq_min_points": V.with_views("bars", _point_check("bars", 175)),
     "dq_gate": V.with_views(
         "bars_gappy", f"{_null_checks('bars_gappy')} UNION ALL {_point_check('bars_gappy', 24)}"
