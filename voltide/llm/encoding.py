@@ -2,13 +2,14 @@
 
 ``Encoder`` gives the ids that the tiktoken library gives for a whole text. Texts are cut at single spaces between two
 other characters, where the split pattern always starts a new match, and the ids of each cut are remembered; the memory
-is emptied when it holds ``MEMORY`` cuts, so it is bounded and has no influence on the ids.
+is emptied when it holds ``MEMORY`` cuts (about 12 MB), so it is bounded and has no influence on the ids.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import json
 import re
 import unicodedata
 
@@ -16,7 +17,7 @@ import numpy as np
 import public_tokenizers
 import tiktoken
 
-MEMORY = 500_000
+MEMORY = 1 << 16
 LONGEST_REMEMBERED = 48
 MIXED_BLANKS = re.compile(r" \s|\s |^ | $")
 
@@ -40,10 +41,19 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers."""
         if MIXED_BLANKS.search(text):
             return self.whole(text)
-        words = text.split(" ")
-        known = self.known
-        parts = [self.whole(words[0])]
-        for word in words[1:]:
+        first, *words = text.split(" ")
+        return self.whole(first) + self._spaced(words)
+
+    def encode_spaced(self, text: str) -> bytes:
+        """Ids of a space and the text."""
+        if MIXED_BLANKS.search(text):
+            return self.whole(" " + text)
+        return self._spaced(text.split(" "))
+
+    def _spaced(self, words: list[str]) -> bytes:
+        """Ids of words that have a space before each."""
+        known, parts = self.known, []
+        for word in words:
             ids = known.get(word)
             if ids is None:
                 ids = self.whole(" " + word)
@@ -59,27 +69,47 @@ class TokenizerFile:
     """Ids of a byte-level ``tokenizers`` file; ``ranks_path`` holds the same vocabulary as ranks.
 
     The two libraries know different Unicode versions. A text with a character that Unicode 3.2 had not assigned goes
-    to ``tokenizers``; all others get the same ids from the ranks, several times faster.
+    to ``tokenizers``; all others get the same ids from the ranks, several times faster. The file's added tokens (such as
+    the end of a text) have ids of their own where their strings occur in a text, as by the library's defaults;
+    ``plain`` makes them ordinary text.
     """
 
-    def __init__(self, json_path: str, ranks_path: str):
-        self.json_path, self.ranks = json_path, Encoder(ranks_path)
+    def __init__(self, json_path: str, ranks_path: str, plain: bool = False):
+        self.json_path, self.ranks, self.plain = json_path, Encoder(ranks_path), plain
+        with open(json_path, encoding="utf-8") as file:
+            self.added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+        self.ranks_path = ranks_path
 
     @functools.cached_property
     def tokenizer(self):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(self.json_path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = self.plain
         return tokenizer
 
+    def token_bytes(self) -> dict[int, bytes]:
+        """The bytes of every id."""
+        tokens = {id: token for token, id in read_ranks(self.ranks_path).items()}
+        return tokens | {id: content.encode() for content, id in self.added.items()}
+
+    def _needs_file(self, text: str) -> bool:
+        if not self.plain and any(content in text for content in self.added):
+            return True
+        if text.isascii():
+            return False
+        category = unicodedata.ucd_3_2_0.category
+        return any(category(c) == "Cn" for c in set(text) if c > "\x7f")
+
+    def _by_file(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
-        if not text.isascii():
-            category = unicodedata.ucd_3_2_0.category
-            if any(category(c) == "Cn" for c in set(text) if c > "\x7f"):
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                return np.asarray(ids, dtype="<u4").tobytes()
-        return self.ranks.encode(text)
+        return self._by_file(text) if self._needs_file(text) else self.ranks.encode(text)
+
+    def encode_spaced(self, text: str) -> bytes:
+        """Ids of a space and the text."""
+        return self._by_file(" " + text) if self._needs_file(text) else self.ranks.encode_spaced(text)
 
 
 @functools.lru_cache(maxsize=4)
@@ -89,5 +119,5 @@ def encoder(ranks_path: str) -> Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def tokenizer_file(json_path: str, ranks_path: str) -> TokenizerFile:
-    return TokenizerFile(json_path, ranks_path)
+def tokenizer_file(json_path: str, ranks_path: str, plain: bool = False) -> TokenizerFile:
+    return TokenizerFile(json_path, ranks_path, plain)

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltide.llm import bpe, chat, classifier, edits, naming, neardup, packing, pii, rules, warc
+from voltide.llm import (
+    alignment,
+    bpe,
+    chat,
+    classifier,
+    edits,
+    importance,
+    mixing,
+    naming,
+    neardup,
+    packing,
+    pii,
+    rules,
+    warc,
+)
 from voltide.llm.tables import table
 
 
@@ -88,6 +102,24 @@ def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.groups(table(spark, sf_dir, "documents"))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES = {
     "op1_archive_index": op1_archive_index,
     "op2_chat_assembly": op2_chat_assembly,
@@ -99,6 +131,9 @@ QUERIES = {
     "op8_weighted_near_duplicates": op8_weighted_near_duplicates,
     "op9_edited_token_counts": op9_edited_token_counts,
     "op10_block_naming": op10_block_naming,
+    "op11_source_mix": op11_source_mix,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # ---- oracle -------------------------------------------------------------------------------------
@@ -170,4 +205,26 @@ ORACLE: dict[str, str] = {
     WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{BLANKS}', ' ', 'g') AS t FROM documents),
     g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
     SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g""",
+    "op11_source_mix": rf"""
+    WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}'))::BIGINT AS size,
+                      ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h
+               FROM documents),
+    s AS (SELECT source, sum(size)::DOUBLE AS size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn
+          FROM d GROUP BY source),
+    w AS (SELECT source, size, 2.0::DOUBLE * size AS cap, ([3.0, 1.0, 2.0]::DOUBLE[])[turn + 1] AS weight FROM s),
+    k AS (SELECT *, coalesce(sum(cap) OVER before, 0) AS capped, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS free,
+                 row_number() OVER (ORDER BY cap / weight, source) AS place
+          FROM w WINDOW before AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    l AS (SELECT (1.5::DOUBLE * (SELECT sum(size) FROM w) - capped) / free AS level
+          FROM k WHERE weight * ((1.5::DOUBLE * (SELECT sum(size) FROM w) - capped) / free) <= cap ORDER BY place LIMIT 1),
+    t AS (SELECT source, size AS source_size, least(cap, weight * level) AS target FROM w, l),
+    g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM t),
+    r AS (SELECT d.*, source_size, target, passes, target - passes * source_size AS goal,
+                 sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS upto,
+                 sum(size) OVER (PARTITION BY d.source, h) AS here
+          FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+    SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+           (size * (passes + CASE WHEN upto <= goal OR (upto - here <= goal AND upto - goal < goal - (upto - here))
+                                  THEN 1 ELSE 0 END))::BIGINT AS taken
+    FROM r""",
 }
