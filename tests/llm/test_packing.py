@@ -11,7 +11,8 @@ from voltide.llm.encoding import TokenizerFile
 JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 TEXTS = [
     None, "", "one two", "word " * 6000, "a" * 3000, "x", "x", "tab\t\tand  blanks \n\n here ", "don't we'll 漢字 ÀÉ",
-    "\U0001fae0 ࡰࡱ new letters", " lead", "trail ", "\x1c\x85　odd blanks", "<|endoftext|> plain",
+    "\U0001fae0 ࡰࡱ new letters", " lead", "trail ", "\x1c\x85　odd blanks", "<|endoftext|> first",
+    "a <|endoftext|> b",
 ]
 
 
@@ -19,9 +20,7 @@ TEXTS = [
 def tokenizer():
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(JSON)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(JSON)
 
 
 def test_ids_equal_the_tokenizer_file(tokenizer):
@@ -31,6 +30,16 @@ def test_ids_equal_the_tokenizer_file(tokenizer):
         assert own.encode(text or "") == np.asarray(ids, "<u4").tobytes()
 
 
+def test_added_tokens_have_their_ids(tokenizer):
+    text = "a <|endoftext|> b"
+    assert 50256 in np.frombuffer(TokenizerFile(JSON, RANKS).encode(text), "<u4")
+    tokenizer.encode_special_tokens = True
+    ids = tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer.encode_special_tokens = False
+    plain = TokenizerFile(JSON, RANKS, plain=True)
+    assert plain.encode(text) == plain._by_file(text) == np.asarray(ids, "<u4").tobytes()
+
+
 def test_characters_of_old_unicode_split_alike(tokenizer):
     import unicodedata
 

@@ -36,11 +36,16 @@ from voltide.session import stage
 SPACE = "▁"
 REMEMBERED, SHARES = 1 << 18, 64
 PAIRS_AT_ONCE = 1 << 20
-LINKS_AT_ONCE = 1 << 18
+TOKENS_AT_ONCE = 1 << 15
 CROSS_LISTED = 16
+DIGITS, FIRST_STEP, PAIR_BITS = 6, 4, 32
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
+Tokens = tuple[np.ndarray, np.ndarray] | None
+NOTHING = (0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
+
+
 class Pieces:
     """The piece model: ids of a text, and the bytes of an id."""
 
@@ -63,88 +68,88 @@ class Aligner:
         self.a, self.b = tokenizer_file(json_path, ranks_path, plain=True), Pieces(pieces_path)
         known = self.a.token_bytes()
         self.a_bytes = [known.get(i, b"") for i in range(max(known) + 1)]
-        if len(self.a_bytes) * self.b.size > 1 << 32:
+        if len(self.a_bytes) * self.b.size > 1 << PAIR_BITS:
             raise ValueError("pairs of ids do not fit in 32 bits")
         self.a_lengths = np.array([len(token) for token in self.a_bytes], dtype=np.int64)
         self.b_lengths = np.array([len(token) for token in self.b.bytes], dtype=np.int64)
-        self.a_names = [str(i) for i in range(len(self.a_bytes))]
-        self.b_names = [str(i) for i in range(self.b.size)]
+        numbers = [str(i).encode().rjust(DIGITS, b"\0") for i in range(max(len(self.a_bytes), self.b.size))]
+        self.digits = np.frombuffer(b"".join(numbers), dtype=np.uint8).reshape(-1, DIGITS)
 
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+    def tokens(self, text: str | None) -> Tokens:
         """Ids by A and B, or None where there are none."""
         if not text:
             return None
-        a = np.frombuffer(self.a.encode_spaced(text), dtype="<u4")
+        whole = " " + text
+        a = np.frombuffer(self.a.encode(whole), dtype="<u4")
         b = np.array(self.b.model.encode(text), dtype=np.uint32)
-        whole = b" " + text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != whole:
-            return None
-        if b"".join(map(self.b.bytes.__getitem__, b.tolist())) != whole:
-            return None
+        data = whole.encode()
+        if b"".join(map(self.b.bytes.__getitem__, b.tolist())) != data or self.a_lengths[a].sum() != len(data):
+            return None  # byte-level ids of the whole length are those bytes
         return a, b
 
-    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[int, int, str, np.ndarray, np.ndarray]:
-        """Groups, links, digest of the groups, and the distinct pairs (A id times size of B, plus B id) with their links."""
-        a_ids, b_ids = a.tolist(), b.tolist()
-        digest, written, separator = hashlib.sha256(), [], ""
-        pairs = PairCounts(a, b, self.b.size)
-        groups = 0
-        for i, j, n, m in spans(np.cumsum(self.a_lengths[a]).tolist(), np.cumsum(self.b_lengths[b]).tolist()):
-            if m:
-                left = ",".join(map(self.a_names.__getitem__, a_ids[i : i + n]))
-                right = ",".join(map(self.b_names.__getitem__, b_ids[j : j + m]))
-                written.append(f"{left}|{right}")
-                groups += 1
-                pairs.add_group(i, j, n, m)
-            else:
-                written += [f"{x}|{y}" for x, y in zip(a_ids[i : i + n], b_ids[j : j + n])]
-                groups += n
-                pairs.add_run(i, j, n)
-            if len(written) > LINKS_AT_ONCE:
-                digest.update((separator + ";".join(written)).encode())
-                written, separator = [], ";"
-                pairs.fold()
-        if written:
-            digest.update((separator + ";".join(written)).encode())
-        keys, times = pairs.fold()
-        return groups, int(times.sum()), digest.hexdigest(), keys, times
-
-
-class PairCounts:
-    """Links of one text, as (A id times size of B, plus B id) and how often."""
-
-    def __init__(self, a: np.ndarray, b: np.ndarray, size: int):
-        self.a, self.b, self.size = a.astype(np.int64), b.astype(np.int64), size
-        self.left: list[int] = []
-        self.right: list[int] = []
-        self.extra: Counter[int] = Counter()
-        self.keys, self.times = np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def add_run(self, i: int, j: int, n: int) -> None:
-        self.left += range(i, i + n)
-        self.right += range(j, j + n)
-
-    def add_group(self, i: int, j: int, n: int, m: int) -> None:
-        if n * m <= CROSS_LISTED:
-            for at in range(i, i + n):
-                self.left += [at] * m
-                self.right += range(j, j + m)
-            return
-        rights = Counter(self.b[j : j + m].tolist())
-        for x, times in Counter(self.a[i : i + n].tolist()).items():
-            for y, more in rights.items():
-                self.extra[x * self.size + y] += times * more
-
-    def fold(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sums up what was added and returns the distinct pairs in order with their links."""
-        listed = self.a[self.left] * self.size + self.b[self.right]
-        keys = np.concatenate([self.keys, listed, np.fromiter(self.extra.keys(), np.int64)])
-        times = np.concatenate(
-            [self.times, np.ones(len(listed), np.int64), np.fromiter(self.extra.values(), np.int64)]
-        )
-        self.keys, self.times = summed(keys, times)
-        self.left, self.right, self.extra = [], [], Counter()
-        return self.keys, self.times
+    def align(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, str, np.ndarray, np.ndarray]]:
+        """For each of some texts: groups, links, digest of the groups, and the distinct pairs of ids with their links.
+
+        A pair is the id of A times the size of B, plus the id of B.
+        """
+        found, a_base, b_base = [], 0, 0
+        for a, b in texts:
+            ends = np.cumsum(self.a_lengths[a]).tolist(), np.cumsum(self.b_lengths[b]).tolist()
+            part = np.array(list(spans(*ends)), dtype=np.int64)
+            found.append(part + (a_base, b_base, 0, 0))
+            a_base, b_base = a_base + len(a), b_base + len(b)
+        part = np.concatenate(found)
+        text_of = np.repeat(np.arange(len(texts)), [len(p) for p in found])
+        a, b = (np.concatenate(side) for side in zip(*texts, strict=True))
+        shown, cuts = self.shown(a, b, part, np.cumsum([len(x) + len(y) for x, y in texts]))
+        keys, times = self.links(a, b, part, text_of)
+        bounds = np.searchsorted(keys, np.arange(len(texts) + 1) << PAIR_BITS)
+        groups = np.bincount(text_of, np.where(part[:, 3], 1, part[:, 2]), len(texts)).astype(np.int64)
+        for text, n_groups in enumerate(groups.tolist()):
+            begin, end = (0 if text == 0 else cuts[text - 1]), cuts[text] - 1
+            here = slice(bounds[text], bounds[text + 1])
+            pairs, n = keys[here] & ((1 << PAIR_BITS) - 1), times[here]
+            yield n_groups, int(n.sum()), hashlib.sha256(shown[begin:end]).hexdigest(), pairs, n
+
+    def shown(self, a: np.ndarray, b: np.ndarray, part: np.ndarray, texts: np.ndarray) -> tuple[memoryview, list[int]]:
+        """All groups as text, every id in decimal with the sign that follows it, and where each input text ends."""
+        inner = part[part[:, 3] > 0]
+        a_last, b_last = np.ones(len(a), bool), np.ones(len(b), bool)
+        a_last[stretches(inner[:, 0], inner[:, 2] - 1)] = False
+        b_last[stretches(inner[:, 1], inner[:, 3] - 1)] = False
+        a_cuts, b_cuts = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1
+        # a token of A stands behind the B tokens of earlier groups, one of B also behind the A tokens of its own group
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        signs = np.empty((len(a) + len(b), DIGITS + 1), dtype=np.uint8)
+        a_at = np.arange(len(a)) + np.concatenate([[0], b_cuts])[a_group]
+        b_at = np.arange(len(b)) + a_cuts[b_group]
+        signs[a_at, :DIGITS], signs[a_at, DIGITS] = self.digits[a], np.where(a_last, ord("|"), ord(","))
+        signs[b_at, :DIGITS], signs[b_at, DIGITS] = self.digits[b], np.where(b_last, ord(";"), ord(","))
+        used = signs > 0
+        return memoryview(signs[used]), np.cumsum(used.sum(axis=1))[texts - 1].tolist()
+
+    def links(self, a: np.ndarray, b: np.ndarray, part: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs in order, with the number of the text in the bits above the pair, and how often each is linked."""
+        size = self.b.size
+        wide = part[:, 2] * part[:, 3] > CROSS_LISTED
+        extra: Counter[int] = Counter()
+        for (i, j, n, m), text in zip(part[wide].tolist(), text_of[wide].tolist(), strict=True):
+            rights = Counter(b[j : j + m].tolist())  # equal ids of a wide group are counted, not listed
+            for x, many in Counter(a[i : i + n].tolist()).items():
+                for y, more in rights.items():
+                    extra[(text << PAIR_BITS) + x * size + y] += many * more
+        i, j, n, m = part[~wide].T
+        count = np.where(m, n * m, n)
+        step, wrap = stretches(np.zeros(len(count), np.int64), count), np.repeat(m, count)
+        run, wrap = wrap == 0, np.maximum(wrap, 1)
+        left = np.repeat(i, count) + np.where(run, step, step // wrap)
+        right = np.repeat(j, count) + np.where(run, step, step % wrap)
+        text = np.repeat(text_of[~wide] << PAIR_BITS, count)
+        keys, times = np.unique(text + a[left].astype(np.int64) * size + b[right], return_counts=True)
+        if extra:
+            more = np.fromiter(extra.values(), np.int64)
+            keys, times = summed(np.concatenate([keys, np.fromiter(extra.keys(), np.int64)]), np.concatenate([times, more]))
+        return keys, times
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,6 +162,24 @@ def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[starts], np.add.reduceat(values, starts)
 
 
+def stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length says."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
+def portions(texts: Iterator[Tokens]) -> Iterator[list[Tokens]]:
+    """The tokens of consecutive texts, put together until they hold ``TOKENS_AT_ONCE``."""
+    part, held = [], 0
+    for tokens in texts:
+        part.append(tokens)
+        held += len(tokens[0]) if tokens else 0
+        if held >= TOKENS_AT_ONCE:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def spans(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int]]:
     """Stretches (i, j, n, 0) of n groups of one token each, and irregular groups (i, j, n, m), from two lists of ends.
 
@@ -164,7 +187,7 @@ def spans(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int]]:
     """
     i, shift, total = 0, 0, len(a)
     while i < total:
-        begin, step = i, 1
+        begin, step = i, FIRST_STEP
         while i + step <= total and a[i : i + step] == b[i + shift : i + shift + step]:
             i += step
             step *= 2
@@ -200,19 +223,12 @@ def aligned(docs: DataFrame, json_path: str, ranks_path: str, pieces_path: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(json_path, ranks_path, pieces_path)
         for batch in batches:
-            numbers: list[list[int]] = [[], [], [], []]
-            digests, pairs, times = [], [], []
-            for body in batch.column(2).to_pylist():
-                found = tool.tokens(body)
-                groups, links, digest, keys, n = 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)
-                if found:
-                    groups, links, digest, keys, n = tool.align(*found)
-                sizes = (len(found[0]), len(found[1])) if found else (0, 0)
-                for column, value in zip(numbers, (*sizes, groups, links), strict=True):
-                    column.append(value)
-                digests.append(digest)
-                pairs.append(keys.astype("<u4").tobytes())
-                times.append(n.astype("<u4").tobytes())
+            made = []
+            for part in portions(tool.tokens(body) for body in batch.column(2).to_pylist()):
+                alignments = tool.align([tokens for tokens in part if tokens]) if any(part) else iter(())
+                made += [(len(t[0]), len(t[1]), *next(alignments)) if t else NOTHING for t in part]
+            *numbers, digests, pairs, times = zip(*made, strict=True) if made else [[]] * 7
+            pairs, times = ([array.astype("<u4").tobytes() for array in arrays] for arrays in (pairs, times))
             columns = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in numbers)]
             columns += [pa.array(digests, pa.string()), pa.array(pairs, pa.binary()), pa.array(times, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["row", "id", *MEASURES, "groups_sha256", "pairs", "times"])

@@ -26,13 +26,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.encoding import MIXED_BLANKS, Encoder, encoder
+from voltide.llm.encoding import Encoder, encoder
 
 LEAF = 32
 CONTEXT = 4
 MEMORY = 300_000
 LONGEST_REMEMBERED = 48
 SPLIT = regex.compile(public_tokenizers.PATTERN)
+MIXED_BLANKS = regex.compile(r" \s|\s |^ | $")
 EDIT = "struct<start:int,removed:int,inserted:string>"
 
 

@@ -1,26 +1,16 @@
-"""Byte-level BPE inside tasks, from a rank file.
-
-``Encoder`` gives the ids that the tiktoken library gives for a whole text. Texts are cut at single spaces between two
-other characters, where the split pattern always starts a new match, and the ids of each cut are remembered; the memory
-is emptied when it holds ``MEMORY`` cuts (about 12 MB), so it is bounded and has no influence on the ids.
-"""
+"""Byte-level BPE inside tasks, from a rank file: ``Encoder`` gives the ids that the tiktoken library gives for a whole text."""
 
 from __future__ import annotations
 
 import base64
 import functools
 import json
-import re
 import unicodedata
 
 import numpy as np
 import public_tokenizers
 import tiktoken
 
-MEMORY = 1 << 16
-LONGEST_REMEMBERED = 48
-MIXED_BLANKS = re.compile(r" \s|\s |^ | $")
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -32,37 +22,10 @@ class Encoder:
         self.codec = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(ranks_path), special_tokens={}
         )
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.asarray(self.codec.encode_ordinary(text), dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if MIXED_BLANKS.search(text):
-            return self.whole(text)
-        first, *words = text.split(" ")
-        return self.whole(first) + self._spaced(words)
-
-    def encode_spaced(self, text: str) -> bytes:
-        """Ids of a space and the text."""
-        if MIXED_BLANKS.search(text):
-            return self.whole(" " + text)
-        return self._spaced(text.split(" "))
-
-    def _spaced(self, words: list[str]) -> bytes:
-        """Ids of words that have a space before each."""
-        known, parts = self.known, []
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = self.whole(" " + word)
-                if len(word) <= LONGEST_REMEMBERED:
-                    if len(known) >= MEMORY:
-                        known.clear()
-                    known[word] = ids
-            parts.append(ids)
-        return b"".join(parts)
+        return np.asarray(self.codec.encode_ordinary(text), dtype="<u4").tobytes()
 
 
 class TokenizerFile:
@@ -107,14 +70,10 @@ class TokenizerFile:
     def encode(self, text: str) -> bytes:
         return self._by_file(text) if self._needs_file(text) else self.ranks.encode(text)
 
-    def encode_spaced(self, text: str) -> bytes:
-        """Ids of a space and the text."""
-        return self._by_file(" " + text) if self._needs_file(text) else self.ranks.encode_spaced(text)
-
 
 @functools.lru_cache(maxsize=4)
 def encoder(ranks_path: str) -> Encoder:
-    """One per Python worker, so that tasks share what it remembers."""
+    """One per Python worker, so that the rank file is read once."""
     return Encoder(ranks_path)
 
 
