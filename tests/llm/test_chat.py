@@ -34,6 +34,8 @@ def rows():
         (None, None, "assistant", "x"),
         (None, 0, "assistant", "y" * 50_000),
         (3, 0, "assistant", ""),
+        *[(6, 0, "user", f"{letter} tie") for letter in "dbeac"],
+        *[(6, 0, "user", "z" * 70 + letter) for letter in "dbeac"],
         *hot,
     ]
 

@@ -98,10 +98,10 @@ def assemble(conversations: DataFrame, ranks_path: str) -> DataFrame:
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
-        F.col("role").cast("string").alias("role"),
-        F.col("text").cast("string").alias("text"),
-    ).withColumn("spread", F.xxhash64("text"))
-    keys = ["conv_id", "turn", "role", "spread"]
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    ).withColumn("head", F.substring("text", 1, 64))
+    keys = ["conv_id", "turn", "role", "head"]  # the head of a text keeps the order of texts
     placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys, "text")
     turns = stage(placed.select("conv_id", "role", "text").mapInArrow(run, schema), "turns")
     before = Window.partitionBy("conv").orderBy("in_part").rowsBetween(Window.unboundedPreceding, -1)
