@@ -89,3 +89,13 @@ def test_clashing_columns_and_empty_tables(frame, extra):
     docs = frame([(None, "a b", 7), (None, None, 8)], f"doc_id long, text string, {extra} int")
     assert [r.n_words for r in rules.apply_rules(docs).orderBy("n_words").collect()] == [0, 2]
     assert rules.apply_rules(frame([], "doc_id long, text string")).count() == 0
+    with pytest.raises(ValueError):
+        rules.apply_rules(docs, keep=("doc_id", extra))
+
+
+def test_kept_columns_stay(frame):
+    docs = frame([(1, "a b", 7)], "doc_id long, text string, lang int")
+    (row,) = rules.apply_rules(docs, keep=("doc_id", "lang")).collect()
+    assert (row.doc_id, row.lang, row.n_words) == (1, 7, 2)
+    with pytest.raises(ValueError):
+        rules.apply_rules(docs.withColumnRenamed("lang", "Symbols"), keep=("Symbols",))

@@ -6,7 +6,7 @@ over the measured ratios; nothing but built-in functions runs, so the whole oper
 Words are runs of characters other than space and the controls 9 to 13. A null text has no words. An empty text
 fails the base rules, because it has fewer than ten words. Ratios of texts without words are 0. Rows are measured one by
 one: ties and repeated rows get equal verdicts, null ids pass through, an empty table gives an empty result. Columns of
-the input are not carried over unless asked for with ``keep``; measured columns win a clash of names.
+the input are not carried over unless asked for with ``keep``, which refuses the operator's own names (any case).
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ STOP_WORDS = (
     "el los las y una del se con no por su al lo como más para o"
 ).split()
 STOP_FORMS = sorted({form for word in STOP_WORDS for form in (word, word.capitalize(), word.upper())})
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words")
 
 
 @dataclass(frozen=True)
@@ -91,6 +92,9 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     Equal windows have equal fingerprints, so only windows whose fingerprint part occurs twice are built as text and
     compared; a collision costs time and changes no result.
     """
+    own = {*MEASURES, "base_failed", "kept", "_text", "_words", "_prints", "_packed", "_suspects", "_windows", "_lines"}
+    if clashing := sorted(c for c in keep if c.lower() in own):
+        raise ValueError(f"keep names columns of this operator: {clashing}")
     kept = [F.col(c) for c in keep]
     base = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     base = base.withColumn("_words", words_of(F.col("_text")))
@@ -163,6 +167,8 @@ def apply_rules(
     thresholds: tuple[Threshold, ...] = THRESHOLDS,
 ) -> DataFrame:
     """Counts, one column per rule, ``base_failed`` and ``kept``."""
+    if clashing := {c.lower() for c in keep} & {row.rule.lower() for row in thresholds}:
+        raise ValueError(f"keep names rules: {sorted(clashing)}")
     measured = measure(docs, text, keep)
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     judged = measured.select("*", *compile_rules(thresholds), base_failed.alias("base_failed"))
