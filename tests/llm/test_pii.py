@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -218,3 +219,29 @@ def test_late_attempts_never_repeat(kind):
     made = [pii.normal_form(kind, pii.surrogate(kind, text, KEY, n)) for n in range(pii.ATTEMPTS, pii.ATTEMPTS + 40)]
     assert len(set(made)) == 40
     assert made == [pii.normal_form(kind, pii.surrogate(kind, pii.normal_form(kind, text), KEY, n)) for n in range(32, 72)]
+
+
+# The definition of an address as one pattern, which is slow on long runs.
+ADDRESS = re.compile(r"[\w][\w.%+-]*@[^\W_][\w-]*(?:\.[\w-]+)*\.[^\W\d_]{2,}")
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from([".", "-", "+", "@", "@", "a", "b7", "_", "com", ".org", " ", "é", "x@y.de"])).map("".join))
+def test_addresses_equal_one_pattern(text):
+    found = [m for m in pii.mentions(text) if m[2] == "email"]
+    assert [m[3] for m in found] == [m.group() for m in ADDRESS.finditer(text)]
+    assert all(text[start:end] == mention for start, end, _, mention in found)
+
+
+@pytest.mark.parametrize("unit", ["a.", "a-", "-1", "x@a-", "@", "a@b.c", "1 ", "A B ", "=a/"])
+def test_long_runs_take_linear_time(unit):
+    text = unit * (1_000_000 // len(unit))
+    begin = time.perf_counter()
+    list(pii.mentions(f"7 @ {text}"))
+    assert time.perf_counter() - begin < 10
+
+
+def test_addresses_and_other_entities_in_order():
+    text = "call +49 170 1234567 or me.x@mail.example.org, 10.0.0.1 or root@10.example.com key=ab12cd34ef56ab12@x.de"
+    kinds = [kind for _, _, kind, _ in pii.mentions(text)]
+    assert kinds == ["phone", "email", "ip", "email", "secret"] or kinds == ["phone", "email", "ip", "email", "email"]

@@ -76,7 +76,6 @@ _WHO = rf"{_BEFORE}{_WORD}(?:[ ]{_BEFORE}{_WORD})*|{_LETTER}{_REST}(?:[ ]{_LETTE
 ENTITY = re.compile(
     "|".join(
         (
-            r"(?P<email>[\w][\w.%+-]*@[^\W_][\w-]*(?:\.[\w-]+)*\.[^\W\d_]{2,})",
             r"(?P<secret>(?<=[=:])\s?[\"']?[A-Za-z0-9_+/-]{16,}|(?<![\w])[0-9a-fA-F]{32,}(?![\w]))",
             r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\s?[A-Z0-9]{4}){3,7}(?:\s?[A-Z0-9]{1,3})?(?!\w))",
             r"(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))",
@@ -89,6 +88,10 @@ ENTITY = re.compile(
         )
     )
 )
+# E-mail addresses are found from their sign outwards, so that long runs of word characters are read once.
+LOCAL = re.compile(r"[\w.%+-]*")
+LOCAL_FIRST = re.compile(r"\w")
+DOMAIN = re.compile(r"[^\W_][\w-]*+(?:\.[\w-]++)*\.[^\W\d_]{2,}")
 KINDS = ("email", "secret", "iban", "ip", "ssn", "card", "phone", "name")
 # A cheap look whether a text can hold an entity at all: a digit, an at sign, or a title.
 HINT = re.compile(rf"[\d@]|(?<!\w)(?:{_TITLE})\.?\s")
@@ -339,13 +342,48 @@ def surrogate(kind: str, text: str, key: bytes, attempt: int = 0) -> str:
     return {"card": _card, "phone": _phone, "iban": _iban, "ssn": _ssn}[kind](text, tweak, key) + more
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int, int]]:
+    """(earliest start, place of the sign, end) of the e-mail addresses of a text."""
+    last, at = 0, text.find("@")
+    while at >= 0:
+        before, domain = LOCAL.match(text[last:at][::-1]).end(), DOMAIN.match(text, at + 1)
+        if before and domain:
+            yield at - before, at, domain.end()
+        last, at = at + 1, text.find("@", at + 1)
+
+
+def _entities(text: str) -> Iterator[tuple[int, int, re.Match | None]]:
+    """(start, end, match) of what does not overlap, leftmost first; an e-mail address has no match and goes first."""
+    place, found, addresses = 0, ENTITY.search(text), _addresses(text)
+    address = next(addresses, None)
+    while found or address:
+        if address:
+            low, sign, end = address
+            first = LOCAL_FIRST.search(text, max(low, place), sign) if place < sign else None
+            if not first:
+                address = next(addresses, None)
+                continue
+            if not found or first.start() <= found.start():
+                yield first.start(), end, None
+                place, address = end, next(addresses, None)
+                if found and found.start() < place:
+                    found = ENTITY.search(text, place)
+                continue
+            address = first.start(), sign, end
+        yield *found.span(), found
+        place = found.end()
+        found = ENTITY.search(text, place)
+
+
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, mention) of the entities of a text, in order; for names the title stays outside."""
     if not HINT.search(text):
         return
-    for found in ENTITY.finditer(text):
-        kind = next(k for k in KINDS if found[k] is not None)
-        start, end = found.span()
+    for start, end, found in _entities(text):
+        if found is None:
+            yield start, end, "email", text[start:end]
+            continue
+        kind = next(k for k in KINDS if k != "email" and found[k] is not None)
         if kind == "name":
             start, end = found.span("who")
             yield start, end, kind, f"{gender_of(found['title'], found['who'])}|{found['who']}"
