@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 MAX_ROWS = 8192
 THRESHOLD = 0.3
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 1 << 18
+REMEMBERED_ROWS = 1 << 16
 LONGEST_REMEMBERED = 40
 CLOSING, AGAIN, TWICE = "\x02end", "\x02again", "\x02twice"
 
@@ -60,7 +61,7 @@ def features_of(word: str, settings: Settings) -> list[int]:
 
 
 def rows_array(word: str, settings: Settings) -> np.ndarray:
-    return np.asarray(features_of(word, settings), dtype=np.int64)
+    return np.asarray(features_of(word, settings), dtype=np.int32)
 
 
 def tokens_of(text: str) -> list[str]:
@@ -71,15 +72,24 @@ def tokens_of(text: str) -> list[str]:
     return [*words, *[AGAIN] * again, *[TWICE] * twice, CLOSING]
 
 
-def bag(text: str, settings: Settings, rows_of=None) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, weights) of a text; the weights add up to 1."""
-    rows_of = rows_of or functools.partial(rows_array, settings=settings)
+def counted(text: str, rows_of) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, times) of a text, in small integers."""
     words = Counter(tokens_of(text))
     rows = [rows_of(word) for word in words]
     times = np.repeat(np.fromiter(words.values(), np.int64), [len(r) for r in rows])
     found, at = np.unique(np.concatenate(rows), return_inverse=True)
     n = np.bincount(at, weights=times)
-    return found, (n / n.sum()).astype(np.float32)
+    return found, n.astype(np.min_scalar_type(int(n.max())))
+
+
+def weights_of(times: np.ndarray) -> np.ndarray:
+    return (times / times.sum(dtype=np.int64)).astype(np.float32)
+
+
+def bag(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, weights) of a text; the weights add up to 1."""
+    rows, times = counted(text, functools.partial(rows_array, settings=settings))
+    return rows, weights_of(times)
 
 
 @dataclass
@@ -116,14 +126,16 @@ def untrained(settings: Settings) -> Model:
 def train(texts: list[str], labels: list[int], settings: Settings) -> Model:
     """Stochastic gradient descent, one document a step, the rate falling to zero."""
     model = untrained(settings)
-    rows_of = functools.lru_cache(maxsize=REMEMBERED_WORDS)(functools.partial(rows_array, settings=settings))
-    bags = [bag(text, settings, rows_of) for text in texts]
+    rows_of = functools.lru_cache(maxsize=REMEMBERED_ROWS)(functools.partial(rows_array, settings=settings))
+    bags = [counted(text, rows_of) for text in texts]
+    rows_of.cache_clear()
     random = np.random.default_rng(settings.seed)
     steps, done = settings.epochs * len(bags), 0
     for _ in range(settings.epochs):
         for at in random.permutation(len(bags)):
             rate = settings.rate * (1 - done / steps)
-            rows, weights = bags[at]
+            rows, times = bags[at]
+            weights = weights_of(times)
             held = model.table[rows]
             average = weights @ held
             logits = average @ model.output + model.bias
