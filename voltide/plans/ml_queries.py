@@ -1,4 +1,4 @@
-"""Registered queries that train Spark ML models on the feature rows.
+"""Registered queries that train models on the feature rows.
 
 All train on all rows with the full settings of the library. Tree ensembles have no SQL form, so these have no oracle.
 """
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide import schema as S
-from voltide.operators import models, scoring, split
+from voltide.operators import boosting, evaluation, models, scoring, split
 from voltide.plans import model_queries
 from voltide.plans.feature_queries import Query
 from voltide.session import stage, staging_path
@@ -29,8 +29,8 @@ def _train_rows(rows: DataFrame) -> DataFrame:
 
 def _plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_rows(spark, sf_dir)
-    model = models.fit(_train_rows(rows), S.FEATURES, models.gbt(), scale=False)
-    return models.evaluate(model, rows, S.FEATURES)
+    model = boosting.fit(_train_rows(rows), S.FEATURES, S.TARGET, boosting.PLAIN)
+    return evaluation.split_metrics(boosting.predict(model, rows), len(S.FEATURES))
 
 
 def _forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,15 +40,17 @@ def _forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two boosted base models; the first has leaf and split penalties, which only ``boosting`` knows."""
     rows = training_rows(spark, sf_dir)
     train = _train_rows(rows)
-    settings = {"boosted": models.BOOSTED, "shallow": models.SHALLOW}
-    fits = [lambda params=params: models.fit(train, ALL, models.gbt(params)) for params in settings.values()]
-    results = None
-    for name, model in zip(settings, models.together(fits), strict=True):
-        scored = models.evaluate(model, rows, ALL).withColumn("model", F.lit(name))
-        results = scored if results is None else results.unionByName(scored)
-    return results
+    penalised, shallow = models.together(
+        [
+            lambda: boosting.fit(train, ALL, S.TARGET, boosting.PENALISED),
+            lambda: models.fit(train, ALL, models.gbt(models.SHALLOW)),
+        ]
+    )
+    scored = evaluation.split_metrics(boosting.predict(penalised, rows), len(ALL)).withColumn("model", F.lit("boosted"))
+    return scored.unionByName(models.evaluate(shallow, rows, ALL).withColumn("model", F.lit("shallow")))
 
 
 def _ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
