@@ -94,31 +94,6 @@ def written(df, name, **options):
     return reader.parquet(path), path
 
 
-def test_stream_features_equal_batch_over_several_triggers(spark):
-    """Bars arrive in three runs; state carries over and every bar waits for its successor."""
-    frame = pd.concat([walk(90, 1, "A", gaps=0.1), walk(70, 2, "B")])
-    table = bars(spark, frame)
-    path, out = staging_path(spark, "in"), staging_path(spark, "out")
-    limits = ["2025-11-01", "2025-11-02 06:00:00", "2025-11-03", "2026-01-01"]
-    for low, high in zip(limits, limits[1:], strict=False):
-        part = table.where((F.col("datetime") >= low) & (F.col("datetime") < high))
-        part.coalesce(1).write.mode("append").parquet(path)
-        stream = jobs.features(spark.readStream.schema(table.schema).parquet(path))
-        got = jobs.run_to_table(stream, "features", out)
-    newest = table.groupBy("symbol").agg(F.max("datetime").alias("last"))
-    batch = features.feature_frame(table).join(newest, "symbol").where("datetime < last").drop("last")
-    assert_same(collected(got), collected(batch), 9)
-
-
-def test_late_bars_are_skipped(spark):
-    table = bars(spark, walk(40))
-    path, out = staging_path(spark, "in"), staging_path(spark, "out")
-    for part in (table.where("datetime >= '2025-11-01 05:00:00'"), table.where("datetime < '2025-11-01 05:00:00'")):
-        part.coalesce(1).write.mode("append").parquet(path)
-        got = jobs.run_to_table(jobs.features(spark.readStream.schema(table.schema).parquet(path)), "f", out)
-    assert got.count() == 34
-
-
 def test_failing_sink_does_not_stop_the_others(spark):
     metrics = spark.createDataFrame(
         [(dt.datetime(2025, 1, 1), "drift_ratio", 0.9)], "ts timestamp_ntz, metric_name string, value double"
@@ -162,17 +137,3 @@ def test_a_failed_durable_sink_fails_the_batch_after_the_others(spark):
     with pytest.raises(OSError, match="away"):
         write(metrics, 0)
     assert seen == [2]
-
-
-def test_late_bars_are_counted_rejects(spark, tmp_path):
-    frame = walk(40)
-    (tmp_path / "in").mkdir()
-    stream = spark.readStream.schema(bars(spark, frame).schema).parquet(f"{tmp_path}/in")
-    late = frame.index == 10
-    for part in (frame[~late], frame[late]):
-        bars(spark, part.reset_index(drop=True)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        table = jobs.run_to_table(jobs.features_with_late(stream), "late", f"{tmp_path}/out")
-    assert [r.late_bars for r in jobs.late_counts(table).collect()] == [1]
-    rejected = table.where("late").collect()
-    assert len(rejected) == 1 and rejected[0].close == frame["close"][10] and rejected[0].close_lag_1 is None
-    assert table.where("not late").count() == 38

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide import schema as S
-from voltide.operators import quality
+from voltide.operators import etl, quality
 from voltide.plans import views as V
-from voltide.plans.feature_queries import OHLC, Query, r, tidy
+from voltide.plans.feature_queries import OHLC, ORACLE as FEATURE_ORACLE, Query, r, tidy
 from voltide.session import stage, staging_path
 from voltide.sources import bars as source
+from voltide.sources import commits
 
 
 def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,12 +50,35 @@ def _read_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.read_versions(spark, _versioned(spark, sf_dir))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """The same three versions, published by the commit log."""
+    table, path = stage(_read_versions(spark, sf_dir), "versioned"), staging_path(spark, "published")
+    for k in (1, 3, 2):
+        name = f"processed_data_2024010{k}_120000"
+        commits.publish(table.where(F.col("version") == name).drop("version"), path, name)
+    return path
+
+
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _published(spark, sf_dir)
+    name = commits.latest_name(spark, path)
+    return tidy(commits.read_latest(spark, path).withColumn("version", F.lit(name)))
+
+
+def _etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate, cleaning, features and publication; the published version is read back."""
+    path = staging_path(spark, "etl")
+    return tidy(etl.run(spark, V.gappy_table(spark, sf_dir), path, "processed_data_20240131_120000", max_null_pct=60.0))
+
+
 def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = V.bar_table(spark, sf_dir)
     done = bars.where(
         (F.col("datetime") < F.lit("2024-01-20").cast("timestamp_ntz")) & (F.col("symbol") != "view")
     )
-    return tidy(source.newer_than(bars, done))
+    path = staging_path(spark, "increment")
+    commits.publish(done, path, "raw_1")
+    return tidy(etl.run_new(spark, bars, path, "raw_2"))
 
 
 def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +98,9 @@ QUERIES: dict[str, Query] = {
     "sort_bars": lambda s, d: tidy(source.sort_bars(V.bars(s, d))),
     "csv_bars_roundtrip": lambda s, d: tidy(_csv_roundtrip(s, d)),
     "parquet_features_roundtrip": lambda s, d: tidy(_read_versions(s, d)),
-    "latest_version": lambda s, d: tidy(source.read_latest(s, _versioned(s, d))),
-    "dataset_manifest": lambda s, d: source.manifest(_read_versions(s, d)).drop("content_hash"),
+    "latest_version": _latest,
+    "etl_run": _etl,
+    "dataset_manifest": lambda s, d: commits.manifest(s, _published(s, d)).drop("content_hash"),
     "dataset_hash": lambda s, d: source.manifest(_read_versions(s, d)).select("version", "content_hash"),
     "incremental_ingest": _incremental,
     "dq_null_pct": lambda s, d: tidy(quality.null_pct_report(V.bars_gappy(s, d))),
@@ -136,13 +161,15 @@ ORACLE: dict[str, str] = {
     "parquet_features_roundtrip": V.with_views(
         "bars", VERSION_SQL, f"SELECT symbol, datetime, {OHLC}, version FROM v"
     ),
+    "etl_run": FEATURE_ORACLE["transform_end_to_end"],
     "latest_version": V.with_views(
         "bars", VERSION_SQL,
         f"SELECT symbol, datetime, {OHLC}, version FROM v WHERE version = (SELECT max(version) FROM v)",
     ),
     "dataset_manifest": V.with_views(
         "bars", VERSION_SQL,
-        "SELECT version, count(*) AS n_rows, 6 AS n_columns FROM v GROUP BY 1",
+        "SELECT version, count(*) AS n_rows, 6 AS n_columns, min(datetime) AS min_time, max(datetime) AS max_time "
+        "FROM v GROUP BY 1",
     ),
     "incremental_ingest": V.with_views(
         "bars",

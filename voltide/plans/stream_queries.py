@@ -14,14 +14,17 @@ from voltide.plans.model_queries import RANGED
 from voltide.plans.monitor_queries import ALERT_RULES_SQL, bucket
 from voltide.session import stage, staging_path
 from voltide.sources import bars as source
-from voltide.streaming import jobs
+from voltide.streaming import jobs, revisions
 
 
-def table_stream(df: DataFrame, tag: str) -> DataFrame:
+def table_stream(df: DataFrame, tag: str, files_per_trigger: int | None = None) -> DataFrame:
     """Stage a frame and read the staged files as a stream."""
     path = staging_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).parquet(path)
+    reader = df.sparkSession.readStream.schema(df.schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def prediction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,8 +41,11 @@ def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = jobs.run_to_table(jobs.features_with_late(table_stream(V.bars(spark, sf_dir), "bars")), "features")
-    return tidy(table.where(~F.col("late")).drop("late"))
+    """Bars arrive in four batches, each of them from all times."""
+    path = staging_path(spark, "features")
+    dealt = V.bars(spark, sf_dir).repartition(4, F.xxhash64("symbol", "datetime"))
+    jobs.run_batches(table_stream(dealt, "bars", 1), revisions.feature_writer(path), "features")
+    return tidy(revisions.newest(spark, path))
 
 
 def _score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Structured Streaming versions of ingest, features, scoring, service metrics, alerts and drift.
+"""Structured Streaming versions of ingest, scoring, service metrics, alerts and drift.
 
 Every function takes a streaming DataFrame and returns one (or a foreachBatch writer), so that sources,
 sinks and triggers stay the caller's choice. ``run_to_table`` drains what is available into a Parquet
@@ -8,17 +8,14 @@ table, the cadence of a scheduled job.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
 
 from voltide import schema as S
 from voltide.functions.clock import utc_instant, utc_wall
 from voltide.operators import alerts, drift, scoring
-from voltide.operators.features import price_features, time_features
 from voltide.operators.telemetry import LATENCY_BOUNDS
 from voltide.session import staging_path
 from voltide.sources.bars import coerce_types, payload_bars
@@ -77,90 +74,6 @@ def ingest(payloads: DataFrame, delay: str = "2 hours") -> DataFrame:
     return unique.drop("_event_time")
 
 
-# ---- features ------------------------------------------------------------------------------------
-
-KEPT_BARS = max(*S.LAGS, *S.ROLLING_WINDOWS, S.VOLATILITY_WINDOW) + 2
-BAR_FIELDS = ["datetime", *S.PRICES]
-WINDOW_FIELDS = [*S.LAG_FEATURES, *S.ROLLING_FEATURES, "log_return", "volatility", S.TARGET]
-STATE_SCHEMA = "datetime array<long>, " + ", ".join(f"{c} array<double>" for c in S.PRICES)
-WINDOW_SCHEMA = (
-    "symbol string, datetime timestamp_ntz, "
-    + ", ".join(f"{c} double" for c in [*S.PRICES, *WINDOW_FIELDS])
-    + ", late boolean"
-)
-
-
-def window_columns(bars: pd.DataFrame) -> pd.DataFrame:
-    """Lag, rolling and volatility columns of ordered bars."""
-    import numpy as np
-
-    close = bars["close"]
-    columns = {f"close_lag_{k}": close.shift(k) for k in S.LAGS}
-    for n in S.ROLLING_WINDOWS:
-        rolling = close.rolling(n)
-        columns |= {f"close_rolling_{stat}_{n}": getattr(rolling, stat)() for stat in ("mean", "std", "min", "max")}
-    ratio = close / close.shift(1)
-    columns["log_return"] = np.log(ratio.where((ratio > 0) & np.isfinite(ratio)))
-    columns["volatility"] = columns["log_return"].rolling(S.VOLATILITY_WINDOW).std()
-    columns[S.TARGET] = columns["volatility"].shift(-1)
-    return bars.assign(**columns)
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Bars of one symbol in one trigger: emit every bar whose successor has arrived.
-
-    State is the last 26 bars; the newest of them waits for its target. Bars not later than it are late:
-    they are emitted as such, without windows.
-    """
-    import numpy as np
-
-    fresh = pd.concat(list(batches), ignore_index=True)[BAR_FIELDS].sort_values("datetime")
-    known = pd.DataFrame(columns=BAR_FIELDS).astype({c: "float64" for c in S.PRICES})
-    if state.exists:
-        known = pd.DataFrame(dict(zip(BAR_FIELDS, state.get, strict=True)))
-        known["datetime"] = pd.to_datetime(known["datetime"], unit="us")
-        is_late = fresh["datetime"] <= known["datetime"].iloc[-1]
-        late, fresh = fresh[is_late], fresh[~is_late]
-        if not late.empty:
-            empty = {c: np.full(len(late), np.nan) for c in WINDOW_FIELDS}
-            yield late.assign(symbol=key[0], late=True, **empty)[["symbol", *BAR_FIELDS, *WINDOW_FIELDS, "late"]]
-    together = fresh if known.empty else pd.concat([known, fresh], ignore_index=True)
-    together = together.reset_index(drop=True)
-    if together.empty:
-        return
-    tail = together.tail(KEPT_BARS)
-    micros = tail["datetime"].astype("datetime64[us]").astype("int64").tolist()
-    state.update((micros, *[tail[c].astype(float).tolist() for c in S.PRICES]))
-    ready = window_columns(together).iloc[max(len(known) - 1, 0) : -1]
-    if not ready.empty:
-        yield ready.assign(symbol=key[0], late=False)[["symbol", *BAR_FIELDS, *WINDOW_FIELDS, "late"]]
-
-
-def features_with_late(bars: DataFrame) -> DataFrame:
-    """The feature frame on a stream, each bar emitted when the next one arrives, and the rejected bars with ``late``.
-
-    Only row windows need state; calendar and price columns are added as plain expressions. A late bar has no windows, and
-    the bars after it that were emitted before keep theirs.
-    """
-    windowed = (
-        bars.select("symbol", *BAR_FIELDS)
-        .groupBy("symbol")
-        .applyInPandasWithState(_advance, WINDOW_SCHEMA, STATE_SCHEMA, "append", "NoTimeout")
-    )
-    wide = price_features(time_features(windowed))
-    return wide.select("symbol", *BAR_FIELDS, *S.FEATURES_WITH_VOLATILITY, S.TARGET, "late")
-
-
-def features(bars: DataFrame) -> DataFrame:
-    """The feature frame without the late bars."""
-    return features_with_late(bars).where(~F.col("late")).drop("late")
-
-
-def late_counts(table: DataFrame) -> DataFrame:
-    """Rejected bars per symbol in a table of ``features_with_late``."""
-    return table.groupBy("symbol").agg(F.count_if("late").alias("late_bars"))
-
-
 # ---- scoring -------------------------------------------------------------------------------------
 
 
