@@ -112,20 +112,36 @@ def _breaks() -> Column:
     )
 
 
+def broken() -> Column:
+    """Whether a metric row breaks the rule beside it; a missing value breaks nothing."""
+    return F.coalesce(_breaks(), F.lit(False))
+
+
+def state_of(fired_at: Column, resolved_at: Column) -> Column:
+    fired, over = fired_at.isNotNull(), resolved_at.isNotNull()
+    return F.when(fired & over, "resolved").when(fired, "firing").when(over, "cleared").otherwise("pending")
+
+
 def states(
-    metrics: DataFrame, rules: Sequence[Rule] = tuple(HELD_RULES), chunk_seconds: int = DEFAULT_CHUNK
+    metrics: DataFrame,
+    rules: Sequence[Rule] = tuple(HELD_RULES),
+    chunk_seconds: int = DEFAULT_CHUNK,
+    as_of: object = None,
 ) -> DataFrame:
     """One row per stretch of samples that break a rule, with when it became pending, fired and was resolved.
 
-    A rule fires once it has been broken on every sample for its hold time. The sample behind a stretch resolves it; a
+    A rule fires once it has been broken on every sample for its hold time. With ``as_of``, a time, samples after it are left
+    out and each holds until the next one, the last until ``as_of``, so a rule also fires between samples. The sample behind a stretch resolves it; a
     stretch that reaches the last sample is open. States: ``pending`` (open, not yet held), ``firing`` (open, held),
     ``resolved`` (held, over) and ``cleared`` (over before it was held). Stretches are numbered by a running sum of changes per
     time chunk, so no rule's samples are gathered in one task.
     """
     keys, at = ["name"], "ts"
     table = rule_table(metrics.sparkSession, rules).select("name", "severity", "hold_seconds", *_RULED)
-    marked = metrics.join(F.broadcast(table), "metric_name").select(
-        "name", "severity", "hold_seconds", at, F.coalesce(_breaks(), F.lit(False)).alias("_on")
+    until = None if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    seen = metrics if until is None else metrics.where(F.col(at) <= until)
+    marked = seen.join(F.broadcast(table), "metric_name").select(
+        "name", "severity", "hold_seconds", at, broken().alias("_on")
     )
     rows = with_halo(
         stage(marked, "ruled"), 1, 1, keys=keys, order=at, carry=["_on"], chunk_seconds=chunk_seconds
@@ -135,16 +151,15 @@ def states(
     steps = drop_halo(rows.withColumns({"_changed": changed, "_next": F.lead(at, 1).over(window)}))
     stretches = running_sum(steps, "_changed", "_stretch", keys, at, chunk_seconds=chunk_seconds).where("_on")
     open_end = F.max(F.col("_next").isNull())
-    held = seconds_between(F.max(at), F.min(at)) >= F.first("hold_seconds")
+    last = F.max(at) if until is None else F.max(F.coalesce("_next", until))
+    held = seconds_between(last, F.min(at)) >= F.first("hold_seconds")
     found = stretches.groupBy("name", "severity", "_stretch").agg(
         F.min(at).alias("pending_at"),
         F.when(held, plus_seconds(F.min(at), F.first("hold_seconds"))).alias("fired_at"),
         F.when(~open_end, F.max("_next")).alias("resolved_at"),
         F.count(F.lit(1)).alias("samples"),
     )
-    fired, over = F.col("fired_at").isNotNull(), F.col("resolved_at").isNotNull()
-    state = F.when(fired & over, "resolved").when(fired, "firing").when(over, "cleared").otherwise("pending")
-    return found.withColumn("state", state).drop("_stretch")
+    return found.withColumn("state", state_of(F.col("fired_at"), F.col("resolved_at"))).drop("_stretch")
 
 
 def evaluate(metrics: DataFrame, rules: Sequence[Rule] = tuple(DEFAULT_RULES)) -> DataFrame:

@@ -11,10 +11,10 @@ from voltide.plans import views as V
 from voltide.plans.feature_queries import ALL_COLUMNS, Query, feature_ctes, r, rcols, tidy
 from voltide.plans.ingest_queries import ORACLE as INGEST_ORACLE
 from voltide.plans.model_queries import RANGED
-from voltide.plans.monitor_queries import ALERT_RULES_SQL, bucket
+from voltide.plans.monitor_queries import ALERT_RULES_SQL, HELD_RULES_SQL, bucket
 from voltide.session import stage, staging_path
 from voltide.sources import bars as source
-from voltide.streaming import jobs, revisions
+from voltide.streaming import jobs, lifecycle, revisions
 
 
 def table_stream(df: DataFrame, tag: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -27,6 +27,18 @@ def table_stream(df: DataFrame, tag: str, files_per_trigger: int | None = None)
     return reader.parquet(path)
 
 
+def ordered_stream(df: DataFrame, tag: str, at: str, parts: int = 4) -> DataFrame:
+    """Stage a frame as files that follow each other in time, and read one file per trigger."""
+    spark, path = df.sparkSession, staging_path(df.sparkSession, tag)
+    held = stage(df, tag)
+    first, last = held.agg(F.min(at), F.max(at)).first()
+    for k in range(parts):
+        low, high = first + (last - first) * k / parts, first + (last - first) * (k + 1) / parts
+        inside = (F.col(at) >= F.lit(low)) & ((F.col(at) <= F.lit(high)) if k == parts - 1 else (F.col(at) < F.lit(high)))
+        held.where(inside).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def prediction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = V.events(spark, sf_dir).schema
     raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -77,6 +89,13 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(spark.read.parquet(path).drop("batch", "message"))
 
 
+def _alert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lifecycle of every rule over four triggers, up to the last watermark."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", lifecycle.ROCKSDB)
+    metrics = ordered_stream(V.metrics(spark, sf_dir), "metrics", "ts")
+    return lifecycle.stretches(jobs.run_to_table(lifecycle.events(metrics), "alert-events"))
+
+
 def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, current = V.drift_samples(spark, sf_dir)
     path = staging_path(spark, "drift")
@@ -92,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "stream_latency_windows": _windows(300, None),
     "stream_sliding_windows": _windows(600, 60),
     "stream_alerts": _alerts,
+    "stream_alert_states": _alert_states,
     "stream_drift": _drift,
     "stream_sessions": lambda s, d: jobs.run_to_table(jobs.sessions(prediction_stream(s, d)), "sessions"),
 }
@@ -149,6 +169,22 @@ ORACLE: dict[str, str] = {
         f"SELECT ts, name, severity, metric_name, {r('value')} AS metric_value, {r('threshold')} AS threshold "
         "FROM m JOIN rules USING (metric_name) WHERE value > threshold",
     ),
+    "stream_alert_states": V.with_views(
+        "metrics",
+        HELD_RULES_SQL,
+        "wm AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM metrics)",
+        "mk AS (SELECT name, severity, hold, ts, value > threshold AS is_on, mark FROM metrics JOIN rules USING (metric_name), wm "
+        "WHERE ts <= mark)",
+        "nb AS (SELECT *, lag(is_on) OVER w AS before, lead(ts) OVER w AS following FROM mk "
+        "WINDOW w AS (PARTITION BY name ORDER BY ts))",
+        "st AS (SELECT *, sum((is_on <> coalesce(before, is_on))::INTEGER) OVER (PARTITION BY name ORDER BY ts) AS stretch FROM nb)",
+        "iv AS (SELECT name, severity, min(ts) AS pending_at, "
+        "CASE WHEN epoch(max(coalesce(following, mark))) - epoch(min(ts)) >= max(hold) THEN min(ts) + to_seconds(max(hold)) END "
+        "AS fired_at, CASE WHEN count(*) = count(following) THEN max(following) END AS resolved_at "
+        "FROM st WHERE is_on GROUP BY name, severity, stretch)",
+        "SELECT *, CASE WHEN fired_at IS NOT NULL AND resolved_at IS NOT NULL THEN 'resolved' WHEN fired_at IS NOT NULL "
+        "THEN 'firing' WHEN resolved_at IS NOT NULL THEN 'cleared' ELSE 'pending' END AS state FROM iv",
+    ),
     "stream_sessions": V.with_views(
         "predictions",
         "p AS (SELECT series, \"timestamp\" AS t, coalesce((\"timestamp\" >= lag(\"timestamp\") OVER (PARTITION BY series "
