@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltide import schema as S
-from voltide.operators.distribution import long_form, pick_quantiles, ranked_values, sum_before
+from voltide.operators.distribution import SLICE, long_form, pick_quantiles, ranked_values, sum_before
 from voltide.operators.series import fill, sliced
 from voltide.session import stage
 
@@ -133,35 +133,108 @@ def drift_metrics(reference: DataFrame, current: DataFrame, alpha: float = S.KS_
     return summarise(compare(reference, current), alpha=alpha)
 
 
-def compare_windows(reference: DataFrame, current: DataFrame, window: str = "window_start") -> DataFrame:
-    """``compare`` of every window of a long current sample with one fixed reference.
+BLOCK = 128
 
-    The reference is ranked once and is not repeated per window. Between two neighbouring values of a
-    window its distribution is a constant b, so the largest gap is at the ends of that stretch, and the
-    area between it and the rising reference follows from the integral of the reference up to both ends
-    and up to the value where the reference passes b. That value is looked up along the reference's ranks.
+
+@dataclass(frozen=True)
+class RankedReference:
+    """A reference sample ranked once: its distinct values in blocks, and one row per feature.
+
+    A block holds at most ``BLOCK`` neighbouring values of a feature with the distribution up to and below each, and the area
+    under the distribution up to it. A lookup finds its block among the blocks' bounds and its place inside the block, so the
+    reference is neither ranked nor sorted again, however many samples are compared with it.
     """
-    merged = reference.select("feature", "value", F.lit(True).alias("_is_ref")).unionByName(
-        current.select("feature", "value", F.lit(False).alias("_is_ref"))
-    )
-    known = ranked_values(merged, ["feature"], "value", {"ref": F.count_if("_is_ref")}, keep_slice=True)
+
+    blocks: DataFrame
+    totals: DataFrame
+
+    def save(self, path: str) -> None:
+        self.blocks.write.parquet(f"{path}/blocks")
+        self.totals.write.parquet(f"{path}/totals")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> RankedReference:
+        return cls(spark.read.parquet(f"{path}/blocks"), spark.read.parquet(f"{path}/totals"))
+
+
+def rank_reference(reference: DataFrame) -> RankedReference:
+    """Rank long (feature, value) rows; null and NaN values are left out."""
+    known = ranked_values(reference, ["feature"], "value", {"ref": F.count(F.lit(1))}, keep_slice=True)
     height = F.col("cum_ref") / F.col("total_ref")
     step = F.coalesce(height * (F.col("next_value") - F.col("value")), F.lit(0.0))
-    known = sum_before(
-        known.where(F.col("total_ref") > 0).withColumn("_step", step), ["feature"], "value", "_step", "area"
+    known = sum_before(known.withColumn("_step", step), ["feature"], "value", "_step", "area")
+    place = F.row_number().over(Window.partitionBy("feature", SLICE).orderBy("value")) - 1
+    block = F.shiftleft(F.col(SLICE).cast("long"), 32) + F.floor(place / BLOCK)
+    rows = known.select(
+        "feature",
+        block.alias("block"),
+        "value",
+        "area",
+        height.alias("upto"),
+        ((F.col("cum_ref") - F.col("ref")) / F.col("total_ref")).alias("below"),
+        F.col("cum_ref").alias("rank"),
+        "total_ref",
     )
-    known = stage(
-        known.select(
-            "feature", "value", "area", "ref", "cum_ref", "total_ref",
-            height.alias("upto"), ((F.col("cum_ref") - F.col("ref")) / F.col("total_ref")).alias("below"),
-        ),
-        "reference",
+    rows = stage(rows, "ranked-reference")
+    item = F.struct("value", "area", "upto", "below", "rank")
+    blocks = rows.groupBy("feature", "block").agg(
+        F.min("value").alias("first_value"),
+        F.max("rank").alias("last_rank"),
+        F.sort_array(F.collect_list(item)).alias("items"),
     )
+    totals = rows.groupBy("feature").agg(
+        F.max("total_ref").alias("total_ref"), F.max(F.struct("value", "area")).alias("_end")
+    )
+    return RankedReference(stage(blocks, "reference-blocks"), stage(totals, "reference-totals"))
+
+
+def _in_blocks(ranked: RankedReference, asked: DataFrame, of: str, bound: str, forward: bool) -> DataFrame:
+    """The asked (feature, ``of``) rows with the items of their block; null before the first or behind the last block."""
+    marks = ranked.blocks.select("feature", F.col(bound).alias(of), F.lit(int(not forward)).alias("_kind"), "block")
+    rows = asked.select("feature", of, F.lit(int(forward)).alias("_kind"))
+    axis = sliced(marks.unionByName(rows, allowMissingColumns=True), ["feature"], of, ["_kind"])
+    filled = fill(axis, ["block"], forward=forward, keys=["feature"], order=of, tie=["_kind"])
+    wanted = filled.where(F.col("_kind") == int(forward)).drop("_kind")
+    return wanted.join(ranked.blocks.select("feature", "block", "items"), ["feature", "block"], "left")
+
+
+def _reference_at(ranked: RankedReference, asked: DataFrame) -> DataFrame:
+    """(feature, value, area, upto, below, total_ref) of the reference at the asked values of its features."""
+    held = _in_blocks(ranked, asked.join(ranked.totals, "feature", "left_semi"), "value", "first_value", True)
+    last = F.try_element_at(F.filter("items", lambda item: item["value"] <= F.col("value")), F.lit(-1))
+    at = held.withColumn("_at", last)
+    zero, here = F.lit(0.0), F.col("_at")
+    beyond = here["upto"] * (F.col("value") - here["value"])
+    found = at.select(
+        "feature",
+        "value",
+        F.coalesce(here["area"] + beyond, zero).alias("area"),
+        F.coalesce(here["upto"], zero).alias("upto"),
+        F.coalesce(F.when(here["value"] == F.col("value"), here["below"]).otherwise(here["upto"]), zero).alias("below"),
+    )
+    return found.join(ranked.totals.select("feature", "total_ref"), "feature")
 
-    points = ranked_values(current.select("feature", "value", window), [window, "feature"], "value")
+
+def _value_at_rank(ranked: RankedReference, wanted: DataFrame) -> DataFrame:
+    """The first reference value whose cumulative count reaches each wanted rank, and the area up to it."""
+    held = _in_blocks(ranked, wanted, "rank", "last_rank", False)
+    first = F.get(F.filter("items", lambda item: item["rank"] >= F.col("rank")), F.lit(0))
+    at = held.withColumn("_at", first)
+    return at.select("feature", "rank", F.col("_at.value").alias("at"), F.col("_at.area").alias("at_area"))
+
+
+def compare_points(ranked: RankedReference, points: DataFrame, window: str = "window_start") -> DataFrame:
+    """``compare`` of every window with one fixed reference, from the windows' ranked values.
+
+    ``points`` is what ``ranked_values`` gives for the keys (window, feature). Between two neighbouring values of a
+    window its distribution is a constant b, so the largest gap is at the ends of that stretch, and the
+    area between it and the rising reference follows from the integral of the reference up to both ends
+    and up to the value where the reference passes b, which is looked up by its rank.
+    """
+    points = stage(points, "window-points")
     level = F.col("cum_n") / F.col("total_n")
-    here = known.select("feature", "value", "area", "upto", "below", "total_ref")
-    there = known.select(
+    here = stage(_reference_at(ranked, points.select("feature", "value").distinct()), "reference-at")
+    there = here.select(
         "feature", F.col("value").alias("next_value"), F.col("area").alias("next_area"), F.col("below").alias("next_below")
     )
     stretches = (
@@ -174,15 +247,12 @@ def compare_windows(reference: DataFrame, current: DataFrame, window: str = "win
     stretches = stage(stretches, "stretches")
     crossing = (F.col("upto") < F.col("level")) & (F.col("next_below") > F.col("level"))
     wanted = stretches.where(crossing).select("feature", "rank").distinct()
-    passed = wanted.join(_value_at_rank(known, wanted), ["feature", "rank"])
+    passed = _value_at_rank(ranked, wanted)
     area = F.col("next_area") - F.col("area")
     width = F.col("next_value") - F.col("value")
     rest = F.col("next_area") - F.col("at_area") - F.col("level") * (F.col("next_value") - F.col("at"))
     before = F.col("level") * (F.col("at") - F.col("value")) - (F.col("at_area") - F.col("area"))
     between = F.when(crossing, before + rest).otherwise(F.abs(area - F.col("level") * width))
-    ends = known.where(F.col("ref") > 0).groupBy("feature").agg(
-        F.max(F.struct("value", "area")).alias("_end")
-    )
     per_window = (
         stretches.join(passed, ["feature", "rank"], "left")
         .groupBy(window, "feature")
@@ -203,7 +273,7 @@ def compare_windows(reference: DataFrame, current: DataFrame, window: str = "win
     )
     past = F.col("_end.value") - F.col("_high.value")
     after = F.when(past > 0, past - (F.col("_end.area") - F.col("_high.area"))).otherwise(F.lit(0.0))
-    return per_window.join(ends, "feature").select(
+    return per_window.join(ranked.totals.select("feature", "_end"), "feature").select(
         window,
         "feature",
         "statistic",
@@ -213,22 +283,17 @@ def compare_windows(reference: DataFrame, current: DataFrame, window: str = "win
     )
 
 
+def compare_windows(reference: DataFrame, current: DataFrame, window: str = "window_start") -> DataFrame:
+    """``compare`` of every window of a long current sample with one fixed reference, which is ranked once."""
+    points = ranked_values(current.select("feature", "value", window), [window, "feature"], "value")
+    return compare_points(rank_reference(reference), points, window)
+
+
 def _ceil_share(part: str, whole: str, of: str) -> Column:
     product = F.col(part).cast("decimal(19,0)") * F.col(whole).cast("decimal(19,0)")
     return F.ceil(product / F.col(of).cast("decimal(19,0)")).cast("long")
 
 
-def _value_at_rank(known: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The first reference value whose cumulative count reaches each wanted rank, and the area up to it."""
-    marks = known.where(F.col("ref") > 0).select(
-        "feature", F.col("cum_ref").alias("rank"), F.lit(1).alias("_kind"), F.col("value").alias("at"), F.col("area").alias("at_area")
-    )
-    asked = wanted.select("feature", "rank", F.lit(0).alias("_kind"))
-    axis = sliced(marks.unionByName(asked, allowMissingColumns=True), ["feature"], "rank", ["_kind"])
-    filled = fill(axis, ["at", "at_area"], forward=False, keys=["feature"], order="rank", tie=["_kind"])
-    return filled.where(F.col("_kind") == 0).drop("_kind")
-
-
 def drift_by_window(
     reference: DataFrame, current: DataFrame, window: str = "window_start", alpha: float = S.KS_ALPHA
 ) -> DataFrame:

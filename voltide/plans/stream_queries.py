@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltide import schema as S
+from voltide.operators import drift
 from voltide.operators.telemetry import LATENCY_BOUNDS
 from voltide.plans import views as V
 from voltide.plans.feature_queries import ALL_COLUMNS, Query, feature_ctes, r, rcols, tidy
 from voltide.plans.ingest_queries import ORACLE as INGEST_ORACLE
 from voltide.plans.model_queries import RANGED
-from voltide.plans.monitor_queries import ALERT_RULES_SQL, HELD_RULES_SQL, bucket
+from voltide.plans.monitor_queries import ALERT_RULES_SQL, HELD_RULES_SQL, ORACLE as MONITOR_ORACLE, bucket
 from voltide.session import stage, staging_path
 from voltide.sources import bars as source
 from voltide.streaming import jobs, lifecycle, revisions
@@ -97,11 +98,13 @@ def _alert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of every closed day, the samples arriving in four triggers."""
     reference, current = V.drift_samples(spark, sf_dir)
-    path = staging_path(spark, "drift")
-    stream = table_stream(current.select("feature", "value"), "current")
-    jobs.run_batches(stream, jobs.drift_writer(stage(reference, "reference"), path), "drift")
-    return tidy(spark.read.parquet(path))
+    path, kept = staging_path(spark, "drift"), staging_path(spark, "ranked")
+    drift.rank_reference(reference).save(kept)
+    counts = jobs.value_counts(ordered_stream(current, "current", "ts"))
+    jobs.run_batches(counts, jobs.drift_writer(drift.RankedReference.load(spark, kept), path), "drift")
+    return tidy(spark.read.parquet(path).drop("batch"))
 
 
 QUERIES: dict[str, Query] = {
@@ -185,6 +188,10 @@ ORACLE: dict[str, str] = {
         "SELECT *, CASE WHEN fired_at IS NOT NULL AND resolved_at IS NOT NULL THEN 'resolved' WHEN fired_at IS NOT NULL "
         "THEN 'firing' WHEN resolved_at IS NOT NULL THEN 'cleared' ELSE 'pending' END AS state FROM iv",
     ),
+    "stream_drift": (
+        "SELECT day AS window_start, * EXCLUDE (day) FROM (" + MONITOR_ORACLE["drift_by_window"] + ") "
+        f"WHERE day + INTERVAL 1 DAY <= {CLOSED}"
+    ),
     "stream_sessions": V.with_views(
         "predictions",
         "p AS (SELECT series, \"timestamp\" AS t, coalesce((\"timestamp\" >= lag(\"timestamp\") OVER (PARTITION BY series "

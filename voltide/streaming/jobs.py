@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from voltide import schema as S
 from voltide.functions.clock import utc_instant, utc_wall
 from voltide.operators import alerts, drift, scoring
-from voltide.operators.telemetry import LATENCY_BOUNDS
+from voltide.operators.distribution import ranked_values
+from voltide.operators.telemetry import DAY, LATENCY_BOUNDS
 from voltide.session import staging_path
 from voltide.sources.bars import coerce_types, payload_bars
 
@@ -176,14 +177,26 @@ def alert_writer(
 # ---- drift ---------------------------------------------------------------------------------------
 
 
-def drift_writer(reference: DataFrame, path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch writer: drift metrics of each batch of long samples against a fixed reference.
+def value_counts(samples: DataFrame, seconds: int = DAY, delay: str = "10 minutes", at: str = "ts") -> DataFrame:
+    """Rows per (window, feature, value) of long samples, once the watermark has closed the window."""
+    timed = samples.withColumn(at, utc_instant(F.col(at))).withWatermark(at, delay)
+    counted = timed.groupBy(F.window(at, f"{seconds} seconds").alias("span"), "feature", "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return counted.select(utc_wall(F.col("span.start")).alias("window_start"), "feature", "value", "n")
+
+
+def drift_writer(reference: drift.RankedReference, path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch writer for ``value_counts``: drift metrics of every closed window against a reference ranked before.
 
-    A batch writes its own partition, so a repeated batch replaces its result.
+    A window closes as a whole, so it lies in one batch, however its rows fell into triggers. A batch writes its own
+    partition, so a repeated batch replaces its result.
     """
 
-    def write(batch_rows: DataFrame, batch: int) -> None:
-        metrics = drift.drift_metrics(reference, batch_rows)
+    def write(counts: DataFrame, batch: int) -> None:
+        keys = ["window_start", "feature"]
+        points = ranked_values(counts, keys, "value", {"n": F.sum("n")})
+        metrics = drift.summarise(drift.compare_points(reference, points), ["window_start"])
         metrics.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     return write
