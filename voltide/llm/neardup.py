@@ -139,6 +139,15 @@ def blocked(docs: DataFrame, id: str, text: str) -> DataFrame:
     return stage(read.mapInArrow(run, "block long, row_id long, id long, text string"), "blocks")
 
 
+def planes(hashes: np.ndarray) -> bytes:
+    """Ascending hashes byte by byte: first all highest bytes, which hardly change and compress well."""
+    return hashes.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(">u8").ravel().astype(np.uint64)
+
+
 _SHARED = "block long, hashes binary, counts binary"
 
 
@@ -155,7 +164,7 @@ def shared_frequencies(blocks: DataFrame) -> DataFrame:
             [
                 pa.array([k for k, _, _ in rows], pa.int64()),
                 pa.array([block] * len(rows), pa.int64()),
-                pa.array([hashes[i:j].tobytes() for _, i, j in rows], pa.binary()),
+                pa.array([planes(hashes[i:j]) for _, i, j in rows], pa.binary()),
                 pa.array([counts[i:j].astype(np.uint32).tobytes() for _, i, j in rows], pa.binary()),
             ],
             names=["part", "block", "hashes", "counts"],
@@ -184,7 +193,7 @@ def shared_frequencies(blocks: DataFrame) -> DataFrame:
             one = slice(starts[k], starts[k + 1])
             more = total[one] > 1
             if more.any():
-                kept.append((block, hashes[one][more].tobytes(), total[one][more].tobytes()))
+                kept.append((block, planes(hashes[one][more]), total[one][more].tobytes()))
         columns = zip(*kept, strict=True) if kept else ((), (), ())
         kinds = (pa.int64(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["block", "hashes", "counts"])
@@ -194,8 +203,8 @@ def shared_frequencies(blocks: DataFrame) -> DataFrame:
 
 
 def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), np.uint64)
-    return hashes, np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32)
+    hashes = [from_planes(piece) for piece in table["hashes"].to_pylist()]
+    return np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32)
 
 
 def frequency_table(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
