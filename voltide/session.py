@@ -18,11 +18,9 @@ SESSION_DEFAULTS = {
 }
 
 
-_LOCAL_ROOT: dict[str, str | None] = {}
-
-
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """A session for tests and the bench; a cluster brings its own."""
+    """A session for tests and the bench, with a temporary folder for staged tables; a cluster brings its own."""
+    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="voltide-"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("voltide")
@@ -38,18 +36,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
-def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
+_CHOSEN: dict[str, str] = {}
 
-    Only a local session without that setting gets a temporary folder; on a cluster a machine-local
-    folder would not be visible to the executors, so it is refused.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+
+def choose_staging(folder: str) -> None:
+    """The folder for staged tables of sessions without ``spark.checkpoint.dir``, for callers that cannot set it."""
+    _CHOSEN["root"] = folder
+
+
+def staging_root(spark: SparkSession) -> str:
+    """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session, which all executors must see."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _CHOSEN.get("root")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _LOCAL_ROOT.setdefault("path", None) or tempfile.mkdtemp(prefix="voltide-")
-        _LOCAL_ROOT["path"] = root
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/voltide"
 
 
@@ -65,5 +64,5 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
