@@ -14,9 +14,10 @@ No group is expanded into its pairs:
 * texts with the same words are one vertex from the start;
 * each band bucket links its members to its lowest vertex; of a vertex's links the one with the best estimate from
   the samples is verified first, then those that do not lie within a component by then;
-* buckets whose members still lie in several components are compared in pairs of blocks of bounded size, by samples:
-  what may be near across components forms families. The texts of a family come together in pairs of blocks, and such
-  pairs are verified where they lie. A task hands on a spanning set of links, never its pairs.
+* buckets whose members still lie in several components are compared across components only, in blocks of bounded size, by
+  samples: the members of a bucket's largest component lie in one block each and meet the others there, so a foreign member does not
+  bring a large group together with itself. What may be near across components forms families. The texts of a family
+  come together in the same way, and pairs are verified where they lie. A task hands on a spanning set of links, never its pairs.
 
 So every pair in a bucket is linked through its component, or verified, or has an estimate below 0.6 (which a pair at
 0.8 has with a probability of 1 in a million). Texts are fetched for verification only.
@@ -413,13 +414,38 @@ def in_blocks(rows: DataFrame, group: str, n: str, size: int) -> DataFrame:
     )
 
 
-def open_members(members: DataFrame, named: DataFrame) -> DataFrame:
-    """(key, v, n, component) of the buckets that still hold several components."""
-    placed = members.select("key", "v", "n").join(named, "v", "left").withColumn(
-        "component", F.coalesce("component", "v")
+def facing(rows: DataFrame, group: str, size: int) -> DataFrame:
+    """Rows (group, v, component) of groups once for each block in which they meet rows of other components.
+
+    Every member of the group's largest component lies in one block of about ``size`` rows, which all others join; the others
+    also meet each other in pairs of blocks. Rows of that component never meet.
+    """
+    sizes = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("rows"))
+    largest = F.max(F.struct("rows", "component")).alias("main")
+    whole = stage(
+        sizes.groupBy(group)
+        .agg(largest, F.sum("rows").alias("all"))
+        .select(group, F.col("main.component").alias("main"), F.col("main.rows").alias("n_main"), "all"),
+        "facing-groups",
+    )
+    placed = rows.join(whole, group)
+    main = F.col("component") == F.col("main")
+    n_blocks = F.ceil(F.col("n_main") / size).cast("int")
+    high, kinds = F.lit(-1), [group, "v", "component", "low", "high", "half"]
+    once = F.pmod(F.xxhash64("v"), n_blocks).cast("int")
+    mains = placed.where(main).select(group, "v", "component", (-1 - once).alias("low"), high.alias("high"), F.lit(1).alias("half"))
+    others = placed.where(~main).select(group, "v", "component", n_blocks.alias("n_blocks"), (F.col("all") - F.col("n_main")).alias("n"))
+    visits = others.select(
+        group, "v", "component", F.explode(F.sequence(-F.col("n_blocks"), F.lit(-1))).alias("low"), high.alias("high"), F.lit(2).alias("half")
     )
+    return mains.select(*kinds).unionByName(visits.select(*kinds)).unionByName(in_blocks(others, group, "n", size).select(*kinds))
+
+
+def open_members(members: DataFrame, named: DataFrame) -> DataFrame:
+    """(key, v, component) of the buckets that still hold several components."""
+    placed = members.select("key", "v").join(named, "v", "left").withColumn("component", F.coalesce("component", "v"))
     split = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    return placed.join(split.filter("least != most").select("key"), "key")
+    return stage(placed.join(split.filter("least != most").select("key"), "key"), "open-members")
 
 
 def near_pairs(table: pa.Table, similarity: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -536,15 +562,14 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
             links = found if links is None else links.union(found)
             named = components(links)
     sketch = reps.select("v", "total", "samples")
-    facing = in_blocks(open_members(members, named), "key", "n", BLOCK).join(sketch, "v")
-    near = stage(families(facing, similarity).distinct(), "near-across")
+    across = facing(open_members(members, named), "key", BLOCK).join(sketch, "v")
+    near = stage(families(across, similarity).distinct(), "near-across")
     if not near.isEmpty():
         family = components(near).withColumnRenamed("component", "family")
-        sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
-        placed = family.join(sizes, "family").join(named, "v", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "v"))
+        placed = family.join(named, "v", "left").select("family", "v", F.coalesce("component", "v").alias("component"))
+        placed = stage(placed, "family-members")
         texts = fetch_texts(docs, stage(classes.join(family.select("v"), "v"), "compared"), rows, id, text)
-        compared = in_blocks(placed, "family", "n", TEXT_BLOCK).join(sketch.join(texts, "v"), "v")
+        compared = facing(placed, "family", TEXT_BLOCK).join(sketch.join(texts, "v"), "v")
         found = stage(links_across(compared, total, similarity), "links")
         if not found.isEmpty():
             named = components(links.union(found))
