@@ -30,3 +30,11 @@ def test_text_and_rounding_match_python(spark):
 def test_special_values(spark):
     rows = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "x double")
     assert [r[0] for r in rows.select(fixed_text(F.col("x"), 2)).collect()] == ["nan", "inf", "-inf", None]
+
+
+def test_large_texts_match_python(spark):
+    values = [123456789012345.67, -123456789012345.67, 1e12 - 2**-13,
+              999999999999.99999, 2.0**52 + 1, 2.0**53 - 1, 2.0**62, 2.0**63, 1.5 * 2.0**70, 9.87e30, -1e30]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    for row in rows.select("x", *[fixed_text(F.col("x"), d).alias(f"t{d}") for d in (2, 4)]).collect():
+        assert (row.t2, row.t4) == (f"{row.x:.2f}", f"{row.x:.4f}")

@@ -244,3 +244,51 @@ def test_rules_with_hold_times(spark):
         assert [(r["state"], r["samples"]) for r in found] == [("resolved", 2), ("cleared", 1), ("firing", 3)]
         assert found[0]["fired_at"] == T0 + dt.timedelta(seconds=120)
         assert found[0]["resolved_at"] == T0 + dt.timedelta(seconds=180) and found[2]["resolved_at"] is None
+
+
+def logged(spark, ids, start=dt.datetime(2024, 1, 1), hours=1):
+    rows = [(i, start + dt.timedelta(hours=hours * i) if i is not None else None, 0.5, 1.0, False, 0.25) for i in ids]
+    columns = "id long, timestamp timestamp_ntz, prediction double, latency_ms double, drift_detected boolean, drift_ratio double"
+    return spark.createDataFrame(rows, columns)
+
+
+def test_newest_of_the_log_reads_few_days(spark, tmp_path):
+    path, schema = str(tmp_path), logged(spark, [1]).schema
+    assert predlog.newest_logged(spark, path, 3, schema).count() == 0
+    assert predlog.total(spark, path).first()[0] == 0
+    predlog.append(logged(spark, range(240)), path)
+    predlog.append(logged(spark, [*range(240, 300), None]), path)
+    predlog.append(logged(spark, []), path)
+    newest = predlog.newest_logged(spark, path, 20, schema)
+    assert [r["id"] for r in newest.collect()] == list(range(299, 279, -1))
+    assert {name.split("_day=")[1].split("/")[0] for name in newest.inputFiles()} == {"2024-01-12", "2024-01-13"}
+    assert predlog.total(spark, path).first()[0] == 301
+    assert predlog.newest_logged(spark, path, 1000, schema).count() == 301
+
+
+def test_newest_of_the_log_with_late_ids(spark, tmp_path):
+    path, ids = str(tmp_path), [7, 3, 250, 11, 90, 4, 180, 260, 1, 33]
+    for part in (ids[:4], ids[4:7], ids[7:]):
+        predlog.append(logged(spark, part, hours=-5), path)
+    (tmp_path / "data" / "unfinished" / "_day=2030-01-01").mkdir(parents=True)  # left behind, in no line
+    for n in (1, 3, 6, 10):
+        got = predlog.newest_logged(spark, path, n, logged(spark, [1]).schema)
+        assert [r["id"] for r in got.collect()] == sorted(ids, reverse=True)[:n]
+
+
+def test_bucket_quantiles_with_resets_in_single_buckets(spark):
+    at, inf = dt.datetime(2024, 1, 1), float("inf")
+    steps = {0.1: [5, 9, 2, 4], 0.5: [6, 12, 14, 16], inf: [8, 14, 20, 3]}
+    rows = [
+        (s, le, at + dt.timedelta(seconds=20 * i), i, v) for s in (None, "b") for le, vs in steps.items() for i, v in enumerate(vs)
+    ]
+    df = spark.createDataFrame(rows, "series string, le double, timestamp timestamp_ntz, id long, cumulative long")
+    # increases of one series: 4 + 2 + 2 = 8, 6 + 2 + 2 = 10, 6 + 6 + 3 = 15
+    for phi, want in ((0.25, 0.1 * 3.75 / 8), (0.6, 0.1 + 0.4 * 1 / 2), (0.9, 0.5)):
+        got = telemetry.bucket_quantiles(df, phi).collect()
+        assert [(r["window_start"], round(r["quantile"], 12)) for r in got] == [(at, round(want, 12))]
+    # a bucket below a smaller bound takes that bound's count: 8, 8 (counted 2), 15
+    low = df.withColumn("cumulative", F.when(F.col("le") == 0.5, F.least("id", F.lit(2))).otherwise(F.col("cumulative")))
+    assert telemetry.bucket_quantiles(low, 0.9).first()["quantile"] == 0.5
+    assert round(telemetry.bucket_quantiles(low, 0.5, by=["series"]).first()["quantile"], 12) == round(0.1 * 7.5 / 8, 12)
+    assert telemetry.bucket_quantiles(df.limit(0), 0.9).count() == 0

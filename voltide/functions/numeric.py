@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 INF = float("inf")
+# From 2^52 on a double has no fraction; whole parts are cut into limbs of 62 bits.
+EXACT, LIMB, LARGEST = 2.0**52, 2.0**62, 1e31
 
 
 def finite_or_null(c: Column) -> Column:
@@ -47,21 +49,32 @@ def _scaled_integer(c: Column, digits: int) -> Column:
 
 
 def exact_round(c: Column, digits: int) -> Column:
-    """Rounds the exact binary value, ties to even."""
+    """Rounds the exact binary value, ties to even; ``c * 10^digits`` has to stay below 2^53."""
     return _scaled_integer(c, digits) / F.lit(float(10**digits))
 
 
 def fixed_text(c: Column, digits: int) -> Column:
-    """Fixed-point text rounded on the exact binary value (what C and Python formatting print)."""
-    whole = _scaled_integer(c, digits)
-    unit = F.lit(f"{10**-digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
-    text = (whole.cast("decimal(20,0)") * unit).cast("string")
-    signed = F.when((whole == 0) & (c < 0), F.concat(F.lit("-"), text)).otherwise(text)
+    """Fixed-point text rounded on the exact binary value (what C and Python formatting print), for values below 1e31.
+
+    Whole part and fraction are exact doubles of their own; the whole part becomes a decimal in two limbs. Larger values print
+    their shortest digits, filled up with zeros. At most six digits.
+    """
+    size = F.abs(c)
+    whole = F.when(size < EXACT, F.floor(size).cast("double")).otherwise(size)
+    high = F.floor(whole / F.lit(LIMB))
+    low = whole - high.cast("double") * F.lit(LIMB)
+
+    def number(value: int | str, kind: str) -> Column:
+        return F.lit(str(value)).cast(f"decimal({kind})")
+
+    units = high.cast("decimal(13,0)") * number(int(LIMB), "19,0") + low.cast("bigint").cast("decimal(19,0)")
+    scaled = units * number(10**digits, f"{digits + 1},0") + _scaled_integer(size - whole, digits).cast("decimal(8,0)")
+    text = (scaled * number(f"{10**-digits:.{digits}f}", f"{digits + 1},{digits}")).cast("string")
     return (
         F.when(F.isnan(c), F.lit("nan"))
         .when(c == INF, F.lit("inf"))
         .when(c == -INF, F.lit("-inf"))
-        .when(F.abs(c) < 1e12, signed)
+        .when(size < LARGEST, F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), text))
         .otherwise(F.replace(F.format_number(c, digits), F.lit(","), F.lit("")))
     )
 

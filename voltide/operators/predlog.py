@@ -1,9 +1,17 @@
-"""Statistics and views over the prediction log."""
+"""The prediction log, and statistics and views over it.
+
+An append writes its rows below a folder of its own, by day, and then one line per day with rows, smallest and largest id;
+the lines make the rows visible. What an interrupted append left behind is in no line and never read.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from voltide.functions.numeric import exact_round
 
@@ -13,6 +21,54 @@ LATENCY_CLASSES = [
     ("50-100ms", 50.0, 100.0), (">100ms", 100.0, None),
 ]
 DRIFT_CHART_THRESHOLD = 20
+LINE_SCHEMA = "folder string, day string, n_rows long, n_ids long, min_id long, max_id long"
+
+
+def append(predictions: DataFrame, path: str) -> None:
+    """Add predictions to the log under ``path``; rows without a time share a day of their own."""
+    spark, folder = predictions.sparkSession, f"data/{uuid.uuid4().hex}"
+    day = F.coalesce(F.date_format("timestamp", "yyyy-MM-dd"), F.lit("none"))
+    predictions.withColumn("_day", day).write.partitionBy("_day").parquet(f"{path}/{folder}")
+    stored = StructType([*predictions.schema.fields, StructField("_day", StringType())])
+    found = spark.read.schema(stored).parquet(f"{path}/{folder}").groupBy(F.col("_day").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("id").alias("n_ids"),
+        F.min("id").alias("min_id"),
+        F.max("id").alias("max_id"),
+    )
+    found.select(F.lit(folder).alias("folder"), "*").coalesce(1).write.mode("append").json(f"{path}/lines")
+
+
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per append and day; none if nothing was appended."""
+    try:
+        return spark.read.schema(LINE_SCHEMA).json(f"{path}/lines")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LINE_SCHEMA)
+
+
+def total(spark: SparkSession, path: str) -> DataFrame:
+    """All predictions of the log, counted from its lines."""
+    return lines(spark, path).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_predictions"))
+
+
+def newest_logged(spark: SparkSession, path: str, n: int, schema: StructType) -> DataFrame:
+    """The ``n`` rows of the log with the largest ids, read from the folders that can hold one of them.
+
+    Taking lines from the largest smallest id on until they hold ``n`` ids gives a bound that none of the ``n`` lies below, in
+    whatever order ids were appended. Only the names of the chosen folders come to the driver.
+    """
+    known = lines(spark, path)
+    order = Window.orderBy(F.col("min_id").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    running = known.where("n_ids > 0").select("min_id", F.sum("n_ids").over(order).alias("held"))
+    bound = running.where(F.col("held") >= n).agg(F.max("min_id")).first()[0]
+    chosen = known if bound is None else known.where(F.col("max_id") >= bound)
+    folders = [f"{path}/{row['folder']}/_day={row['day']}" for row in chosen.select("folder", "day").distinct().collect()]
+    if not folders or n <= 0:
+        return spark.createDataFrame([], schema)
+    return newest(spark.read.schema(schema).parquet(*folders), n)
 
 
 def newest(predictions: DataFrame, n: int) -> DataFrame:

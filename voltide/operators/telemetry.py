@@ -161,6 +161,29 @@ def histogram_quantile(histogram: DataFrame, phi: float, keys: Sequence[str] = (
     return reached.groupBy(*keys).agg(F.min_by(answer, "le").alias("quantile"))
 
 
+def bucket_quantiles(
+    df: DataFrame,
+    phi: float,
+    value: str = "cumulative",
+    keys: Sequence[str] = ("series",),
+    by: Sequence[str] = (),
+    at: str = "timestamp",
+    tie: Sequence[str] = ("id",),
+    seconds: int = 300,
+) -> DataFrame:
+    """Quantile per window from samples of bucket counters: one row per series, bound ``le`` and scrape.
+
+    Every bucket is a counter of its own, which may start again alone; its increases are added up over series (but for
+    ``by``). A bucket that then lies below a smaller bound takes that bound's count, and the quantile is interpolated. Only the
+    increases look at neighbouring samples, in range slices; what follows has one row per window and bound.
+    """
+    increases = counter_rate(df, value, [*keys, "le"], at, tie, seconds)
+    summed = increases.groupBy(*by, "window_start", "le").agg(F.sum("increase").alias("increase"))
+    upwards = Window.partitionBy(*by, "window_start").orderBy("le")
+    repaired = summed.select(*by, "window_start", "le", F.max("increase").over(upwards).alias("cumulative"))
+    return histogram_quantile(repaired, phi, [*by, "window_start"])
+
+
 def slowest(
     df: DataFrame, keys: Sequence[str] = ("series", "model_version"), at: str = "timestamp", k: int = 10
 ) -> DataFrame:

@@ -65,10 +65,17 @@ def scored_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.withColumn("prediction", prediction)
 
 
+def json_values(records: DataFrame) -> DataFrame:
+    """The JSON features read back: their number and the value of every expected one."""
+    values = F.from_json("features", "map<string,double>")
+    names = {f"json_{name}": F.try_element_at(values, F.lit(name)) for name in S.EXPECTED_RANGES}
+    return records.withColumns({"json_size": F.size(values), **names}).drop("features")
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scored_requests(spark, sf_dir)
     # latency is a property of the row here, so that the log is reproducible
-    return tidy(scoring.score_records(rows, "v1", F.hour("datetime").cast("double")).drop("features"))
+    return tidy(json_values(scoring.score_records(rows, "v1", F.hour("datetime").cast("double"))))
 
 
 QUERIES: dict[str, Query] = {
@@ -190,6 +197,10 @@ INTERPRETATION = (
     "turbulent with significant price swings.', prediction, prediction * 100) END"
 )
 
+JSON_VALUES = ", ".join(
+    [f"({SIZE}) AS json_size", *(f"{r(name if name in EXPECTED else 'NULL::DOUBLE')} AS json_{name}" for name in S.EXPECTED_RANGES)]
+)
+
 ORACLE: dict[str, str] = {
     "select_features": V.with_views(
         "bars",
@@ -272,6 +283,6 @@ ORACLE: dict[str, str] = {
         "SELECT datetime AS \"timestamp\", "
         + r("abs(coalesce(close_rolling_std_24, 0)) * 0.5::DOUBLE + abs(coalesce(log_return, 0)) * 0.1::DOUBLE")
         + " AS prediction, hour(datetime)::DOUBLE AS latency_ms, (drift_ratio > 0.3)::INTEGER AS drift_detected, "
-        + r("drift_ratio") + " AS drift_ratio, 'v1' AS model_version FROM rd",
+        + r("drift_ratio") + f" AS drift_ratio, 'v1' AS model_version, {JSON_VALUES} FROM rd",
     ),
 }

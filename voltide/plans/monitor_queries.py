@@ -12,7 +12,7 @@ from voltide.operators import alerts, drift, features, predlog, profile, split,
 from voltide.operators import evaluation as E
 from voltide.plans import views as V
 from voltide.plans.feature_queries import ALL_COLUMNS, NOT_NULL, Query, feature_ctes, r, rcols, tidy
-from voltide.session import stage
+from voltide.session import stage, staging_path
 from voltide.plans.model_queries import (
     COMPARED, FORECASTS, INDEXED, RUN_METRICS, RUNS, SPLIT, forecasts, metric_sql, samples,
 )
@@ -68,6 +68,21 @@ def _histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.latency_histogram(V.predictions(spark, sf_dir), [at])
 
 
+def _logged(spark: SparkSession, sf_dir: str) -> str:
+    """The predictions appended to a log in three parts that follow each other by id."""
+    path = staging_path(spark, "log")
+    rows = stage(V.predictions(spark, sf_dir), "predictions")
+    last = rows.agg(F.max("id")).first()[0] or 0
+    for low, high in ((None, last // 2), (last // 2, last - last // 20), (last - last // 20, None)):
+        above = F.lit(True) if low is None else F.col("id") > low
+        predlog.append(rows.where(above if high is None else above & (F.col("id") <= high)), path)
+    return path
+
+
+def _newest_logged(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    return predlog.newest_logged(spark, _logged(spark, sf_dir), n, V.predictions(spark, sf_dir).schema)
+
+
 FRAME_COLUMNS = [*S.PRICES, *S.FEATURES_WITH_VOLATILITY, S.TARGET]
 
 
@@ -86,6 +101,10 @@ QUERIES: dict[str, Query] = {
     "latency_distribution": lambda s, d: predlog.latency_distribution(V.predictions(s, d)),
     "drift_history": lambda s, d: predlog.drift_history(V.predictions(s, d)),
     "volatility_series": lambda s, d: tidy(predlog.volatility_series(V.predictions(s, d)), 8),
+    "pred_log_total": lambda s, d: predlog.total(s, _logged(s, d)),
+    "pred_log_recent": lambda s, d: predlog.recent(_newest_logged(s, d, 20)),
+    "pred_log_history": lambda s, d: tidy(predlog.history(_newest_logged(s, d, 100)), 8),
+    "pred_log_drift": lambda s, d: predlog.drift_history(_newest_logged(s, d, 24)),
     # drift
     "reference_stats": lambda s, d: tidy(drift.reference_stats(V.drift_samples(s, d)[0])),
     "ks_statistic": lambda s, d: tidy(
@@ -117,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "histogram_quantile": lambda s, d: tidy(
         telemetry.histogram_quantile(_histogram(s, d), 0.95, ["window_start"])
     ),
+    "bucket_quantiles": lambda s, d: tidy(telemetry.bucket_quantiles(V.bucket_counters(s, d), 0.95, seconds=3600)),
     "sustained_condition": lambda s, d: tidy(
         telemetry.sustained(stage(V.metrics(s, d), "metrics"), F.col("value") > 0.2, 7200)
     ),
@@ -266,6 +286,7 @@ ORACLE: dict[str, str] = {
         f"SELECT \"timestamp\", {rcols(['prediction', 'latency_ms', 'drift_ratio'], 8)}, drift_detected "
         "FROM predictions ORDER BY id DESC LIMIT 100",
     ),
+    "pred_log_total": "SELECT count(*) AS total_predictions FROM events",
     "latency_distribution": V.with_views(
         "predictions",
         "SELECT position::INTEGER AS position, bucket, count(*) FILTER (WHERE latency_ms >= low AND latency_ms < high) AS count "
@@ -413,6 +434,19 @@ ORACLE: dict[str, str] = {
         "nullif(cumulative - below, 0) END ORDER BY le) AS quantile FROM h WHERE cumulative >= rank AND rank > 0 GROUP BY 1)",
         f"SELECT window_start, {r('quantile')} AS quantile FROM q",
     ),
+    "bucket_quantiles": V.with_views(
+        "bucket_counters",
+        "st AS (SELECT *, lag(cumulative) OVER (PARTITION BY series, le ORDER BY \"timestamp\", id) AS b FROM bucket_counters)",
+        f"inc AS (SELECT {bucket(3600)} AS window_start, le, sum(CASE WHEN b IS NULL THEN 0 WHEN cumulative >= b "
+        "THEN cumulative - b ELSE cumulative END)::DOUBLE AS increase FROM st GROUP BY 1, 2)",
+        "rep AS (SELECT window_start, le, max(increase) OVER (PARTITION BY window_start ORDER BY le) AS cumulative FROM inc)",
+        "h AS (SELECT *, coalesce(lag(le) OVER w, 0) AS low, coalesce(lag(cumulative) OVER w, 0) AS below, "
+        "max(cumulative) OVER (PARTITION BY window_start) * 0.95::DOUBLE AS rank FROM rep "
+        "WINDOW w AS (PARTITION BY window_start ORDER BY le))",
+        "q AS (SELECT window_start, first(CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (rank - below) / "
+        "nullif(cumulative - below, 0) END ORDER BY le) AS quantile FROM h WHERE cumulative >= rank AND rank > 0 GROUP BY 1)",
+        f"SELECT window_start, {r('quantile')} AS quantile FROM q",
+    ),
     "sustained_condition": V.with_views(
         "metrics",
         "s AS (SELECT *, value > 0.2 AS cond, row_number() OVER (PARTITION BY metric_name ORDER BY ts) - "
@@ -514,3 +548,10 @@ ORACLE: dict[str, str] = {
         "ds.drift_ratio > 0.5 OR relative_change > 0.1 AS retrain FROM ds, cmp WHERE metric = 'rmse'",
     ),
 }
+
+# the log gives what a scan of all predictions gives
+ORACLE |= {
+    "pred_log_recent": ORACLE["pred_recent"],
+    "pred_log_history": ORACLE["pred_history"],
+    "pred_log_drift": ORACLE["drift_history"],
+}

@@ -11,7 +11,7 @@ from voltide.operators.telemetry import LATENCY_BOUNDS
 from voltide.plans import views as V
 from voltide.plans.feature_queries import ALL_COLUMNS, Query, feature_ctes, r, rcols, tidy
 from voltide.plans.ingest_queries import ORACLE as INGEST_ORACLE
-from voltide.plans.model_queries import RANGED
+from voltide.plans.model_queries import JSON_VALUES, RANGED, json_values
 from voltide.plans.monitor_queries import ALERT_RULES_SQL, HELD_RULES_SQL, ORACLE as MONITOR_ORACLE, bucket
 from voltide.session import stage, staging_path
 from voltide.sources import bars as source
@@ -62,7 +62,7 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = table_stream(V.requests(spark, sf_dir), "requests")
+    stream = table_stream(V.requests(spark, sf_dir).repartition(3, F.xxhash64("symbol", "datetime")), "requests", 1)
 
     def predict(rows: DataFrame) -> DataFrame:
         value = F.abs(F.col("close_rolling_std_24")) * 0.5 + F.abs(F.col("log_return")) * 0.1
@@ -70,7 +70,7 @@ def _score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     latency = F.hour("datetime").cast("double")
     scored = jobs.score(stream, predict, list(S.EXPECTED_RANGES), "v1", latency)
-    return tidy(jobs.run_to_table(scored, "scored").drop("features"))
+    return tidy(json_values(jobs.run_to_table(scored, "scored")))
 
 
 def _windows(seconds: int, slide: int | None) -> Query:
@@ -160,7 +160,7 @@ ORACLE: dict[str, str] = {
         "SELECT datetime AS \"timestamp\", "
         + r("abs(coalesce(close_rolling_std_24, 0)) * 0.5::DOUBLE + abs(coalesce(log_return, 0)) * 0.1::DOUBLE")
         + " AS prediction, hour(datetime)::DOUBLE AS latency_ms, (drift_ratio > 0.3)::INTEGER AS drift_detected, "
-        + r("drift_ratio") + " AS drift_ratio, 'v1' AS model_version FROM rd",
+        + r("drift_ratio") + f" AS drift_ratio, 'v1' AS model_version, {JSON_VALUES} FROM rd",
     ),
     "stream_latency_windows": _window_oracle(300, 300),
     "stream_sliding_windows": _window_oracle(600, 60),

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from voltide import schema as S
 from voltide.functions.clock import floor_time, plus_seconds
 from voltide.operators.features import cyclic_hour, calendar, lags_of, log_return_of, rolling_of
-from voltide.operators.series import chunk_window, drop_halo, with_halo
+from voltide.operators.series import chunk_window, drop_halo, running_sum, sliced, with_halo
+from voltide.operators.telemetry import LATENCY_BOUNDS
 from voltide.session import stage
 
 
@@ -110,6 +111,19 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bucket_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scrapes of latency bucket counters after every prediction; every bucket starts again at a count of its own."""
+    bounds = [*LATENCY_BOUNDS, float("inf")]
+    cells = F.array(
+        *[F.struct(F.lit(b).alias("le"), F.lit(200 + 30 * k).alias("wraps")) for k, b in enumerate(bounds)]
+    )
+    rows = predictions(spark, sf_dir).select("series", "timestamp", "id", "latency_ms", F.inline(cells))
+    hit = rows.withColumn("hit", (F.col("latency_ms") / F.lit(1000.0) <= F.col("le")).cast("long"))
+    keys = ["series", "le"]
+    counted = running_sum(sliced(hit, keys, "timestamp", ["id"]), "hit", "n", keys, "timestamp", ["id"])
+    return counted.select(*keys, "timestamp", "id", (F.col("n") % F.col("wraps")).alias("cumulative"))
+
+
 DRIFT_SPLIT = "2024-01-16"
 
 
@@ -204,6 +218,12 @@ SQL = {
     SELECT ts, 'prediction_latency_seconds' AS metric_name, prediction_latency_seconds AS value FROM hourly
     UNION ALL SELECT ts, 'drift_ratio', drift_ratio FROM hourly
     UNION ALL SELECT ts, 'error_rate', error_rate FROM hourly""",
+    "bucket_counters": """
+    SELECT series, le, "timestamp", id, sum((latency_ms / 1000.0::DOUBLE <= le)::INTEGER) OVER (
+           PARTITION BY series, le ORDER BY "timestamp", id ROWS UNBOUNDED PRECEDING) % wraps AS cumulative
+    FROM predictions, (VALUES """ + ", ".join(
+        f"({b}, {200 + 30 * k})" for k, b in enumerate([*(f"{b}::DOUBLE" for b in LATENCY_BOUNDS), "'inf'::DOUBLE"])
+    ) + ") v(le, wraps)",
     "ref": f"SELECT event_type AS feature, value FROM events WHERE ts < TIMESTAMP '{DRIFT_SPLIT}'",
     "cur": f"SELECT event_type AS feature, value, ts FROM events WHERE ts >= TIMESTAMP '{DRIFT_SPLIT}'",
     "scaled": "SELECT symbol, datetime, 1 + close / 1000 AS close FROM bars",
@@ -233,6 +253,7 @@ _NEEDS = {
     "predictions": [],
     "hourly": ["predictions"],
     "metrics": ["hourly"],
+    "bucket_counters": ["predictions"],
     "ref": [],
     "cur": [],
     "scaled": ["bars"],
