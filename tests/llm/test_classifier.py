@@ -73,3 +73,19 @@ def test_held_out_accuracy_on_the_generated_documents(spark):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = op6_subword_classifier(spark, sf_dir).join(labels, "doc_id").filter("held_out").collect()
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.9
+
+
+def test_rows_of_many_words_are_those_of_each():
+    words = ["a", "word", "naïve", "漢字かな", "\U0001f600!", classifier.CLOSING, "x" * 300, "<>", "Ж", "\x00"]
+    for chosen in (words, ["plain", "ascii"], *[[word] for word in words]):
+        rows, sizes = classifier.rows_of_words(chosen, SMALL)
+        for word, found in zip(chosen, np.split(rows, np.cumsum(sizes)[:-1]), strict=True):
+            assert sorted(found) == sorted(classifier.features_of(word, SMALL))
+
+
+def test_scoring_computes_the_features_of_new_words_together(monkeypatch):
+    asked, rows_of_words = [], classifier.rows_of_words
+    monkeypatch.setattr(classifier, "rows_of_words", lambda words, s: asked.append(sorted(words)) or rows_of_words(words, s))
+    score = classifier.scorer(classifier.untrained(SMALL))
+    assert score("one two two") == score("one two two")
+    assert asked == [sorted({"one", "two", classifier.CLOSING, classifier.TWICE})]

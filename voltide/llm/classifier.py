@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 MAX_ROWS = 8192
 THRESHOLD = 0.3
 REMEMBERED_WORDS = 1 << 18
-REMEMBERED_ROWS = 1 << 16
 LONGEST_REMEMBERED = 40
 CLOSING, AGAIN, TWICE = "\x02end", "\x02again", "\x02twice"
 
@@ -60,8 +59,45 @@ def features_of(word: str, settings: Settings) -> list[int]:
     return rows + [crc(marked[a:b].encode()) % buckets for a, b in spans]
 
 
-def rows_array(word: str, settings: Settings) -> np.ndarray:
-    return np.asarray(features_of(word, settings), dtype=np.int32)
+@functools.cache
+def crc_table() -> np.ndarray:
+    """What CRC-32 makes of each byte."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> 1) ^ np.where(table & 1, np.uint32(0xEDB88320), np.uint32(0))
+    return table
+
+
+def rows_of_words(words: list[str], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, sizes): the rows of ``features_of`` of many words, word by word, and how many each word has.
+
+    The checksums of all n-grams grow together, by one character at every place of the joined words.
+    """
+    data = np.frombuffer("".join([f"<{word}>" for word in words]).encode(), np.uint8)
+    at = np.flatnonzero(data & 0xC0 != 0x80)  # first byte of each character
+    widths = np.diff(at, append=len(data))
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.cumsum(lengths) - lengths
+    left = np.repeat(starts + lengths, lengths) - np.arange(len(at))  # characters from here to the end of the word
+    lasting, table = settings.longest, crc_table()
+    first = np.concatenate((data[at], np.zeros(lasting, np.uint8)))
+    wider = [(k, np.flatnonzero(widths > k)) for k in range(1, int(widths.max()))]
+    rows = np.zeros((len(at), 2 + lasting - settings.shortest), np.int32)
+    used = np.zeros(rows.shape, bool)
+    rows[starts, 0] = [zlib.crc32(b"\x01" + word.encode()) % settings.buckets for word in words]
+    used[starts, 0] = True
+    sums = np.full(len(at), 0xFFFFFFFF, np.uint32)
+    for n in range(1, lasting + 1):
+        sums = table[(sums ^ first[n - 1 : n - 1 + len(at)]) & 0xFF] ^ (sums >> 8)
+        for k, of in wider:  # further bytes of the character that lies n - 1 behind
+            of = of[np.searchsorted(of, n - 1) :]
+            here = of - (n - 1)
+            sums[here] = table[(sums[here] ^ data[at[of] + k]) & 0xFF] ^ (sums[here] >> 8)
+        if n >= settings.shortest:
+            column = 1 + n - settings.shortest
+            rows[:, column] = (sums ^ np.uint32(0xFFFFFFFF)) % np.uint32(settings.buckets)
+            used[:, column] = left >= n
+    return rows[used], np.add.reduceat(used.sum(axis=1), starts)
 
 
 def tokens_of(text: str) -> list[str]:
@@ -72,12 +108,12 @@ def tokens_of(text: str) -> list[str]:
     return [*words, *[AGAIN] * again, *[TWICE] * twice, CLOSING]
 
 
-def counted(text: str, rows_of) -> tuple[np.ndarray, np.ndarray]:
+def counted(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(rows, times) of a text, in small integers."""
     words = Counter(tokens_of(text))
-    rows = [rows_of(word) for word in words]
-    times = np.repeat(np.fromiter(words.values(), np.int64), [len(r) for r in rows])
-    found, at = np.unique(np.concatenate(rows), return_inverse=True)
+    rows, sizes = rows_of_words(list(words), settings)
+    times = np.repeat(np.fromiter(words.values(), np.int64), sizes)
+    found, at = np.unique(rows, return_inverse=True)
     n = np.bincount(at, weights=times)
     return found, n.astype(np.min_scalar_type(int(n.max())))
 
@@ -88,7 +124,7 @@ def weights_of(times: np.ndarray) -> np.ndarray:
 
 def bag(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(rows, weights) of a text; the weights add up to 1."""
-    rows, times = counted(text, functools.partial(rows_array, settings=settings))
+    rows, times = counted(text, settings)
     return rows, weights_of(times)
 
 
@@ -126,9 +162,7 @@ def untrained(settings: Settings) -> Model:
 def train(texts: list[str], labels: list[int], settings: Settings) -> Model:
     """Stochastic gradient descent, one document a step, the rate falling to zero."""
     model = untrained(settings)
-    rows_of = functools.lru_cache(maxsize=REMEMBERED_ROWS)(functools.partial(rows_array, settings=settings))
-    bags = [counted(text, rows_of) for text in texts]
-    rows_of.cache_clear()
+    bags = [counted(text, settings) for text in texts]
     random = np.random.default_rng(settings.seed)
     steps, done = settings.epochs * len(bags), 0
     for _ in range(settings.epochs):
@@ -197,10 +231,10 @@ def scorer(model: Model):
     per_row, zero, settings = model.row_scores(), model.log_odds_at_zero(), model.settings
     known: dict[str, complex] = {}  # score and number of rows of a word, as one number that sums fast
 
-    def remember(words: set[str]) -> None:
-        for word in words:
-            rows = features_of(word, settings)
-            known[word] = complex(per_row[rows].sum(dtype=np.float64), len(rows))
+    def remember(words: list[str]) -> None:
+        rows, sizes = rows_of_words(words, settings)
+        sums = np.add.reduceat(per_row[rows].astype(np.float64), np.cumsum(sizes) - sizes)
+        known.update(zip(words, (sums + 1j * sizes).tolist(), strict=True))
 
     def score(text: str) -> float:
         words = tokens_of(text)
@@ -208,7 +242,8 @@ def scorer(model: Model):
         if len(known) + len(fresh) > REMEMBERED_WORDS:
             known.clear()
             fresh = set(words)
-        remember(fresh)
+        if fresh:
+            remember(list(fresh))
         total = sum(map(known.__getitem__, words))
         for word in fresh:
             if len(word) > LONGEST_REMEMBERED:
