@@ -137,3 +137,34 @@ def test_weights_are_those_of_exact_document_frequencies(frame, monkeypatch, cha
     exact = 1 + np.log((len(rows) + 1) / (frequency + 1)) / np.log(len(rows) + 1)
     assert frequency.max() == 700 and (frequency == 1).sum() > 200_000
     assert np.allclose(weights(found, np.ones(len(found))), exact, rtol=1e-6)
+
+
+def test_few_values_give_the_samples_of_all(monkeypatch):
+    random_, sampler, computed = np.random.default_rng(8), neardup.Sampler(), []
+    sizes = np.asarray([600, 1, 3, 400, 50])
+    hashes = np.concatenate([np.unique(random_.integers(0, 1 << 63, n, dtype=np.uint64) * 2 + 1) for n in sizes])
+    weights = (random_.uniform(1, 2, len(hashes)) * random_.choice([1, 1, 1, 1, 7], len(hashes))).astype(np.float32)
+    weights[-50:] *= 0.3
+    values = neardup.Sampler.values
+    monkeypatch.setattr(neardup.Sampler, "values", lambda self, at, logs: computed.append(len(at)) or values(self, at, logs))
+    found = sampler(hashes, weights, sizes)
+    starts = np.cumsum(sizes) - sizes
+    for k, turn in enumerate(sampler.turns):
+        every, steps = values(sampler, (hashes * turn >> np.uint64(64 - neardup.TABLE_BITS)).astype(int), np.log(weights))
+        for row, (start, size) in enumerate(zip(starts, sizes, strict=True)):
+            at = start + int(every[start : start + size].argmin())
+            mixed = hashes[at : at + 1] + steps[at].astype(np.int64).astype(np.uint64) * neardup._MIX + turn
+            assert found[row, k] == neardup._mixed(mixed)[0]
+    computed.clear()
+    sampler(hashes[:600], np.minimum(np.maximum(weights[:600], 1), 2), np.asarray([600]))
+    assert sum(computed) < 0.1 * 600 * neardup.SAMPLES
+
+
+def test_wanted_texts_come_from_the_blocks_in_less_space(frame):
+    texts = ["the long and the short of the long way " * 30, None, "x"]
+    blocks = neardup.blocked(frame(list(enumerate(texts))), "doc_id", "text")
+    ids = {row.id: row.row_id for row in blocks.collect()}
+    wanted = frame([(ids[0],), (ids[1],)], "v long")
+    found = {row.v: row for row in neardup.fetch_texts(blocks, wanted, neardup.sketches(blocks, 3)).collect()}
+    assert {v: neardup.unpacked(bytes(row.text)) for v, row in found.items()} == {ids[0]: texts[0], ids[1]: ""}
+    assert len(found[ids[0]].text) < 0.5 * len(texts[0])

@@ -20,7 +20,7 @@ No group is expanded into its pairs:
   come together in the same way, and pairs are verified where they lie. A task hands on a spanning set of links, never its pairs.
 
 So every pair in a bucket is linked through its component, or verified, or has an estimate below 0.6 (which a pair at
-0.8 has with a probability of 1 in a million). Texts are fetched for verification only.
+0.8 has with a probability of 1 in a million). The texts of all members of buckets are fetched for verification, once.
 
 Null texts count as empty; texts without words form one class. A class is named by its smallest ``doc_id``; missing ids
 come last. Of repeated rows each is a member. An empty table gives an empty result. Other columns are not read.
@@ -51,6 +51,8 @@ LEAST_ESTIMATE = 0.6
 BLOCK, TEXT_BLOCK = 512, 1024
 AT_ONCE = 1 << 17
 TABLE_BITS = 16
+CODEC = pa.Codec("zstd")
+LIGHT = 2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -65,6 +67,16 @@ def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
+def packed(text: str | None) -> bytes:
+    """A text on its own in less space, so that it crosses the network and lies on disk like this; null is empty."""
+    data = (text or "").encode()
+    return len(data).to_bytes(8, "little") + CODEC.compress(data, asbytes=True)
+
+
+def unpacked(data: bytes) -> str:
+    return CODEC.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True).decode()
+
+
 def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, counts) of the distinct shingles, ascending."""
     if not words:
@@ -113,31 +125,34 @@ def weigh(total: int, frequencies: np.ndarray, counts: np.ndarray) -> np.ndarray
     return idf.astype(np.float32) * counts.astype(np.float32)
 
 
-def bag_of(text: str | None, frequencies: bytes, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, weights) of a text with the frequencies kept with it; none are kept if all are 1."""
-    hashes, counts = shingles(words_of(text))
+def bag_of(text: bytes, frequencies: bytes, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, weights) of a packed text with the frequencies kept with it; none are kept if all are 1."""
+    hashes, counts = shingles(words_of(unpacked(text)))
     of = np.frombuffer(frequencies, np.uint32) if frequencies else np.ones(len(hashes), np.uint32)
     return hashes, weigh(total, of, counts)
 
 
 def blocked(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """The rows with a row id and a block of bounded size, written once, so that both stay."""
+    """The rows, texts packed, with a row id and a block of bounded size, written once, so that both stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, 0
         for batch in batches:
-            of = []
+            of, texts = [], []
             for row_id, value in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
                 if block is None or held >= BLOCK_CHARS:
                     block, held = row_id, 0
                 of.append(block)
-                held += len(value.as_py() or "")
+                text = value.as_py()
+                texts.append(packed(text))
+                held += len(text or "")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(of, pa.int64()), *batch.columns], names=["block", "row_id", "id", "text"]
+                [pa.array(of, pa.int64()), *batch.columns[:2], pa.array(texts, pa.binary())],
+                names=["block", "row_id", "id", "text"],
             )
 
     read = docs.select(F.monotonically_increasing_id(), F.col(id).cast("long"), F.col(text).cast("string"))
-    return stage(read.mapInArrow(run, "block long, row_id long, id long, text string"), "blocks")
+    return stage(read.mapInArrow(run, "block long, row_id long, id long, text binary"), "blocks")
 
 
 def planes(hashes: np.ndarray) -> bytes:
@@ -179,7 +194,7 @@ def shared_frequencies(blocks: DataFrame) -> DataFrame:
                     yield pieces(last, bags)
                     bags = []
                 last = block
-                bags.append(shingles(words_of(value.as_py()))[0])
+                bags.append(shingles(words_of(unpacked(value.as_py())))[0])
         if bags:
             yield pieces(last, bags)
 
@@ -216,7 +231,12 @@ def frequency_table(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Sampler:
-    """Improved consistent weighted sampling; a shingle's numbers are looked up by its hash in three fixed tables."""
+    """Improved consistent weighted sampling; a shingle's numbers are looked up by its hash in three fixed tables.
+
+    A sample's value falls with the shingle's weight, in steps. So the values at weight 1 and at ``LIGHT``, which bounds the
+    weight of a shingle that occurs once, are tables too, and only shingles whose least value is not above the least of the
+    text's greatest values are computed: a few of each text. All others have a larger value, so the samples are the same.
+    """
 
     def __init__(self) -> None:
         random = np.random.default_rng(20)
@@ -226,20 +246,35 @@ class Sampler:
         self.log_c = np.log(random.gamma(2, 1, n)).astype(np.float32)
         self.beta = random.random(n, dtype=np.float32)
         self.turns = random.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.light = np.float32(math.log(LIGHT))
+        every = np.arange(n)
+        self.greatest, self.least = (self.values(every, np.full(n, log, np.float32))[0] for log in (0, self.light))
+
+    def values(self, at: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values, steps) of shingles by their places in the tables and the logarithms of their weights."""
+        r, beta = self.r[at], self.beta[at]
+        t = np.floor(logs * self.inverse[at] + beta)
+        return self.log_c[at] - r * (t - beta + 1), t
 
     def __call__(self, hashes: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Samples (text x SAMPLES) of the texts whose shingles lie one after the other, each with at least one."""
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         logs = np.log(weights)
+        unbounded = (logs > self.light) | (logs < 0)
+        above = np.flatnonzero(logs < 0)
         out = np.empty((len(sizes), SAMPLES), np.uint64)
         for k, turn in enumerate(self.turns):
-            at = (hashes * turn) >> np.uint64(64 - TABLE_BITS)
-            r, beta = self.r[at], self.beta[at]
-            t = np.floor(logs * self.inverse[at] + beta)
-            log_a = self.log_c[at] - r * (t - beta + 1)
-            least = np.flatnonzero(log_a == np.repeat(np.minimum.reduceat(log_a, starts), sizes))
-            chosen = least[np.searchsorted(least, starts)]
-            out[:, k] = _mixed(hashes[chosen] + t[chosen].astype(np.int64).astype(np.uint64) * _MIX + turn)
+            at = ((hashes * turn) >> np.uint64(64 - TABLE_BITS)).view(np.int64)
+            greatest = self.greatest.take(at)
+            greatest[above] = np.inf
+            bound = np.repeat(np.minimum.reduceat(greatest, starts), sizes)
+            open = np.flatnonzero((self.least.take(at) <= bound) | unbounded)
+            values, t = self.values(at[open], logs[open])
+            first = np.searchsorted(open, starts)
+            lowest = np.repeat(np.minimum.reduceat(values, first), np.diff(first, append=len(open)))
+            least = np.flatnonzero(values == lowest)
+            taken = least[np.searchsorted(least, first)]
+            out[:, k] = _mixed(hashes[open[taken]] + t[taken].astype(np.int64).astype(np.uint64) * _MIX + turn)
         return out
 
 
@@ -275,7 +310,7 @@ def sketches(blocks: DataFrame, total: int) -> DataFrame:
         while at < len(row_ids):
             ids, digests, bags, frequencies, held = [], [], [], [], 0
             while at < len(row_ids) and held < AT_ONCE:
-                words = words_of(rows["text"][at].as_py())
+                words = words_of(unpacked(rows["text"][at].as_py()))
                 ids.append((row_ids[at], doc_ids[at]))
                 digests.append(identity(words))
                 hashes, counts = shingles(words)
@@ -352,24 +387,10 @@ def estimated(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
     )
 
 
-def fetch_texts(docs: DataFrame, wanted: DataFrame, rows: DataFrame, id: str, text: str) -> DataFrame:
-    """(v, text, frequencies) of the wanted vertices (v, id, d1, d2), read from the documents and the sketches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = b"".join(identity(words_of(value.as_py())) for value in batch.column(1))
-            halves = np.frombuffer(found, "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
-                names=["own", "text", "e1", "e2"],
-            )
-
-    read = docs.select(F.col(id).cast("long"), F.col(text).cast("string")).mapInArrow(
-        run, "own long, text string, e1 long, e2 long"
-    )
-    same = (F.col("e1") == F.col("d1")) & (F.col("e2") == F.col("d2")) & F.col("own").eqNullSafe(F.col("id"))
-    kept = rows.select(F.col("row_id").alias("v"), "frequencies")
-    return stage(read.join(wanted, same).select("v", "text").dropDuplicates(["v"]).join(kept, "v"), "compared-texts")
+def fetch_texts(blocks: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFrame:
+    """(v, text, frequencies) of the wanted vertices (v), texts packed, from the blocks and the sketches."""
+    texts = blocks.select(F.col("row_id").alias("v"), "text").join(wanted, "v", "left_semi")
+    return stage(texts.join(rows.select(F.col("row_id").alias("v"), "frequencies"), "v"), "compared-texts")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, total: int, similarity: float) -> DataFrame:
@@ -551,7 +572,7 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
     members = stage(members_of.join(buckets, "key"), "bucket-members")
     star = members.filter("v != first").select(F.col("first").alias("a"), F.col("v").alias("b")).distinct()
     waiting = stage(estimated(star, reps, similarity), "candidates")
-    texts = _texts_for(docs, waiting, classes, rows, id, text)
+    texts = fetch_texts(blocks, members.select("v").distinct(), rows)
     links = named = None
     first = F.max(F.struct("estimate", (-F.col("a")).alias("a"))).alias("first")
     for chosen in (waiting.groupBy("b").agg(first).select((-F.col("first.a")).alias("a"), "b"), None):
@@ -568,7 +589,6 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
         family = components(near).withColumnRenamed("component", "family")
         placed = family.join(named, "v", "left").select("family", "v", F.coalesce("component", "v").alias("component"))
         placed = stage(placed, "family-members")
-        texts = fetch_texts(docs, stage(classes.join(family.select("v"), "v"), "compared"), rows, id, text)
         compared = facing(placed, "family", TEXT_BLOCK).join(sketch.join(texts, "v"), "v")
         found = stage(links_across(compared, total, similarity), "links")
         if not found.isEmpty():
@@ -613,11 +633,6 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", similar
     return one.drop(mark, *marks)
 
 
-def _texts_for(docs: DataFrame, pairs: DataFrame, classes: DataFrame, rows: DataFrame, id: str, text: str) -> DataFrame:
-    wanted = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
-    return fetch_texts(docs, stage(classes.join(wanted, "v"), "compared"), rows, id, text)
-
-
 def _apart(pairs: DataFrame, named: DataFrame) -> DataFrame:
     """Pairs whose ends are not in one component."""
     return (
