@@ -1,3 +1,4 @@
+import importlib
 import random
 
 import numpy as np
@@ -168,3 +169,29 @@ def test_wanted_texts_come_from_the_blocks_in_less_space(frame):
     found = {row.v: row for row in neardup.fetch_texts(blocks, wanted, neardup.sketches(blocks, 3)).collect()}
     assert {v: neardup.unpacked(bytes(row.text)) for v, row in found.items()} == {ids[0]: texts[0], ids[1]: ""}
     assert len(found[ids[0]].text) < 0.5 * len(texts[0])
+
+
+def test_new_links_contract_only_the_components_they_join(spark, monkeypatch):
+    module, staged = importlib.import_module("voltide.llm.components"), []
+    chains = [(1000 * c + k, 1000 * c + k + 1) for c in range(1, 7) for k in range(40)]
+    links = [(1007, 2031), (2003, 3030), (3005, 1), (1, 2), (9, 8), (4001, 4009)]
+    named = components(spark.createDataFrame(chains, "a long, b long"))
+    stage = module.stage
+    monkeypatch.setattr(module, "stage", lambda df, tag: staged.append((tag, stage(df, tag))) or staged[-1][1])
+    found = module.extended(named, spark.createDataFrame(links, "a long, b long")).collect()
+    assert max(df.count() for tag, df in staged if tag == "edges") <= 5
+    classes = {}
+    for row in found:
+        classes.setdefault(row.component, set()).add(row.v)
+    assert len(found) == 6 * 41 + 4 and sorted(map(len, classes.values())) == [2, 41, 41, 41, 3 * 41 + 2]
+    assert all(name in members for name, members in classes.items())
+
+
+def test_links_are_contracted_once(frame, monkeypatch):
+    given = []
+    monkeypatch.setattr(neardup, "components", lambda links: given.append({(r.a, r.b) for r in links.collect()}) or components(links))
+    rows = corpus()
+    got = neardup.groups(frame(rows)).collect()
+    assert len(got) == len(rows) and len(given) <= 2
+    if len(given) > 1:
+        assert not given[0] & given[1]

@@ -45,3 +45,17 @@ def components(edges: DataFrame) -> DataFrame:
         onward = named.toDF("to", "component")
         named = to.join(onward, "to", "left").select("v", F.coalesce("component", "to").alias("component"))
     return stage(named, "components")
+
+
+def extended(named: DataFrame, edges: DataFrame) -> DataFrame:
+    """(v, component) of the edges that gave ``named`` and of these; only the components that these edges join are contracted."""
+    met = (
+        edges.select("a", "b")
+        .join(named.toDF("a", "of_a"), "a", "left")
+        .join(named.toDF("b", "of_b"), "b", "left")
+        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    )
+    joined = components(met)
+    moved = named.join(joined.toDF("component", "onward"), "component", "left")
+    moved = moved.select("v", F.coalesce("onward", "component").alias("component"))
+    return stage(moved.unionByName(joined.join(named.select("v"), "v", "left_anti")), "components")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltide.llm.components import components
+from voltide.llm.components import components, extended
 from voltide.llm.tables import first_of_each, free_name, row_mark
 from voltide.session import stage
 
@@ -573,15 +573,16 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
     star = members.filter("v != first").select(F.col("first").alias("a"), F.col("v").alias("b")).distinct()
     waiting = stage(estimated(star, reps, similarity), "candidates")
     texts = fetch_texts(blocks, members.select("v").distinct(), rows)
-    links = named = None
+    named = None
     first = F.max(F.struct("estimate", (-F.col("a")).alias("a"))).alias("first")
     for chosen in (waiting.groupBy("b").agg(first).select((-F.col("first.a")).alias("a"), "b"), None):
         if chosen is None:  # what the best pairs have not joined; those that failed are compared once more
             chosen = _apart(waiting, named).select("a", "b")
         found = verified(chosen, texts, total, similarity).filter("linked").select("a", "b")
-        if links is None or not found.isEmpty():
-            links = found if links is None else links.union(found)
-            named = components(links)
+        if named is None:
+            named = components(found)
+        elif not found.isEmpty():
+            named = extended(named, found)
     sketch = reps.select("v", "total", "samples")
     across = facing(open_members(members, named), "key", BLOCK).join(sketch, "v")
     near = stage(families(across, similarity).distinct(), "near-across")
@@ -592,7 +593,7 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
         compared = facing(placed, "family", TEXT_BLOCK).join(sketch.join(texts, "v"), "v")
         found = stage(links_across(compared, total, similarity), "links")
         if not found.isEmpty():
-            named = components(links.union(found))
+            named = extended(named, found)
     placed = stage(
         rows.select("row_id", "id", "d1", "d2")
         .join(classes.select("d1", "d2", "v"), ["d1", "d2"])
