@@ -195,3 +195,17 @@ def test_links_are_contracted_once(frame, monkeypatch):
     assert len(got) == len(rows) and len(given) <= 2
     if len(given) > 1:
         assert not given[0] & given[1]
+
+
+def test_frequencies_are_written_before_texts_travel(frame, monkeypatch):
+    plans, stage = {}, neardup.stage
+
+    def seen(df, tag):
+        plans[tag] = df._jdf.queryExecution().toString()
+        return stage(df, tag)
+
+    monkeypatch.setattr(neardup, "stage", seen)
+    docs = frame([(k, f"some words of a text with number {k % 3} in it") for k in range(9)])
+    assert neardup.sketches(neardup.blocked(docs, "doc_id", "text"), 9).count() == 9
+    assert "FlatMapGroupsInArrow" in plans["shared-frequencies"]
+    assert "FlatMapCoGroupsInArrow" in plans["sketches"] and "FlatMapGroupsInArrow" not in plans["sketches"]

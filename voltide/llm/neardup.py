@@ -321,7 +321,8 @@ def sketches(blocks: DataFrame, total: int) -> DataFrame:
             out.append(_sketch_batch(ids, digests, bags, frequencies, sampler))
         return pa.Table.from_batches(out)
 
-    both = blocks.groupBy("block").cogroup(shared_frequencies(blocks).groupBy("block"))
+    shared = stage(shared_frequencies(blocks), "shared-frequencies")
+    both = blocks.groupBy("block").cogroup(shared.groupBy("block"))
     return stage(both.applyInArrow(run, _ROWS), "sketches")
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,13 +59,38 @@ def staging_path(spark: SparkSession, tag: str) -> str:
     return f"{staging_root(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_WRITES, _LOCK = {"open": 0, "before": ""}, threading.Lock()
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of what is run in here when it ends, not when the driver next collects its garbage.
+
+    The session's own setting returns when the last of several threads is done.
+    """
+    with _LOCK:
+        if not _WRITES["open"]:
+            _WRITES["before"] = spark.conf.get(FILE_CLEANUP)
+        _WRITES["open"] += 1
+        spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _WRITES["open"] -= 1
+            if not _WRITES["open"]:
+                spark.conf.set(FILE_CLEANUP, _WRITES["before"])
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as Parquet in the staging folder and read it back.
 
     Cuts the lineage at a place that outlives executors, freezes values that depend on physical
-    partitioning, and lets every consumer prune to the columns it needs.
+    partitioning, and lets every consumer prune to the columns it needs. The shuffle files of the write go with it.
     """
     spark = df.sparkSession
     path = staging_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
